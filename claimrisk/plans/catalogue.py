@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from claimrisk.plans import audit, claims
+from claimrisk.plans import audit, claims, places
 
-MODULES = [claims, audit]
+MODULES = [claims, audit, places]
 
 
 def queries() -> dict:
