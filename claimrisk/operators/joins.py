@@ -69,10 +69,18 @@ def spread_nulls(rows: DataFrame, key: str, row_id: str) -> tuple[DataFrame, str
     ), spread
 
 
-def lookup_join(rows: DataFrame, dim: DataFrame, on: Sequence[str], row_id: str) -> DataFrame:
-    """Left join to a dimension: broadcast when counted small, else spread by the rows' own counts."""
+def lookup_join(rows: DataFrame, dim: DataFrame, on: Sequence[str], row_id: str,
+                hot: DataFrame | None = None) -> DataFrame:
+    """Left join to a dimension: broadcast when counted small, else spread by the hot keys.
+
+    Without given hot keys they come from the rows' own counts; a stream cannot count itself,
+    so there the join is left to Spark.
+    """
     on = list(on)
     if fits_broadcast(dim.select(*on)):
         return rows.join(F.broadcast(dim), on, "left")
-    counts = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    return spread_left_join(rows, dim, on, row_id, hot_keys(counts, on, "_n"))
+    if hot is None:
+        if rows.isStreaming:
+            return rows.join(dim, on, "left")
+        hot = hot_keys(rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")), on, "_n")
+    return spread_left_join(rows, dim, on, row_id, hot)

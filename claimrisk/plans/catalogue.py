@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from claimrisk.plans import audit, claims, places
+from claimrisk.plans import audit, claims, documents, models, places, serving, streams
 
-MODULES = [claims, audit, places]
+MODULES = [claims, audit, places, serving, documents, models, streams]
 
 
 def queries() -> dict:

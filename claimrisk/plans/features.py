@@ -17,20 +17,22 @@ from claimrisk.sources.domain import Domain
 KEYS = ["claim_id", "member_id", "provider_id", "proc_code", "req_date"]
 
 
-def enrich(d: Domain) -> DataFrame:
+def enrich(d: Domain, s: Staged | None = None) -> DataFrame:
     """Claims with member, plan, provider and reference price; every claim stays exactly once."""
+    hot_members = s.hot_members if s else None
+    hot_providers = s.hot_providers if s else None
     member = lookup_join(
         d.members.select("member_id", "region", "plan_id", "enrolled_on"),
         d.plans.select("plan_id", "plan_rate"), ["plan_id"], "member_id")
     provider = d.providers.select(
         "provider_id", "in_network", F.col("region").alias("provider_region"))
-    rows = lookup_join(d.claims, member, ["member_id"], "claim_id")
-    rows = lookup_join(rows, provider, ["provider_id"], "claim_id")
+    rows = lookup_join(d.claims, member, ["member_id"], "claim_id", hot_members)
+    rows = lookup_join(rows, provider, ["provider_id"], "claim_id", hot_providers)
     return lookup_join(rows, signals.reference_prices(d.network), ["proc_code"], "claim_id")
 
 
-def own_claim_features(d: Domain) -> DataFrame:
-    return enrich(d).withColumns(own_columns(d.ceiling))
+def own_claim_features(d: Domain, s: Staged | None = None) -> DataFrame:
+    return enrich(d, s).withColumns(own_columns(d.ceiling))
 
 
 @dataclass(frozen=True)
@@ -115,12 +117,13 @@ def feature_table(
 ) -> DataFrame:
     """Keys, the 20 contract features and the label.
 
-    Joins that need only claim columns come first, while the rows are narrow.
+    Joins that need only claim columns come first, while the rows are narrow.  Every step is a
+    left join to a static table, so a stream of claims gets the very same columns.
     """
     s = staged or stage(spark, d)
     rows = add_repeated_document(d.claims, s)
     rows = add_burst(rows, s)
     rows = add_network_mark(rows, d.network, s.hot_members)
     rows = add_prior_event(rows, d.network, d.event_code, s.hot_members)
-    rows = add_entity_features(own_claim_features(replace(d, claims=rows)), s)
+    rows = add_entity_features(own_claim_features(replace(d, claims=rows), s), s)
     return rows.select(*KEYS, *FEATURES, *extra, "label")

@@ -24,6 +24,11 @@ def once(spark: SparkSession, root: str, name: str, build: Callable[[], DataFram
     return spark.read.parquet(_PATHS[key])
 
 
+def once_path(spark: SparkSession, root: str, name: str) -> str:
+    """Where a table built by ``once`` lies."""
+    return _PATHS[(spark.sparkContext.applicationId, root.rstrip("/"), name)]
+
+
 def silver(spark: SparkSession, root: str) -> domain.Domain:
     """The mapped domain over written treatments, partitioned into claims and network."""
     rows = once(spark, root, "treatments", lambda: domain.treatments(spark, root), ("l_returnflag",))
