@@ -94,3 +94,8 @@ def approved_amount(amount: Column, rate: Column, denied: Column) -> Column:
 def cents(amount: Column) -> Column:
     """Money as an exact decimal, so sums do not depend on the order of rows."""
     return amount.cast("decimal(18,2)")
+
+
+def whole_cents(amount: Column) -> Column:
+    """Money as whole cents: sums per entity are exact and stay in fast integer arithmetic."""
+    return F.round(amount * 100).cast("long")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimrisk.functions.columns import cents, near_ceiling
+from claimrisk.functions.columns import near_ceiling, whole_cents
 from claimrisk.schemas import AUDIT_CEILING, BURST_DAYS
 
 PAIR = ["member_id", "provider_id"]
@@ -20,14 +20,14 @@ def daily_pairs(claims: DataFrame, ceiling: float = AUDIT_CEILING) -> DataFrame:
     """One row per member, provider and procedure day."""
     return claims.groupBy(*PAIR, "proc_date").agg(
         F.count("claim_id").alias("n"),
-        F.sum(cents(F.col("amount"))).alias("total"),
+        F.sum(whole_cents(F.col("amount"))).alias("cents"),
         F.sum(near_ceiling(F.col("amount"), ceiling)).alias("near"),
     )
 
 
 def pair_totals(daily: DataFrame) -> DataFrame:
     return daily.groupBy(*PAIR).agg(
-        F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("near").alias("near")
+        F.sum("n").alias("n"), F.sum("cents").alias("cents"), F.sum("near").alias("near")
     )
 
 
@@ -36,7 +36,7 @@ def provider_features(pairs: DataFrame) -> DataFrame:
 
     The pairs are distinct already, so the distinct count is a plain count.
     """
-    total, n = F.sum("total").cast("double"), F.sum("n")
+    total, n = F.sum("cents") / 100.0, F.sum("n")
     return pairs.groupBy("provider_id").agg(
         n.alias("prov_claims"),
         F.count("member_id").alias("prov_members"),
@@ -49,7 +49,7 @@ def member_features(pairs: DataFrame) -> DataFrame:
     """Claims, total amount and distinct providers per member."""
     return pairs.groupBy("member_id").agg(
         F.sum("n").alias("mem_claims"),
-        F.sum("total").cast("double").alias("mem_total_amount"),
+        (F.sum("cents") / 100.0).alias("mem_total_amount"),
         F.count("provider_id").alias("mem_providers"),
     )
 

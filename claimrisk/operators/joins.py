@@ -57,6 +57,35 @@ def spread_left_join(
     return left.join(copies, [*on, "_salt"], "left").drop("_salt")
 
 
+class KeySlots:
+    """Several left joins on keys that share one column, over a single exchange of the rows.
+
+    The rows are partitioned once by the shared key; each right side is partitioned the same
+    way, so every join on (key, more columns) finds its rows in place.  A hot key is cut into
+    slots: its rows are dealt out by row id and its right rows repeated per slot.
+    """
+
+    def __init__(self, key: str, hot: DataFrame):
+        self.key = key
+        self.hot = None if hot.isEmpty() else F.broadcast(hot)
+        self.on = [key] if self.hot is None else [key, "_slot"]
+
+    def place(self, rows: DataFrame, row_id: str) -> DataFrame:
+        if self.hot is not None:
+            splits = F.coalesce("_splits", F.lit(1))
+            rows = rows.join(self.hot, self.key, "left").withColumn(
+                "_slot", F.pmod(F.xxhash64(row_id), splits).cast("int")).drop("_splits")
+        return rows.repartition(*self.on)
+
+    def left_join(self, placed: DataFrame, right: DataFrame, on: Sequence[str] = ()) -> DataFrame:
+        """Left join on the key and ``on``; ``right`` is reduced before it is copied and moved."""
+        if self.hot is not None:
+            splits = F.coalesce("_splits", F.lit(1))
+            right = right.join(self.hot, self.key, "left").withColumn(
+                "_slot", F.explode(F.sequence(F.lit(0), splits - 1))).drop("_splits")
+        return placed.join(right.repartition(*self.on), [*self.on, *on], "left")
+
+
 def spread_nulls(rows: DataFrame, key: str, row_id: str) -> tuple[DataFrame, str]:
     """Rows with a join column in which null keys, which match nothing, are spread.
 

@@ -52,8 +52,10 @@ def member_profile(spark: SparkSession, root: str) -> DataFrame:
 
 
 def pair_burst_30d(spark: SparkSession, root: str) -> DataFrame:
-    d = silver(spark, root)
-    return plan.add_burst(d.claims, staged(spark, root)).select(
+    s = staged(spark, root)
+    slots = plan.member_slots(s)
+    placed = slots.place(silver(spark, root).claims, "claim_id")
+    return plan.add_burst(placed, s, slots).select(
         "claim_id", "member_id", "provider_id", "proc_date", "pair_claims_30d")
 
 
@@ -74,15 +76,15 @@ def duplicate_document(spark: SparkSession, root: str) -> DataFrame:
 
 
 def network_duplicate(spark: SparkSession, root: str) -> DataFrame:
-    d = silver(spark, root)
+    d, slots = silver(spark, root), plan.member_slots(staged(spark, root))
     return plan.add_network_mark(
-        d.claims, d.network, staged(spark, root).hot_members).select("claim_id", "in_network_too")
+        slots.place(d.claims, "claim_id"), d.network, slots).select("claim_id", "in_network_too")
 
 
 def prior_event(spark: SparkSession, root: str) -> DataFrame:
-    d = silver(spark, root)
+    d, slots = silver(spark, root), plan.member_slots(staged(spark, root))
     return plan.add_prior_event(
-        d.claims, d.network, d.event_code, staged(spark, root).hot_members,
+        slots.place(d.claims, "claim_id"), d.network, d.event_code, slots,
     ).select("claim_id", "site_already_removed")
 
 

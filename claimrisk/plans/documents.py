@@ -9,8 +9,8 @@ from claimrisk.functions import html, text
 from claimrisk.operators import retrieval, rules
 from claimrisk.operators.ranking import first_per_group
 from claimrisk.plans import sqlparts as q
-from claimrisk.plans.lake import silver
-from claimrisk.sources.tables import read_table
+from claimrisk.plans.lake import once, silver
+from claimrisk.sources.tables import read_table, spread
 
 TOP = 3
 NEIGHBOURS = 5
@@ -54,7 +54,7 @@ def variant_array(spark: SparkSession, root: str) -> DataFrame:
 
 
 def page_elements(spark: SparkSession, root: str) -> DataFrame:
-    return html.element_rows(read_table(spark, root, "pages"))
+    return html.element_rows(spread(read_table(spark, root, "pages"), "page_id"))
 
 
 def element_counts(spark: SparkSession, root: str) -> DataFrame:
@@ -75,7 +75,9 @@ def cell_lookup(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _chunks(spark, root):
-    return text.chunks(read_table(spark, root, "documents"))
+    """The chunk table, written once: counting terms and scoring read it several times."""
+    return once(spark, root, "chunks", lambda: text.chunks(
+        spread(read_table(spark, root, "documents").select("doc_id", "text"), "doc_id")))
 
 
 def chunk_topk(spark: SparkSession, root: str) -> DataFrame:

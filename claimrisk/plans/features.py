@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from claimrisk.functions.columns import own_columns
 from claimrisk.operators import entity, signals
-from claimrisk.operators.joins import hot_keys, lookup_join, spread_left_join, spread_nulls
+from claimrisk.operators.joins import (
+    KeySlots,
+    hot_keys,
+    lookup_join,
+    spread_left_join,
+    spread_nulls,
+)
 from claimrisk.schemas import FEATURES
 from claimrisk.session import written
 from claimrisk.sources.domain import Domain
@@ -68,17 +74,15 @@ def stage(spark: SparkSession, d: Domain) -> Staged:
     )
 
 
-def add_entity_features(rows: DataFrame, s: Staged) -> DataFrame:
-    """Attach provider and member history."""
-    rows = spread_left_join(rows, s.providers, ["provider_id"], "claim_id", s.hot_providers)
-    return spread_left_join(rows, s.members, ["member_id"], "claim_id", s.hot_members)
+def member_slots(s: Staged) -> KeySlots:
+    """Joins on the member and more columns share one exchange of the claims."""
+    return KeySlots("member_id", s.hot_members)
 
 
-def add_burst(rows: DataFrame, s: Staged) -> DataFrame:
+def add_burst(placed: DataFrame, s: Staged, slots: KeySlots) -> DataFrame:
     """Attach the 30-day count of the pair to each claim by its day."""
-    on = [*entity.PAIR, "proc_date"]
-    burst = s.daily.select(*on, "pair_claims_30d")
-    return spread_left_join(rows, burst, on, "claim_id", hot_keys(s.daily, on, "n"))
+    on = ["provider_id", "proc_date"]
+    return slots.left_join(placed, s.daily.select("member_id", *on, "pair_claims_30d"), on)
 
 
 def add_repeated_document(rows: DataFrame, s: Staged) -> DataFrame:
@@ -91,20 +95,18 @@ def add_repeated_document(rows: DataFrame, s: Staged) -> DataFrame:
     ).drop("document_rows", key)
 
 
-def add_network_mark(rows: DataFrame, network: DataFrame, hot_members: DataFrame) -> DataFrame:
+def add_network_mark(placed: DataFrame, network: DataFrame, slots: KeySlots) -> DataFrame:
     """1 when the network already paid the same member, code and site (no site matches no site)."""
-    return spread_left_join(
-        rows.withColumn("site_key", signals.site_key()), signals.network_marks(network),
-        ["member_id", "proc_code", "site_key"], "claim_id", hot_members,
+    return slots.left_join(
+        placed.withColumn("site_key", signals.site_key()), signals.network_marks(network),
+        ["proc_code", "site_key"],
     ).withColumn("in_network_too", F.coalesce("in_network_too", F.lit(0))).drop("site_key")
 
 
-def add_prior_event(
-    rows: DataFrame, network: DataFrame, code: str, hot_members: DataFrame
-) -> DataFrame:
+def add_prior_event(placed: DataFrame, network: DataFrame, code: str, slots: KeySlots) -> DataFrame:
     """1 when the claim is dated strictly after the event on the same site; no site, no match."""
-    return spread_left_join(
-        rows, signals.first_events(network, code), ["member_id", "site"], "claim_id", hot_members,
+    return slots.left_join(
+        placed, signals.first_events(network, code), ["site"],
     ).withColumn(
         "site_already_removed",
         F.when(F.col("removed_on").isNotNull() & (F.col("proc_date") > F.col("removed_on")), 1)
@@ -117,13 +119,17 @@ def feature_table(
 ) -> DataFrame:
     """Keys, the 20 contract features and the label.
 
-    Joins that need only claim columns come first, while the rows are narrow.  Every step is a
-    left join to a static table, so a stream of claims gets the very same columns.
+    The claims move three times at most: by document, by member for all member joins, and by
+    provider when that table is too large to broadcast.  Every step is a left join to a static
+    table, so a stream of claims gets the very same columns.
     """
     s = staged or stage(spark, d)
-    rows = add_repeated_document(d.claims, s)
-    rows = add_burst(rows, s)
-    rows = add_network_mark(rows, d.network, s.hot_members)
-    rows = add_prior_event(rows, d.network, d.event_code, s.hot_members)
-    rows = add_entity_features(own_claim_features(replace(d, claims=rows), s), s)
+    slots = member_slots(s)
+    rows = slots.place(add_repeated_document(d.claims, s), "claim_id")
+    rows = slots.left_join(rows, s.members)
+    rows = add_burst(rows, s, slots)
+    rows = add_network_mark(rows, d.network, slots)
+    rows = add_prior_event(rows, d.network, d.event_code, slots)
+    rows = own_claim_features(replace(d, claims=rows), s)
+    rows = spread_left_join(rows, s.providers, ["provider_id"], "claim_id", s.hot_providers)
     return rows.select(*KEYS, *FEATURES, *extra, "label")

@@ -15,6 +15,8 @@ RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # rows partitioned by one key stay in place for joins on that key and more columns
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

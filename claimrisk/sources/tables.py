@@ -16,6 +16,16 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{root.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows spread over all cores when the scan yields fewer partitions than there are cores.
+
+    Large tables have many splits and pass unchanged; a table in one row group would otherwise
+    run costly per-row work in one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def catalog_table(spark: SparkSession, name: str, renames: dict[str, str] | None = None) -> DataFrame:
     """A catalog table by name; source column names become the names used here."""
     df = spark.table(name)
