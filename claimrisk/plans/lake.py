@@ -5,28 +5,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from claimrisk.plans import features
 from claimrisk.session import work_dir
 from claimrisk.sources import domain
 
-_PATHS: dict[tuple[str, str, str], str] = {}
+_TABLES: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+_STAGED: dict[tuple[str, str], features.Staged] = {}
 
 
 def once(spark: SparkSession, root: str, name: str, build: Callable[[], DataFrame],
          partition_by: tuple[str, ...] = ()) -> DataFrame:
     """The table ``name`` derived from the data folder, built on first use and read afterwards."""
     key = (spark.sparkContext.applicationId, root.rstrip("/"), name)
-    if key not in _PATHS:
-        path = work_dir(spark, name)
-        build().write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-        _PATHS[key] = path
-    return spark.read.parquet(_PATHS[key])
+    if key not in _TABLES:
+        path, df = work_dir(spark, name), build()
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        _TABLES[key] = path, df.schema
+    path, schema = _TABLES[key]
+    return spark.read.schema(schema).parquet(path)
 
 
-def once_path(spark: SparkSession, root: str, name: str) -> str:
-    """Where a table built by ``once`` lies."""
-    return _PATHS[(spark.sparkContext.applicationId, root.rstrip("/"), name)]
+def location(spark: SparkSession, root: str, name: str) -> tuple[str, StructType]:
+    """Folder and schema of a table built by ``once``."""
+    return _TABLES[(spark.sparkContext.applicationId, root.rstrip("/"), name)]
 
 
 def silver(spark: SparkSession, root: str) -> domain.Domain:
@@ -38,15 +41,12 @@ def silver(spark: SparkSession, root: str) -> domain.Domain:
 def staged(spark: SparkSession, root: str) -> features.Staged:
     """The entity, pair and document summaries of the mapped claims."""
     d = silver(spark, root)
-    key = (spark.sparkContext.applicationId, root.rstrip("/"), "staged")
+    key = (spark.sparkContext.applicationId, root.rstrip("/"))
     if key not in _STAGED:
         _STAGED[key] = features.stage(spark, d)
     return _STAGED[key]
 
 
-_STAGED: dict[tuple[str, str, str], features.Staged] = {}
-
-
 def gold(spark: SparkSession, root: str) -> DataFrame:
     """The written feature table, with the extra claim columns the queue and the rules need."""
     return once(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimrisk.plans import sqlparts as q
-from claimrisk.plans.lake import once_path, silver, staged
+from claimrisk.plans.lake import location, silver, staged
 from claimrisk.schemas import TABLES
 from claimrisk.session import work_dir
 from claimrisk.sources import domain
@@ -27,8 +27,7 @@ def _finished(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
 def stream_score(spark: SparkSession, root: str) -> DataFrame:
     """Claims arriving as files, scored against the published history."""
     d, published = silver(spark, root), staged(spark, root)
-    path = once_path(spark, root, "treatments")
-    schema = spark.read.parquet(path).schema
+    path, schema = location(spark, root, "treatments")
     arriving = domain.claims(claim_stream(spark, path, schema))
     return _finished(
         spark,
