@@ -8,23 +8,32 @@ from pyspark.sql import functions as F
 from claimrisk.schemas import EARTH_KM, KM_PER_DEGREE
 
 
-def distance_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Great-circle distance by the spherical law of cosines.
+def distance_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    """Great-circle distance in km by the spherical law of cosines, as SQL text.
 
     Rounding can push the cosine of two equal places above 1, where acos is NaN: it is capped.
     """
-    a, b = F.radians(lat1), F.radians(lat2)
-    cosine = (
-        F.cos(a) * F.cos(b) * F.cos(F.radians(lon2) - F.radians(lon1)) + F.sin(a) * F.sin(b))
-    return EARTH_KM * F.acos(F.least(F.lit(1.0), cosine))
+    a, b = f"radians({lat1})", f"radians({lat2})"
+    turn = f"radians({lon2}) - radians({lon1})"
+    return (f"{EARTH_KM} * acos(least(1.0D, "
+            f"cos({a}) * cos({b}) * cos({turn}) + sin({a}) * sin({b})))")
 
 
-def in_box(lat: Column, lon: Column, lat0: float, lon0: float, radius_km: float) -> Column:
+def box_sql(lat: str, lon: str, lat0: str, lon0: str, radius_km: str) -> str:
     """Whether a place lies in the box around (lat0, lon0); plain ranges, so scans can prune."""
-    from math import cos, radians
-    dlat = radius_km / KM_PER_DEGREE
-    dlon = radius_km / (KM_PER_DEGREE * cos(radians(lat0)))
-    return lat.between(lat0 - dlat, lat0 + dlat) & lon.between(lon0 - dlon, lon0 + dlon)
+    dlat = f"{radius_km} / {KM_PER_DEGREE}D"
+    dlon = f"{radius_km} / ({KM_PER_DEGREE}D * cos(radians({lat0})))"
+    return (f"{lat} BETWEEN {lat0} - {dlat} AND {lat0} + {dlat} "
+            f"AND {lon} BETWEEN {lon0} - {dlon} AND {lon0} + {dlon}")
+
+
+def distance_km(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
+    """The same distance as a column over named columns or literals."""
+    return F.expr(distance_sql(lat1, lon1, lat2, lon2))
+
+
+def in_box(lat: str, lon: str, lat0: str, lon0: str, radius_km: str) -> Column:
+    return F.expr(box_sql(lat, lon, lat0, lon0, radius_km))
 
 
 def _span_km(dlat: Column, dlon: Column, cos1: Column, cos2: Column) -> Column:

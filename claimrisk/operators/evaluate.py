@@ -70,8 +70,7 @@ def score_totals(spark: SparkSession, scored: DataFrame, buckets: int = SCORE_BU
         scored.groupBy("score").agg(
             F.count("*").alias("n"), F.sum(F.col("label").cast("long")).alias("tp")),
         "score_groups")
-    bound = {} if one_task_rows is None else {"max_rows": one_task_rows}
-    if fits_broadcast(groups, **bound):
+    if fits_broadcast(groups, one_task_rows):
         ranged = groups.withColumn("_range", F.lit(0.0))
     else:
         steps = [i / buckets for i in range(1, buckets)]

@@ -13,9 +13,9 @@ HOT_ROWS = 2_000_000
 BROADCAST_ROWS = 100_000
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; counting stops just above the bound."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows, by a count that reads no more than its keys."""
+    return df.count() <= (BROADCAST_ROWS if max_rows is None else max_rows)
 
 
 def hot_keys(

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from claimrisk.functions.geo import distance_km, span_bounds
 from claimrisk.operators.ranking import first_per_group
 from claimrisk.schemas import EARTH_KM, KM_PER_DEGREE, NEAREST
+from claimrisk.session import written
 
 LEAF_PROVIDERS = 256  # split cells until none holds more providers than this
 MAX_LEVELS = 8
@@ -25,24 +26,24 @@ ROUNDING_KM = 0.01    # results are ranked by distance rounded to 2 digits
 class Grid:
     """Square cells in degrees; level 0 is at least one radius wide, each level a quarter of it."""
 
-    def __init__(self, radius_km: float, levels: int):
-        self.radius_km, self.levels = radius_km, levels
+    def __init__(self, radius_km: float):
+        self.radius_km = radius_km
         self.columns = max(1, floor(360 * KM_PER_DEGREE / radius_km))
 
     def size(self, level: int) -> float:
         return 360 / self.columns / 4 ** level
 
     def finest(self) -> list[Column]:
-        size = self.size(self.levels)
-        wide = self.columns * 4 ** self.levels
+        """Cell of a place on the deepest level."""
+        size, wide = self.size(MAX_LEVELS), self.columns * 4 ** MAX_LEVELS
         return [
             F.pmod(F.floor((F.col("lon") + 180) / size), F.lit(wide)).cast("long").alias("x"),
             F.floor((F.col("lat") + 90) / size).cast("long").alias("y"),
         ]
 
     def at(self, level: int) -> list[Column]:
-        """Cell of a level from the finest cell: exact integer division."""
-        bits = 2 * (self.levels - level)
+        """Cell of a level from the deepest cell: exact integer division."""
+        bits = 2 * (MAX_LEVELS - level)
         return [F.shiftright("x", bits).alias("x"), F.shiftright("y", bits).alias("y")]
 
     def middle(self, y: Column, level: int) -> Column:
@@ -62,18 +63,14 @@ class Grid:
             F.ceil(degrees / self.size(0)) + 1, F.lit(self.columns // 2 + 1)).cast("int")
 
 
-def _levels_needed(providers: DataFrame, group: list[str], radius_km: float) -> int:
-    """The first level at which no cell holds more than LEAF_PROVIDERS (one counter per level)."""
-    grid = Grid(radius_km, MAX_LEVELS)
-    cells = providers.select(*group, *grid.finest()).groupBy(*group, "x", "y").count()
-    by_level = cells.select(
-        *group, "count", "x", "y", F.explode(F.sequence(F.lit(0), F.lit(MAX_LEVELS))).alias("level"),
+def _levels_needed(p_cells: DataFrame, group: list[str]) -> int:
+    """The first level at which no cell holds more than LEAF_PROVIDERS (one number per level)."""
+    by_level = p_cells.select(
+        *group, "n", "x", "y", F.explode(F.sequence(F.lit(0), F.lit(MAX_LEVELS))).alias("level"),
     ).withColumns({
-        "x": F.expr(f"shiftright(x, 2 * ({MAX_LEVELS} - level))"),
-        "y": F.expr(f"shiftright(y, 2 * ({MAX_LEVELS} - level))"),
-    })
+        c: F.expr(f"shiftright({c}, 2 * ({MAX_LEVELS} - level))") for c in ("x", "y")})
     fullest = (
-        by_level.groupBy(*group, "level", "x", "y").agg(F.sum("count").alias("n"))
+        by_level.groupBy(*group, "level", "x", "y").agg(F.sum("n").alias("n"))
         .groupBy("level").agg(F.max("n").alias("n")).collect()
     )
     fine = [r["level"] for r in fullest if r["n"] <= LEAF_PROVIDERS]
@@ -107,15 +104,17 @@ def nearest(members: DataFrame, providers: DataFrame, group: list[str], radius_k
     and the group columns, one row per group a provider belongs to.  Ranked by distance rounded
     to 2 digits, then provider id; members without a hit have no rows.
     """
+    spark, grid = members.sparkSession, Grid(radius_km)
     # Of providers at one and the same place only the k smallest ids can be among the k nearest.
     providers = first_per_group(providers, [*group, "lat", "lon"], ["provider_id"], k).drop("rank")
-    if levels is None:
-        levels = _levels_needed(providers, group, radius_km)
-    grid = Grid(radius_km, levels)
     m = members.select("member_id", "lat", "lon", *group, *grid.finest())
     p = providers.select("provider_id", "lat", "lon", *group, *grid.finest())
-    m_cells = m.select(*group, "x", "y").distinct()
-    p_cells = p.groupBy(*group, "x", "y").agg(F.count("*").alias("n"))
+    # Every level reads the occupied cells, so they are written once.
+    m_cells = written(spark, m.select(*group, "x", "y").distinct(), "member_cells")
+    p_cells = written(
+        spark, p.groupBy(*group, "x", "y").agg(F.count("*").alias("n")), "provider_cells")
+    if levels is None:
+        levels = _levels_needed(p_cells, group)
     cell = [*group, "mx", "my"]
 
     def member_cells(level):
@@ -156,7 +155,9 @@ def nearest(members: DataFrame, providers: DataFrame, group: list[str], radius_k
         )
         pairs = _prune(measured(pairs, level), cell, k, radius_km, ["px", "py"])
     # Single providers against member cells.
-    place = p.withColumnsRenamed({"x": "px", "y": "py", "lat": "p_lat", "lon": "p_lon"})
+    place = p.select(
+        "provider_id", *group, *grid.at(levels), F.col("lat").alias("p_lat"),
+        F.col("lon").alias("p_lon")).withColumnsRenamed({"x": "px", "y": "py"})
     found = pairs.drop("n").join(place, [*group, "px", "py"]).withColumn("n", F.lit(1))
     size = grid.size(levels)
     raw_gap = F.abs(F.col("p_lon") - ((F.col("mx") + 0.5) * size - 180))
@@ -167,9 +168,10 @@ def nearest(members: DataFrame, providers: DataFrame, group: list[str], radius_k
     found = _prune(
         found.withColumns({"low": low, "high": high}), cell, k, radius_km, ["provider_id"])
     # Single members against the few providers left for their cell.
-    met = m.withColumnsRenamed({"x": "mx", "y": "my"}).join(
+    met = m.select("member_id", "lat", "lon", *group, *grid.at(levels)).withColumnsRenamed(
+        {"x": "mx", "y": "my"}).join(
         found.select(*cell, "provider_id", "p_lat", "p_lon"), cell)
-    km = distance_km(F.col("lat"), F.col("lon"), F.col("p_lat"), F.col("p_lon"))
+    km = distance_km("lat", "lon", "p_lat", "p_lon")
     ranked = met.withColumn("exact_km", km).filter(F.col("exact_km") <= radius_km).select(
         "member_id", "provider_id", "exact_km", F.round("exact_km", 2).alias("distance_km"))
     return first_per_group(ranked, ["member_id"], ["distance_km", "provider_id"], k)

@@ -7,17 +7,19 @@ leave it, so neither chunk-question pairs nor common words are ever shuffled.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimrisk.functions.text import words
 from claimrisk.operators.ranking import first_per_group
 
-BATTERY = 500        # questions scored in one pass; larger batteries take several passes
-ROWS_AT_ONCE = 2000  # chunks scored by one matrix product
+BATTERY = 500          # questions scored in one pass; larger batteries take several passes
+BATTERY_TERMS = 20_000  # distinct words of the questions of one pass
+CELLS_AT_ONCE = 4_000_000  # size of the chunk-by-term matrix scored by one product
 
 
 def _best(found: pd.DataFrame, k: int, order: list[str]) -> pd.DataFrame:
@@ -48,9 +50,10 @@ def term_weights(chunked: DataFrame, vocabulary: DataFrame, weighted: bool = Tru
         "term", F.floor(1000 * F.log(F.lit(float(total)) / F.col("df"))).cast("long").alias("weight"))
 
 
-def question_slices(questions: DataFrame, key: str) -> list[DataFrame]:
-    """The battery in slices of about BATTERY questions each."""
-    n = -(-questions.count() // BATTERY) or 1
+def question_slices(questions: DataFrame, key: str, size: Column) -> list[DataFrame]:
+    """The battery in slices of about BATTERY questions and BATTERY_TERMS words each."""
+    total = questions.agg(F.count("*").alias("n"), F.sum(size).alias("terms")).first()
+    n = max(ceil(total["n"] / BATTERY), ceil((total["terms"] or 0) / BATTERY_TERMS), 1)
     if n == 1:
         return [questions]
     part = F.pmod(F.xxhash64(key), F.lit(n))
@@ -60,7 +63,8 @@ def question_slices(questions: DataFrame, key: str) -> list[DataFrame]:
 def term_topk(chunked: DataFrame, questions: DataFrame, k: int, key: str = "item_id",
               weighted: bool = True) -> DataFrame:
     """The k chunks of each question with the highest sum of weights over shared distinct terms."""
-    passes = [_term_pass(chunked, s, k, key, weighted) for s in question_slices(questions, key)]
+    size = F.size(F.array_distinct(words(F.col("text"))))
+    passes = [_term_pass(chunked, s, k, key, weighted) for s in question_slices(questions, key, size)]
     found = passes[0]
     for more in passes[1:]:
         found = found.unionByName(more)
@@ -80,11 +84,13 @@ def _term_pass(chunked, questions, k, key, weighted):
     matrix = np.zeros((len(terms), len(asked_ids)), dtype=np.float64)
     matrix[terms.get_indexer(local["term"]), np.searchsorted(asked_ids, local["question"])] = local["weight"]
 
+    at_once = max(1, CELLS_AT_ONCE // max(1, len(terms)))
+
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best = []
         for pdf in batches:
-            for start in range(0, len(pdf), ROWS_AT_ONCE):
-                part = pdf.iloc[start:start + ROWS_AT_ONCE].reset_index(drop=True)
+            for start in range(0, len(pdf), at_once):
+                part = pdf.iloc[start:start + at_once].reset_index(drop=True)
                 exploded = part["words"].explode()
                 column = terms.get_indexer(exploded)
                 known = column >= 0
@@ -110,7 +116,7 @@ def _term_pass(chunked, questions, k, key, weighted):
 
 def vector_topk(vectors: DataFrame, questions: DataFrame, k: int) -> DataFrame:
     """The k vectors most similar by cosine to each question vector (vec_id, embedding)."""
-    passes = [_vector_pass(vectors, s, k) for s in question_slices(questions, "vec_id")]
+    passes = [_vector_pass(vectors, s, k) for s in question_slices(questions, "vec_id", F.size("embedding"))]
     found = passes[0]
     for more in passes[1:]:
         found = found.unionByName(more)

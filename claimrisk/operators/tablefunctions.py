@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimrisk.schemas import EARTH_KM, KM_PER_DEGREE, NEAREST
+from claimrisk.functions.geo import box_sql, distance_sql
+from claimrisk.schemas import NEAREST
 
 FIND_MEMBER = """
 CREATE OR REPLACE TEMPORARY FUNCTION find_member(
@@ -31,22 +32,12 @@ RETURNS TABLE(provider_id BIGINT, provider_name STRING, specialty STRING, region
               rating DOUBLE, urgent BOOLEAN, distance_km DOUBLE)
 COMMENT 'The {NEAREST} nearest in-network providers inside the radius, nearest first.'
 RETURN
-  WITH boxed AS (
-    SELECT * FROM provider_places
-    WHERE in_network
-      AND upper(specialty) = upper(wanted)
-      AND array_contains(plans, member_plan)
-      AND lat BETWEEN at_lat - radius_km / {KM_PER_DEGREE}D AND at_lat + radius_km / {KM_PER_DEGREE}D
-      AND lon BETWEEN at_lon - radius_km / ({KM_PER_DEGREE}D * cos(radians(at_lat)))
-                  AND at_lon + radius_km / ({KM_PER_DEGREE}D * cos(radians(at_lat)))),
-  measured AS (
-    SELECT *, {EARTH_KM} * acos(least(1.0D,
-        cos(radians(at_lat)) * cos(radians(lat)) * cos(radians(lon) - radians(at_lon))
-        + sin(radians(at_lat)) * sin(radians(lat)))) AS exact_km
-    FROM boxed)
   SELECT provider_id, provider_name, specialty, region, rating, urgent,
          round(exact_km, 2) AS distance_km
-  FROM measured
+  FROM (SELECT *, {distance_sql("at_lat", "at_lon", "lat", "lon")} AS exact_km
+        FROM provider_places
+        WHERE {box_sql("lat", "lon", "at_lat", "at_lon", "radius_km")}
+          AND in_network AND array_contains(plans, member_plan) AND upper(specialty) = upper(wanted))
   WHERE exact_km <= radius_km
   ORDER BY distance_km, provider_id
   LIMIT {NEAREST}

@@ -34,7 +34,8 @@ def enrich(d: Domain, s: Staged | None = None) -> DataFrame:
         "provider_id", "in_network", F.col("region").alias("provider_region"))
     rows = lookup_join(d.claims, member, ["member_id"], "claim_id", hot_members)
     rows = lookup_join(rows, provider, ["provider_id"], "claim_id", hot_providers)
-    return lookup_join(rows, signals.reference_prices(d.network), ["proc_code"], "claim_id")
+    prices = s.prices if s else signals.reference_prices(d.network)
+    return lookup_join(rows, prices, ["proc_code"], "claim_id")
 
 
 def own_claim_features(d: Domain, s: Staged | None = None) -> DataFrame:
@@ -48,6 +49,7 @@ class Staged:
     providers: DataFrame
     members: DataFrame
     repeated: DataFrame
+    prices: DataFrame
 
     @property
     def hot_members(self) -> DataFrame:
@@ -62,7 +64,8 @@ def stage(spark: SparkSession, d: Domain) -> Staged:
     """Write the per-day, per-entity and per-document summaries to the shared folder.
 
     The claims are shuffled once, already reduced to (member, provider, day); the entity tables
-    follow from that table, and their counts tell the joins which keys are hot.
+    follow from that table, and their counts tell the joins which keys are hot.  Prices are
+    approximate medians, so batch and stream must read the same written table.
     """
     daily = written(spark, entity.pair_burst(entity.daily_pairs(d.claims, d.ceiling)), "daily")
     pairs = entity.pair_totals(daily)
@@ -71,6 +74,7 @@ def stage(spark: SparkSession, d: Domain) -> Staged:
         providers=written(spark, entity.provider_features(pairs), "provider_features"),
         members=written(spark, entity.member_features(pairs), "member_features"),
         repeated=written(spark, signals.repeated_documents(d.claims), "repeated_documents"),
+        prices=written(spark, signals.reference_prices(d.network), "reference_prices"),
     )
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimrisk.operators.joins import lookup_join
+
 JITTER_DEGREES = 0.009  # about 1 km
 DISTRICTS_PER_REGION = 3
 
@@ -23,7 +25,7 @@ def _unit(key: str, salt: int) -> Column:
     return F.pmod(F.xxhash64(F.col(key), F.lit(salt)), F.lit(1_000_003)) / 1_000_003.0
 
 
-def place(spark: SparkSession, entities: DataFrame, key: str, areas: DataFrame | None = None) -> DataFrame:
+def place(entities: DataFrame, key: str, areas: DataFrame | None = None) -> DataFrame:
     """Each entity in one district of its region, moved by up to a kilometre.
 
     District and jitter come from hashes of the key: the same entity always gets the same place,
@@ -32,7 +34,7 @@ def place(spark: SparkSession, entities: DataFrame, key: str, areas: DataFrame |
     areas = districts(entities) if areas is None else areas
     listed = areas.groupBy("region").agg(
         F.array_sort(F.collect_list(F.struct("district", "lat0", "lon0"))).alias("choices"))
-    chosen = entities.join(listed, "region").withColumn(
+    chosen = lookup_join(entities, listed, ["region"], key).withColumn(
         "_d", F.expr(f"choices[CAST(pmod(xxhash64({key}, 1), size(choices)) AS INT)]"))
 
     def moved(centre, salt):

@@ -13,7 +13,8 @@ from claimrisk.plans.placement import place
 from claimrisk.plans.sqlparts import rnd
 from claimrisk.schemas import RADIUS_TIERS_KM
 from claimrisk.sources import domain
-from claimrisk.sources.tables import add_to_array, read_table
+from claimrisk.operators.arrays import add_to_array
+from claimrisk.sources.tables import read_table
 
 SPECIALTY = "Specialty 1"
 RADIUS_KM = 50
@@ -35,11 +36,11 @@ def searchers(spark: SparkSession, root: str) -> DataFrame:
 
 def distance_pairs(spark: SparkSession, root: str) -> DataFrame:
     """Distance of every provider from one place, in metres, and whether the box holds it."""
-    lat, lon = F.col("lat"), F.col("lon")
-    km = distance_km(F.lit(HERE[0]), F.lit(HERE[1]), lat, lon)
+    here = [f"{v}D" for v in HERE]
+    km = distance_km(*here, "lat", "lon")
     return domain.provider_places(spark, root).select(
         "provider_id", F.round(km * 1000).cast("long").alias("metres"),
-        in_box(lat, lon, *HERE, RADIUS_KM).alias("in_box"))
+        in_box("lat", "lon", *here, str(RADIUS_KM)).alias("in_box"))
 
 
 def nearest_k(spark: SparkSession, root: str) -> DataFrame:
@@ -130,13 +131,10 @@ def region_top_rated(spark: SparkSession, root: str) -> DataFrame:
 
 
 def plan_array_union(spark: SparkSession, root: str) -> DataFrame:
-    """The first 4 of each specialty accept one more plan; the others keep their list.
-
-    The keys to change are a handful per specialty, so they travel as a small joined list.
-    """
-    rows = domain.provider_places(spark, root).select("provider_id", "specialty", "plans")
-    chosen = [r["provider_id"] for r in first_k_per_group(spark, root).collect()]
-    return add_to_array(rows, "provider_id", chosen, "plans", "AUTOMOBILE").select(
+    """The first 4 of each specialty accept one more plan; the others keep their list."""
+    rows = domain.provider_places(spark, root).select("provider_id", "plans")
+    chosen = first_k_per_group(spark, root).select("provider_id")
+    return add_to_array(rows, chosen, "provider_id", "plans", "AUTOMOBILE").select(
         "provider_id", F.concat_ws(",", "plans").alias("plans"),
         F.array_contains("plans", "AUTOMOBILE").alias("accepts"))
 
@@ -152,7 +150,7 @@ def append_union(spark: SparkSession, root: str) -> DataFrame:
 
 def placement(spark: SparkSession, root: str) -> DataFrame:
     """Each provider placed in a district of its region, with a repeatable jitter."""
-    return place(spark, domain.providers(spark, root), "provider_id")
+    return place(domain.providers(spark, root), "provider_id")
 
 
 def sample_of_members(spark: SparkSession, root: str) -> DataFrame:

@@ -103,15 +103,6 @@ def drop_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
 
 
-def add_to_array(df: DataFrame, key: str, ids: Sequence[int], column: str, value: str) -> DataFrame:
-    """Rows whose key is listed get ``value`` added to their array, once."""
-    return df.withColumn(
-        column,
-        F.when(F.col(key).isin(list(ids)), F.array_union(column, F.array(F.lit(value))))
-        .otherwise(F.col(column)),
-    )
-
-
 def preview(df: DataFrame, n: int = 10) -> list[Row]:
     """The first ``n`` rows, in no particular order."""
     return df.limit(n).collect()

@@ -63,7 +63,7 @@ def test_words_and_space(spark):
 @pytest.mark.parametrize("battery", [500, 2])
 def test_term_topk_matches_brute_force(spark, monkeypatch, battery):
     monkeypatch.setattr(retrieval, "BATTERY", battery)
-    monkeypatch.setattr(retrieval, "ROWS_AT_ONCE", 7)
+    monkeypatch.setattr(retrieval, "CELLS_AT_ONCE", 100)
     rng = random.Random(5)
     vocab = [f"t{i}" for i in range(30)]
     docs = [(i, " ".join(rng.choice(vocab[: 1 + rng.randrange(30)]) for _ in range(rng.randrange(1, 60)))) for i in range(60)]

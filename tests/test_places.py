@@ -69,8 +69,9 @@ def test_radius_is_inclusive(spark):
 def test_levels_follow_density(spark, monkeypatch):
     monkeypatch.setattr(radius, "LEAF_PROVIDERS", 4)
     members, providers = cloud(3, 40, (-23.5, -46.6), 0.3, 0.9), cloud(4, 90, (-23.5, -46.6), 0.3, 0.9)
-    p = spark.createDataFrame(providers, "provider_id long, " + PLACE)
-    assert radius._levels_needed(p, ["g"], 30) > 1
+    cells = spark.createDataFrame(providers, "provider_id long, " + PLACE).groupBy(
+        "g", *radius.Grid(30).finest()).agg(F.count("*").alias("n"))
+    assert radius._levels_needed(cells, ["g"]) > 1
     assert search(spark, members, providers, 30, 5, None) == brute(members, providers, 30, 5)
 
 
@@ -87,7 +88,7 @@ def test_known_distance_and_equal_places(spark):
     df = spark.createDataFrame(
         [(-23.5614, -46.6558, -23.5665, -46.6926), (-23.5614, -46.6558, -23.5614, -46.6558)],
         "a double, b double, c double, d double")
-    got = [r[0] for r in df.select(distance_km(*[F.col(c) for c in "abcd"])).collect()]
+    got = [r[0] for r in df.select(distance_km(*"abcd")).collect()]
     assert round(got[0], 2) == 3.79
     assert got[1] == pytest.approx(0.0, abs=1e-3) and not math.isnan(got[1])
 
@@ -118,8 +119,8 @@ def test_table_functions(spark):
 
 
 def test_placement_is_repeatable_and_near_a_district(spark, root):
-    rows = place(spark, domain.providers(spark, root), "provider_id")
-    again = place(spark, domain.providers(spark, root).repartition(3), "provider_id")
+    rows = place(domain.providers(spark, root), "provider_id")
+    again = place(domain.providers(spark, root).repartition(3), "provider_id")
     assert rows.exceptAll(again).isEmpty()
     far = rows.filter(
         F.abs(F.col("lat") - (-30.0 + F.col("region") + F.col("district") * 0.05)) > 0.0091)

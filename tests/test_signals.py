@@ -120,7 +120,6 @@ def test_hot_keys_do_not_change_the_feature_table(spark, root, monkeypatch, hot_
     plain = features.feature_table(spark, d)
     monkeypatch.setattr(joins, "HOT_ROWS", hot_rows)
     monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
-    monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
     spread = features.feature_table(spark, d)
     assert not joins.hot_keys(features.stage(spark, d).members, ["member_id"], "mem_claims").isEmpty()
     assert plain.count() == spread.count()

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 
 from claimrisk import session
+from claimrisk.operators.arrays import add_to_array
 from claimrisk.plans import features
 from claimrisk.schemas import CONTRACT_NAMES, FEATURES, TABLES
 from claimrisk.sources import domain, tables
@@ -61,7 +62,7 @@ def test_functions_like(spark):
 
 def test_add_to_array_is_idempotent(spark):
     df = spark.createDataFrame([(1, ["a"]), (2, ["p"]), (3, [])], "k long, plans array<string>")
-    got = {r["k"]: r["plans"] for r in tables.add_to_array(df, "k", [1, 2], "plans", "p").collect()}
+    got = {r["k"]: r["plans"] for r in add_to_array(df, spark.range(1, 3).withColumnRenamed("id", "k"), "k", "plans", "p").collect()}
     assert got == {1: ["a", "p"], 2: ["p"], 3: []}
 
 
