@@ -11,6 +11,8 @@ from math import ceil
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,39 +81,42 @@ def _term_pass(chunked, questions, k, key, weighted):
     # The vocabulary of one slice: at most BATTERY question texts.
     weights = term_weights(chunked, asked.select("term").distinct(), weighted)
     local = asked.join(weights, "term").select("question", "term", "weight").toPandas()
-    terms = pd.Index(local["term"].unique())
+    terms = np.sort(local["term"].unique())
     asked_ids = np.sort(local["question"].unique())
     matrix = np.zeros((len(terms), len(asked_ids)), dtype=np.float64)
-    matrix[terms.get_indexer(local["term"]), np.searchsorted(asked_ids, local["question"])] = local["weight"]
-
+    matrix[np.searchsorted(terms, local["term"]), np.searchsorted(asked_ids, local["question"])] = local["weight"]
     at_once = max(1, CELLS_AT_ONCE // max(1, len(terms)))
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(terms, pa.string())
         best = []
-        for pdf in batches:
-            for start in range(0, len(pdf), at_once):
-                part = pdf.iloc[start:start + at_once].reset_index(drop=True)
-                exploded = part["words"].explode()
-                column = terms.get_indexer(exploded)
-                known = column >= 0
-                present = np.zeros((len(part), len(terms)), dtype=np.float64)
-                present[exploded.index.to_numpy()[known], column[known]] = 1.0
+        for batch in batches:
+            for start in range(0, batch.num_rows, at_once):
+                part = batch.slice(start, at_once)
+                lists = part.column("words")
+                row_of = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+                term = pc.index_in(lists.flatten(), known).fill_null(-1).to_numpy()
+                present = np.zeros((len(lists), len(terms)), dtype=np.float64)
+                present[row_of[term >= 0], term[term >= 0]] = 1.0
                 scores = present @ matrix
                 # a chunk that shares no weighted term is no answer
                 row, question = _candidates(np.where(scores > 0, scores, -np.inf), k)
                 hit = scores[row, question] > 0
                 row, question = row[hit], question[hit]
-                found = part[["doc_id", "chunk"]].iloc[row].reset_index(drop=True)
-                found["question"] = asked_ids[question]
-                found["score"] = scores[row, question].astype(np.int64)
+                found = pd.DataFrame({
+                    "question": asked_ids[question],
+                    "doc_id": part.column("doc_id").to_numpy()[row],
+                    "chunk": part.column("chunk").to_numpy()[row],
+                    "score": scores[row, question].astype(np.int64)})
                 best = [_best(pd.concat([*best, found]), k, ["doc_id", "chunk"])]
         for found in best:
-            yield found[["question", "doc_id", "chunk", "score"]]
+            yield pa.RecordBatch.from_pandas(found, preserve_index=False)
 
     if not len(terms):
         return chunked.sparkSession.createDataFrame(
             [], "question bigint, doc_id bigint, chunk int, score bigint")
-    return chunked.mapInPandas(score, "question bigint, doc_id bigint, chunk int, score bigint")
+    return chunked.select("doc_id", "chunk", "words").mapInArrow(
+        score, "question bigint, doc_id bigint, chunk int, score bigint")
 
 
 def vector_topk(vectors: DataFrame, questions: DataFrame, k: int) -> DataFrame:

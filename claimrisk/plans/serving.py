@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimrisk.operators import entity, publish
+from claimrisk.functions import payload
+from claimrisk.operators import entity, publish, queue
 from claimrisk.operators.ranking import top
-from claimrisk.plans import features as plan
 from claimrisk.plans import sqlparts as q
 from claimrisk.plans.lake import gold, silver, staged
 from claimrisk.schemas import FEATURES, MEMBER_FEATURES, PROVIDER_FEATURES
+from claimrisk.sources.tables import read_table
 
 
 def publish_provider(spark: SparkSession, root: str) -> DataFrame:
@@ -70,10 +71,44 @@ def replica_parity(spark: SparkSession, root: str) -> DataFrame:
         PROVIDER_FEATURES)
 
 
+def request_payload(spark: SparkSession, root: str) -> DataFrame:
+    """Each claim's scoring request as JSON, read back into the inputs."""
+    requests = gold(spark, root).select("claim_id", payload.records_payload().alias("request"))
+    return requests.select(
+        "claim_id", payload.read_payload(F.col("request")).alias("record")).select("claim_id", "record.*")
+
+
+def scores_joined_back(spark: SparkSession, root: str) -> DataFrame:
+    """Scores returned as JSON by claim, joined back to the features and banded."""
+    rows = gold(spark, root)
+    answers = rows.select("claim_id", F.to_json(F.struct(F.array(
+        F.expr(q.SCORE_SQL)).alias("predictions"))).alias("response"))
+    scores = answers.select("claim_id", payload.first_prediction(F.col("response")).alias("score"))
+    return queue.build_queue(queue.attach_scores(rows, scores), 0.30).select(
+        "claim_id", "score", "priority", "value_at_risk")
+
+
+def response_texts(spark: SparkSession, root: str) -> DataFrame:
+    """Turns of the conversations wrapped in the three response shapes and read back."""
+    text, shape = F.col("text"), F.col("turn") % 3
+    part = F.struct(F.lit("output_text").alias("type"), text.alias("text"))
+    said = F.struct(text.alias("content"))
+    response = (
+        F.when(shape == 0, F.to_json(F.struct(
+            F.array(F.struct(F.array(part).alias("content"))).alias("output"))))
+        .when(shape == 1, F.to_json(F.struct(F.array(F.struct(said.alias("message"))).alias("choices"))))
+        .otherwise(F.to_json(F.struct(F.array(said).alias("messages"))))
+    )
+    return read_table(spark, root, "conversations").select(
+        "conv_id", "turn", response.alias("response")).select(
+        "conv_id", "turn", payload.response_text(F.col("response")).alias("text"))
+
+
 QUERIES = {
     f.__name__: f for f in (
         publish_provider, publish_member, published_top10, publish_dq, publish_diff,
-        online_vector, score_parity, replica_parity)
+        online_vector, score_parity, replica_parity, request_payload, scores_joined_back,
+        response_texts)
 }
 
 _FIRST = ",".join([q.CLAIMS, q.PROVIDER_TABLE, q.MEMBER_TABLE])
@@ -105,6 +140,8 @@ WHERE o.member_id IS NULL OR n.member_id IS NULL OR o.mem_claims <> n.mem_claims
   OR o.mem_total_amount <> n.mem_total_amount OR o.mem_providers <> n.mem_providers""",
     "online_vector": f"WITH {q.FEATURES} SELECT claim_id, " + ", ".join(
         f"coalesce(CAST({c} AS DOUBLE), -1) AS {c}" for c in FEATURES) + " FROM features",
+    "scores_joined_back": f"WITH {q.QUEUE} SELECT claim_id, score, priority, value_at_risk FROM queue",
+    "response_texts": "SELECT conv_id, turn, text FROM conversations",
     "score_parity": f"""WITH {q.CLAIMS}
 SELECT 'score' AS column_name, 0::DOUBLE AS max_gap, 0::BIGINT AS beyond_tolerance,
   count(*) AS compared, 0::BIGINT AS left_only, 0::BIGINT AS right_only FROM claims""",
@@ -113,3 +150,4 @@ SELECT c AS column_name, 0::DOUBLE AS max_gap, 0::BIGINT AS beyond_tolerance,
   (SELECT count(*) FROM prov) AS compared, 0::BIGINT AS left_only, 0::BIGINT AS right_only
 FROM (VALUES {", ".join(f"('{c}')" for c in PROVIDER_FEATURES)}) v(c)""",
 }
+ORACLE["request_payload"] = ORACLE["online_vector"]

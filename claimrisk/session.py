@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 # Runtime settings every plan in this package relies on.  They are plain SQL settings, so
@@ -21,7 +23,12 @@ RUNTIME = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session and return it."""
+    """Apply the runtime settings to a session and return it.
+
+    Functions of this package travel to the Python workers by value, so executors need no copy
+    of it.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[__package__])
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
     return spark

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from claimrisk.functions import html, text
+from claimrisk.functions import html, payload, text
 from claimrisk.operators import retrieval, rules
 
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var a="<p>x</p>";</script></head>
@@ -117,3 +117,17 @@ def test_dated_rule_holds_until_its_successor(spark):
     assert got == {1: 2500.0, 2: 3000.0, 3: None, 4: None}
     spans = rules.validity(ceilings, "code").orderBy("valid_from").collect()
     assert [r["valid_to"] for r in spans] == [dt.date(2026, 9, 1), None]
+
+
+def test_response_shapes(spark):
+    rows = [
+        ('{"output": [{"content": [{"type": "reasoning", "text": "x"}, {"type": "text", "text": "a"}]}, {"type": "call"}, {"content": [{"type": "output_text", "text": "b"}]}]}', "a\nb"),
+        ('{"choices": [{"message": {"content": "c"}}, {"message": {"content": "d"}}]}', "c"),
+        ('{"messages": [{"content": "e"}, {"content": "f"}]}', "f"),
+        ('{"output": [], "choices": [{"message": {"content": "g"}}]}', "g"),
+        ('{"error": "no"}', '{"error": "no"}')]
+    df = spark.createDataFrame(rows, "r string, want string")
+    for r in df.select(payload.response_text(F.col("r")).alias("got"), "want").collect():
+        assert r["got"] == r["want"]
+    scored = spark.createDataFrame([('{"predictions": [0.25]}',), ("broken",)], "r string")
+    assert [r[0] for r in scored.select(payload.first_prediction(F.col("r"))).collect()] == [0.25, None]
