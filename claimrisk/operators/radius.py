@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimrisk.functions.geo import distance_km, span_bounds
+from claimrisk.operators.joins import hot_keys, spread_left_join
 from claimrisk.operators.ranking import first_per_group
 from claimrisk.schemas import EARTH_KM, KM_PER_DEGREE, NEAREST
 from claimrisk.session import written
@@ -110,7 +111,8 @@ def nearest(members: DataFrame, providers: DataFrame, group: list[str], radius_k
     m = members.select("member_id", "lat", "lon", *group, *grid.finest())
     p = providers.select("provider_id", "lat", "lon", *group, *grid.finest())
     # Every level reads the occupied cells, so they are written once.
-    m_cells = written(spark, m.select(*group, "x", "y").distinct(), "member_cells")
+    m_cells = written(
+        spark, m.groupBy(*group, "x", "y").agg(F.count("*").alias("n")), "member_cells")
     p_cells = written(
         spark, p.groupBy(*group, "x", "y").agg(F.count("*").alias("n")), "provider_cells")
     if levels is None:
@@ -167,10 +169,14 @@ def nearest(members: DataFrame, providers: DataFrame, group: list[str], radius_k
         grid.middle(F.col("my"), levels), F.col("p_lat"), size / 2, 0.0)
     found = _prune(
         found.withColumns({"low": low, "high": high}), cell, k, radius_km, ["provider_id"])
-    # Single members against the few providers left for their cell.
-    met = m.select("member_id", "lat", "lon", *group, *grid.at(levels)).withColumnsRenamed(
-        {"x": "mx", "y": "my"}).join(
-        found.select(*cell, "provider_id", "p_lat", "p_lon"), cell)
+    # Single members against the few providers left for their cell; crowded cells are split.
+    crowd = m_cells.select(*group, *grid.at(levels), "n").groupBy(*group, "x", "y").agg(
+        F.sum("n").alias("n")).withColumnsRenamed({"x": "mx", "y": "my"})
+    here = m.select("member_id", "lat", "lon", *group, *grid.at(levels)).withColumnsRenamed(
+        {"x": "mx", "y": "my"})
+    left = found.select(*cell, "provider_id", "p_lat", "p_lon")
+    met = spread_left_join(here, left, cell, "member_id", hot_keys(crowd, cell, "n")).filter(
+        "provider_id IS NOT NULL")
     km = distance_km("lat", "lon", "p_lat", "p_lon")
     ranked = met.withColumn("exact_km", km).filter(F.col("exact_km") <= radius_km).select(
         "member_id", "provider_id", "exact_km", F.round("exact_km", 2).alias("distance_km"))

@@ -11,6 +11,7 @@ from claimrisk.functions.columns import own_columns
 from claimrisk.operators import entity, signals
 from claimrisk.operators.joins import (
     KeySlots,
+    fits_broadcast,
     hot_keys,
     lookup_join,
     spread_left_join,
@@ -23,23 +24,27 @@ from claimrisk.sources.domain import Domain
 KEYS = ["claim_id", "member_id", "provider_id", "proc_code", "req_date"]
 
 
-def enrich(d: Domain, s: Staged | None = None) -> DataFrame:
-    """Claims with member, plan, provider and reference price; every claim stays exactly once."""
-    hot_members = s.hot_members if s else None
-    hot_providers = s.hot_providers if s else None
+def enrich(d: Domain, s: Staged | None = None, slots: KeySlots | None = None) -> DataFrame:
+    """Claims with member, plan, provider and reference price; every claim stays exactly once.
+
+    ``slots``: the claims lie by member already, so a large member table joins them in place.
+    """
     member = lookup_join(
         d.members.select("member_id", "region", "plan_id", "enrolled_on"),
         d.plans.select("plan_id", "plan_rate"), ["plan_id"], "member_id")
     provider = d.providers.select(
         "provider_id", "in_network", F.col("region").alias("provider_region"))
-    rows = lookup_join(d.claims, member, ["member_id"], "claim_id", hot_members)
-    rows = lookup_join(rows, provider, ["provider_id"], "claim_id", hot_providers)
+    if slots is not None and not fits_broadcast(member.select("member_id")):
+        rows = slots.left_join(d.claims, member)
+    else:
+        rows = lookup_join(d.claims, member, ["member_id"], "claim_id", s and s.hot_members)
+    rows = lookup_join(rows, provider, ["provider_id"], "claim_id", s and s.hot_providers)
     prices = s.prices if s else signals.reference_prices(d.network)
     return lookup_join(rows, prices, ["proc_code"], "claim_id")
 
 
-def own_claim_features(d: Domain, s: Staged | None = None) -> DataFrame:
-    return enrich(d, s).withColumns(own_columns(d.ceiling))
+def own_claim_features(d: Domain, s: Staged | None = None, slots: KeySlots | None = None) -> DataFrame:
+    return enrich(d, s, slots).withColumns(own_columns(d.ceiling))
 
 
 @dataclass(frozen=True)
@@ -134,6 +139,6 @@ def feature_table(
     rows = add_burst(rows, s, slots)
     rows = add_network_mark(rows, d.network, slots)
     rows = add_prior_event(rows, d.network, d.event_code, slots)
-    rows = own_claim_features(replace(d, claims=rows), s)
+    rows = own_claim_features(replace(d, claims=rows), s, slots)
     rows = spread_left_join(rows, s.providers, ["provider_id"], "claim_id", s.hot_providers)
     return rows.select(*KEYS, *FEATURES, *extra, "label")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimrisk.functions.geo import distance_km
-from claimrisk.operators import radius, tablefunctions
+from claimrisk.operators import joins, radius, tablefunctions
 from claimrisk.plans.placement import place
 from claimrisk.sources import domain
 
@@ -75,6 +75,12 @@ def test_levels_follow_density(spark, monkeypatch):
     assert search(spark, members, providers, 30, 5, None) == brute(members, providers, 30, 5)
 
 
+def test_crowded_member_cells_are_split_without_changing_the_result(spark, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 5)
+    members, providers = cloud(5, 60, (-23.5, -46.6), 0.3, 0.9), cloud(6, 30, (-23.5, -46.6), 0.3)
+    assert search(spark, members, providers, 30, 3, 0) == brute(members, providers, 30, 3)
+
+
 def test_tiers_keep_members_without_a_hit(spark):
     m = spark.createDataFrame(
         [(1, -23.5, -46.6, "a"), (2, -3.1, -60.0, "a"), (3, -23.9, -46.6, "a")], "member_id long, " + PLACE)
