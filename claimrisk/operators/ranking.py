@@ -30,5 +30,5 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """A repeatable sample of ``n`` rows: the smallest seeded hashes of the key."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """A repeatable sample of ``n`` rows: the smallest seeded digests of the key."""
+    return df.orderBy(F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(str(seed)))), key).limit(n)

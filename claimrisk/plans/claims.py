@@ -46,6 +46,11 @@ def provider_concentration(spark: SparkSession, root: str) -> DataFrame:
         F.col("prov_members").desc(), "provider_id")
 
 
+def provider_top15(spark: SparkSession, root: str) -> DataFrame:
+    """The 15 providers with the most distinct members, in or out of the network."""
+    return top(provider_profile(spark, root), 15, F.col("prov_members").desc(), "provider_id")
+
+
 def member_profile(spark: SparkSession, root: str) -> DataFrame:
     d = silver(spark, root)
     return entity.member_features(entity.pair_totals(entity.daily_pairs(d.claims, d.ceiling)))
@@ -112,7 +117,7 @@ def near_ceiling_claims(spark: SparkSession, root: str) -> DataFrame:
 QUERIES = {
     f.__name__: f for f in (
         reference_price, claim_enrichment, claim_flags, provider_profile, provider_concentration,
-        member_profile, pair_burst_30d, burst_top10, duplicate_document, network_duplicate,
+        provider_top15,        member_profile, pair_burst_30d, burst_top10, duplicate_document, network_duplicate,
         prior_event, feature_table, flag_rates, near_ceiling_claims)
 }
 
@@ -132,6 +137,7 @@ SELECT claim_id, price_ratio, days_since_enrolment, recent_enrolment, out_of_net
     "provider_profile": _PROFILE,
     "provider_concentration": f"""SELECT * FROM ({_PROFILE}) WHERE out_of_network = 1
 ORDER BY prov_members DESC, provider_id LIMIT 15""",
+    "provider_top15": f"SELECT * FROM ({_PROFILE}) ORDER BY prov_members DESC, provider_id LIMIT 15",
     "member_profile": f"WITH {q.CLAIMS}, {q.MEMBER_TABLE} SELECT * FROM mem",
     "pair_burst_30d": f"""WITH {q.CLAIMS}, {q.BURST}
 SELECT claim_id, member_id, provider_id, proc_date, pair_claims_30d

@@ -20,22 +20,29 @@ def districts(regions: DataFrame) -> DataFrame:
     })
 
 
+def _draw(key: str, salt: int) -> Column:
+    """A repeatable whole number below 2^32 from the key: the head of a salted digest."""
+    digest = F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(str(salt))))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+
+
 def _unit(key: str, salt: int) -> Column:
     """A repeatable number in [0, 1) from the key."""
-    return F.pmod(F.xxhash64(F.col(key), F.lit(salt)), F.lit(1_000_003)) / 1_000_003.0
+    return _draw(key, salt) / 4294967296.0
 
 
 def place(entities: DataFrame, key: str, areas: DataFrame | None = None) -> DataFrame:
     """Each entity in one district of its region, moved by up to a kilometre.
 
-    District and jitter come from hashes of the key: the same entity always gets the same place,
+    District and jitter come from digests of the key: the same entity always gets the same place,
     in whatever order and partitioning the rows are read.
     """
     areas = districts(entities) if areas is None else areas
     listed = areas.groupBy("region").agg(
         F.array_sort(F.collect_list(F.struct("district", "lat0", "lon0"))).alias("choices"))
+    pick = (_draw(key, 1) % F.size("choices") + 1).cast("int")
     chosen = lookup_join(entities, listed, ["region"], key).withColumn(
-        "_d", F.expr(f"choices[CAST(pmod(xxhash64({key}, 1), size(choices)) AS INT)]"))
+        "_d", F.try_element_at("choices", pick))
 
     def moved(centre, salt):
         return F.round(F.col(f"_d.{centre}") + (_unit(key, salt) * 2 - 1) * JITTER_DEGREES, 6)

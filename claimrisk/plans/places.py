@@ -263,3 +263,18 @@ SELECT provider_id, coalesce(array_to_string(plans, ','), '') AS plans, list_con
 SELECT national_id, member_id, plan_name FROM mp
 UNION ALL SELECT '11111111111', 900001, 'AUTOMOBILE' UNION ALL SELECT '22222222222', 900002, 'MACHINERY'""",
 }
+
+
+def _draw(salt: int) -> str:
+    return f"CAST('0x' || substr(md5(s_suppkey || '-{salt}'), 1, 8) AS BIGINT)"
+
+
+ORACLE["placement"] = f"""WITH p AS (SELECT s_suppkey AS provider_id, s_nationkey AS region,
+  CAST({_draw(1)} % 3 AS INTEGER) AS district,
+  ({_draw(2)} / 4294967296.0::DOUBLE * 2 - 1) * 0.009::DOUBLE AS dlat,
+  ({_draw(3)} / 4294967296.0::DOUBLE * 2 - 1) * 0.009::DOUBLE AS dlon FROM supplier)
+SELECT provider_id, region, district,
+  {rnd("-30.0::DOUBLE + region + district * 0.05::DOUBLE + dlat", 6)} AS lat,
+  {rnd("-60.0::DOUBLE + region * 0.8::DOUBLE + district * 0.05::DOUBLE + dlon", 6)} AS lon FROM p"""
+ORACLE["sample_of_members"] = """SELECT c_custkey AS member_id, c_mktsegment AS plan_id FROM customer
+ORDER BY md5(c_custkey || '-42'), c_custkey LIMIT 50"""

@@ -87,3 +87,28 @@ def test_contract_lists():
     assert list(CONTRACT_NAMES) == FEATURES
     assert set(OWN_FEATURES) < set(FEATURES) and len(OWN_FEATURES) == 7
     assert not set(AFTER_DECISION) & set(FEATURES)
+
+
+# --- fixed values: preset claims (amount, reference price, days since enrolment, members of the
+# provider, claims of the pair in 30 days, repeated document, site removed) and their alerts ---
+PRESETS = {
+    "routine": ((210.0, 190.0, 900, 5, 1, 0, 0), []),
+    "near the ceiling": ((1450.0, 190.0, 800, 5, 1, 0, 0), ["price_over_3x", "near_ceiling"]),
+    "front clinic": ((1430.0, 320.0, 650, 153, 1, 0, 0), ["price_over_3x", "near_ceiling", "concentrated_provider"]),
+    "splitting": ((580.0, 680.0, 700, 5, 5, 0, 0), ["pair_burst"]),
+    "removed tooth": ((640.0, 680.0, 1000, 5, 1, 0, 1), ["site_already_removed"]),
+    "opportunistic": ((3600.0, 3400.0, 45, 5, 2, 0, 0), ["first_120_days"]),
+    "repeated invoice": ((700.0, 680.0, 850, 5, 1, 1, 0), ["repeated_document"]),
+}
+
+
+@pytest.mark.parametrize("name", PRESETS)
+def test_preset_claims_raise_their_alerts(spark, name):
+    (amount, price, days, people, burst, repeated, removed), expected = PRESETS[name]
+    df = spark.createDataFrame([(
+        amount, price, DAY, DAY, DAY - dt.timedelta(days=days), False, "SP", "SP")], SCHEMA)
+    row = df.withColumns(columns.own_columns()).withColumns({
+        "prov_members": F.lit(people), "pair_claims_30d": F.lit(burst),
+        "repeated_document": F.lit(repeated), "in_network_too": F.lit(0),
+        "site_already_removed": F.lit(removed)})
+    assert row.select(columns.alerts()).first()[0] == expected
