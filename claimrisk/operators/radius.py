@@ -19,7 +19,7 @@ from claimrisk.operators.ranking import first_per_group
 from claimrisk.schemas import EARTH_KM, KM_PER_DEGREE, NEAREST
 from claimrisk.session import written
 
-LEAF_PROVIDERS = 256  # split cells until none holds more providers than this
+LEAF_PROVIDERS = 64   # split cells until none holds more providers than this
 MAX_LEVELS = 8
 ROUNDING_KM = 0.01    # results are ranked by distance rounded to 2 digits
 
