@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from claimrisk.llm import bytebpe, packing, prefixcounts, sharding
+from claimrisk.llm import bytebpe, decontaminate, neardup, packing, prefixcounts, quality, sharding
 from claimrisk.llm.sql import SHARDING_SQL
 
 RANKS, JSON = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
@@ -21,6 +21,10 @@ def op3_sharding(spark: SparkSession, root: str) -> DataFrame:
     return sharding.assign(spark, documents(spark, root))
 
 
+def op4_quality(spark: SparkSession, root: str) -> DataFrame:
+    return quality.verdicts(spark, documents(spark, root))
+
+
 def op6_packing(spark: SparkSession, root: str) -> DataFrame:
     return packing.packed(spark, documents(spark, root), public_tokenizers.path(RANKS),
                           public_tokenizers.PATTERN, PAD_ID)
@@ -31,6 +35,15 @@ def op7_byte_bpe(spark: SparkSession, root: str) -> DataFrame:
         spark, documents(spark, root), public_tokenizers.path(RANKS), public_tokenizers.PATTERN))
 
 
+def op8_decontamination(spark: SparkSession, root: str) -> DataFrame:
+    return decontaminate.contaminated(
+        spark, documents(spark, root), spark.read.parquet(f"{root}/benchmark.parquet"))
+
+
+def op9_near_duplicates(spark: SparkSession, root: str) -> DataFrame:
+    return neardup.near_duplicates(spark, documents(spark, root), words=4)
+
+
 def op10_token_counts(spark: SparkSession, root: str) -> DataFrame:
     return prefixcounts.summary(prefixcounts.prefix_counts(
         spark, documents(spark, root), public_tokenizers.path(JSON), public_tokenizers.PATTERN),
@@ -38,7 +51,7 @@ def op10_token_counts(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_sharding, op6_packing, op7_byte_bpe, op10_token_counts)}
+    op3_sharding, op4_quality, op6_packing, op7_byte_bpe, op8_decontamination, op9_near_duplicates, op10_token_counts)}
 ORACLE = {"op3_sharding": SHARDING_SQL}
 
 
