@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from claimrisk.llm import bytebpe, decontaminate, exactdedup, neardup, packing, prefixcounts, quality, sharding
+from claimrisk.llm import (
+    bytebpe, decontaminate, exactdedup, neardup, packing, passages, prefixcounts, quality, sharding)
 from claimrisk.llm.sql import SHARDING_SQL
 
 RANKS, JSON = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
@@ -17,6 +18,10 @@ def documents(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/documents.parquet")
 
 
+def op1_repeated_passages(spark: SparkSession, root: str) -> DataFrame:
+    return passages.repeated_passages(spark, documents(spark, root))
+
+
 def op2_exact_substrings(spark: SparkSession, root: str) -> DataFrame:
     return exactdedup.digests_of(exactdedup.cut_documents(spark, documents(spark, root)))
 
@@ -55,7 +60,7 @@ def op10_token_counts(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_exact_substrings, op3_sharding, op4_quality, op6_packing, op7_byte_bpe, op8_decontamination, op9_near_duplicates, op10_token_counts)}
+    op1_repeated_passages, op2_exact_substrings, op3_sharding, op4_quality, op6_packing, op7_byte_bpe, op8_decontamination, op9_near_duplicates, op10_token_counts)}
 ORACLE = {"op3_sharding": SHARDING_SQL}
 
 

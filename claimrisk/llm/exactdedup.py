@@ -20,7 +20,6 @@ nothing.  Empty tables give empty results; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +27,15 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimrisk.llm import meeting
 from claimrisk.llm.frames import BATCH_ROWS
 from claimrisk.llm.hashing import mixed, prefix_sums, stretches
+from claimrisk.llm.meeting import flushes
 from claimrisk.llm.suffixarray import permuted_common_prefixes, suffix_array
 from claimrisk.session import written
 
 LENGTH, GRAM = 50, 20
 GRAMS = LENGTH - GRAM + 1  # in a window
-FLUSH_BYTES = 16_000_000  # texts a task looks at together
 SHARD_ANCHORS, SHARD_BYTES = 500_000, 1_000_000  # aimed at in a shard
 HOT_ROWS = 20_000  # of one anchor, from which it is cut into windows
 
@@ -71,117 +71,13 @@ def _bytes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode(), np.uint8)
 
 
-def _flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
-    """Rows in groups of about FLUSH_BYTES of text, one row at least."""
-    held, size = [], 0
-    for batch in batches:
-        for start in range(0, batch.num_rows, BATCH_ROWS):
-            for row in batch.slice(start, BATCH_ROWS).to_pylist():
-                if held and size + len(row["text"]) > FLUSH_BYTES:
-                    yield held
-                    held, size = [], 0
-                held.append(row)
-                size += len(row["text"])
-    if held:
-        yield held
-
-
-def _by_text(rows: list[dict]) -> list[dict]:
-    """Of rows with equal text the one with the smallest id; the others are copies of it."""
-    first: dict[str, dict] = {}
-    for row in rows:
-        known = first.get(row["text"])
-        if known is None or row["doc_id"] < known["doc_id"]:
-            first[row["text"]] = row
-    return list(first.values())
-
-
-def _anchor_records(docs: DataFrame, shards: int) -> DataFrame:
-    """Per shard arrays of anchor hashes, their document, and how many documents have them here.
-
-    Of an anchor that several documents have here, one record goes to the anchor's shard; the
-    others are known to matter and go anywhere, with a count of 0.
-    """
-    def run(batches):
-        for rows in _flushes(batches):
-            hashes, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-            for row in _by_text(rows):
-                own = np.unique(anchors(_bytes(row["text"]))[0])
-                hashes.append(own)
-                owners.append(np.full(len(own), row["doc_id"], np.int64))
-            hash_, owner = np.concatenate(hashes), np.concatenate(owners)
-            if not len(hash_):
-                continue
-            order = np.lexsort((owner, hash_))
-            hash_, owner = hash_[order], owner[order]
-            new = np.r_[True, (hash_[1:] != hash_[:-1])]
-            fresh = np.r_[True, new[1:] | (owner[1:] != owner[:-1])]  # repeated ids count once
-            starts = np.flatnonzero(new)
-            count = np.zeros(len(hash_), np.int64)
-            count[starts] = np.add.reduceat(fresh.astype(np.int64), starts)
-            spread = np.where(new, hash_, hash_ + owner.astype(np.uint64) * np.uint64(0x9E3779B1))
-            shard = (mixed(spread) % np.uint64(shards)).astype(np.int64)
-            # one byte plane after another: the shuffle's compression finds the equal bytes
-            for k in np.unique(shard[fresh]):
-                own = (shard == k) & fresh
-                yield pa.RecordBatch.from_pydict({
-                    "shard": pa.array([int(k)], pa.int32()),
-                    "hashes": pa.array([_planes(hash_[own].view(np.int64))], pa.binary()),
-                    "docs": pa.array([_planes(owner[own])], pa.binary()),
-                    "counts": pa.array([_planes(count[own])], pa.binary())})
-
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "shard int, hashes binary, docs binary, counts binary")
-
-
-def _planes(x: np.ndarray) -> bytes:
-    return np.ascontiguousarray(x.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
-
-
-def _unplanes(b: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).view("<i8").ravel()
-
-
-def _shared_anchors(records: DataFrame) -> DataFrame:
-    """doc_id, hash and documents (0: counted elsewhere) of anchors that occur in two documents."""
-    def run(batches):
-        shards: dict[int, list] = {}
-        for batch in batches:
-            for r in batch.to_pylist():
-                shards.setdefault(r["shard"], []).append(
-                    [_unplanes(r[c]) for c in ("hashes", "docs", "counts")])
-        while shards:
-            hash_, doc, count = (np.concatenate(x) for x in zip(*shards.popitem()[1]))
-            settled = count == 0
-            yield _shared(hash_[settled], doc[settled], count[settled])
-            hash_, doc, count = hash_[~settled], doc[~settled], count[~settled]
-            if not len(hash_):
-                continue
-            order = np.lexsort((doc, hash_))
-            hash_, doc, count = hash_[order], doc[order], count[order]
-            starts = np.flatnonzero(np.r_[True, hash_[1:] != hash_[:-1]])
-            ends = np.r_[starts[1:], len(hash_)]
-            matters = (doc[starts] != doc[ends - 1]) | (np.maximum.reduceat(count, starts) > 1)
-            keep = np.repeat(matters, ends - starts)
-            total = np.repeat(np.add.reduceat(count, starts), ends - starts)
-            yield _shared(hash_[keep], doc[keep], total[keep])
-
-    return records.mapInArrow(run, "doc_id long, hash long, documents long")
-
-
-def _shared(hash_, doc, documents) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({
-        "doc_id": pa.array(doc, pa.int64()), "hash": pa.array(hash_, pa.int64()),
-        "documents": pa.array(documents, pa.int64())})
-
-
 def _segments(found: DataFrame, shards: int) -> DataFrame:
     """Segments to be sorted, by shard, and windows that are settled here (text null).
 
     Both carry doc_id, mark, start and stop: the windows of the document that begin there.
     """
     def run(batches):
-        for rows in _flushes(batches):
+        for rows in flushes(batches):
             first: dict[bytes, int] = {}
             pieces = []
             for row in sorted(rows, key=lambda r: r["doc_id"]):
@@ -334,8 +230,8 @@ def cut_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
     size = digests.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shards = max(width, size // (GRAMS + 1) * 2 // SHARD_ANCHORS)
-    shared = written(spark, _shared_anchors(
-        _anchor_records(named, shards).repartition(shards, "shard")), "shared")
+    shared = written(spark, meeting.met(
+        named, lambda: lambda text: np.unique(anchors(_bytes(text))[0]), shards), "shared")
     hot = written(spark, shared.where(F.col("documents") > HOT_ROWS).select("hash").distinct()
                   .withColumn("hot", F.lit(True)), "hot")
     wanted = (shared.join(hot, "hash", "left").groupBy("doc_id").agg(
