@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from claimrisk.llm import (
-    bytebpe, decontaminate, exactdedup, neardup, packing, passages, prefixcounts, quality, sharding)
+    bytebpe, decontaminate, exactdedup, maintext, neardup, packing, passages, prefixcounts,
+    quality, sharding)
 from claimrisk.llm.sql import SHARDING_SQL
 
 RANKS, JSON = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
@@ -34,6 +36,10 @@ def op4_quality(spark: SparkSession, root: str) -> DataFrame:
     return quality.verdicts(spark, documents(spark, root))
 
 
+def op5_main_text(spark: SparkSession, root: str) -> DataFrame:
+    return maintext.main_texts(spark.read.parquet(f"{root}/pages.parquet"))
+
+
 def op6_packing(spark: SparkSession, root: str) -> DataFrame:
     return packing.packed(spark, documents(spark, root), public_tokenizers.path(RANKS),
                           public_tokenizers.PATTERN, PAD_ID)
@@ -60,7 +66,9 @@ def op10_token_counts(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_repeated_passages, op2_exact_substrings, op3_sharding, op4_quality, op6_packing, op7_byte_bpe, op8_decontamination, op9_near_duplicates, op10_token_counts)}
+    op1_repeated_passages, op2_exact_substrings, op3_sharding, op4_quality, op5_main_text,
+    op6_packing, op7_byte_bpe, op8_decontamination, op9_near_duplicates, op10_token_counts)}
+QUERIES["pipeline"] = corpus_pipeline.run
 ORACLE = {"op3_sharding": SHARDING_SQL}
 
 
