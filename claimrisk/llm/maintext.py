@@ -147,6 +147,12 @@ LABELLED = [
     "last block of the page may well be main text.</p><p>+The end.</p></article>",
     "<div class=topbar>-Call us</div><p>-Tuesday</p><div class=entry><p>+First</p><p>+Then comes a "
     "longer block of main text, and it is not the last one.</p><p>+Last one of them</p></div>",
+    "<body><p><a href=/a>-All the news of this day</a></p><p>-You are here on our pages</p><p><a "
+    "href=/b>-More of the news of today</a></p><h2>+How it all went</h2><p>+It went on for some time, "
+    "as such things do, and nobody could say for how long.</p><p>+Then it came to an end.</p><p>+The "
+    "end was told in a last block, as long as the first one was, and that was that.</p><p><a href=/c>"
+    "-Read the next story of the day</a></p><p>-Told by us to you and all</p><p><a href=/d>-Write to "
+    "us about this page here</a></p>",
     "<div>-Print it</div><main><p>+Only this</p></main><div>-Top of it</div>",
 ]
 
