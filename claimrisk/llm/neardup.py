@@ -8,9 +8,11 @@ such pair shares a key.  At a similarity of 0.8 a pair exceeds the distance with
 about two in a million.
 
 Documents of equal sets are one node from the start.  The nodes of a key are not paired with each
-other: the node whose keys are most frequent is the key's centre, and the others are compared with
-it.  Nodes that are in another component than their centres form new centres, until no pair of a
-centre and a node of its key is left untested.  Every link is confirmed on the full sets.
+other.  First the node whose keys are most frequent is the key's centre, and the others are compared
+with it.  Then, in keys whose nodes are in several components, every node is compared with its
+nearest nodes of other components (by a longer sketch of ``SKETCH`` bytes) that it has not been
+compared with, in blocks of at most about ``BLOCK`` nodes; this goes on until a round finds no link.
+Every link is confirmed on the full sets.
 
 Null and empty texts, or texts without words, have no shingles and no links; texts with fewer words
 than a shingle have one.  Rows with a null id are returned on their own (component null, kept).
@@ -34,11 +36,13 @@ from claimrisk.session import written
 
 CHUNKS, CHUNK, ERRORS, BITS = 12, 4, 1, 16
 SYMBOLS = CHUNKS * CHUNK
-MOST_DISTANCE = CHUNKS * (ERRORS + 1) - 1
 PERCENT = 80  # least similarity
+SKETCH = 128  # bytes, the first of them from the signature
+LEAST_EQUAL = 80  # of them in a pair: five deviations below what a similarity of 0.8 gives
+BLOCK, NEAREST = 4096, 3
 _RANDOM = np.random.Generator(np.random.PCG64(7))
-FACTORS = _RANDOM.integers(0, 2**64, SYMBOLS, np.uint64) | np.uint64(1)
-SHIFTS = _RANDOM.integers(0, 2**64, SYMBOLS, np.uint64)
+FACTORS = _RANDOM.integers(0, 2**64, SKETCH, np.uint64) | np.uint64(1)
+SHIFTS = _RANDOM.integers(0, 2**64, SKETCH, np.uint64)
 
 
 def shingle_set(text: str, words: int) -> np.ndarray:
@@ -46,10 +50,10 @@ def shingle_set(text: str, words: int) -> np.ndarray:
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """One row of SYMBOLS 16-bit min-hashes for each set, none of them empty."""
+    """One row of SKETCH 16-bit min-hashes for each set, none of them empty."""
     all_, starts = np.concatenate(sets), np.cumsum([0] + [len(s) for s in sets[:-1]])
-    out = np.empty((len(sets), SYMBOLS), np.uint16)
-    for i in range(SYMBOLS):
+    out = np.empty((len(sets), SKETCH), np.uint16)
+    for i in range(SKETCH):
         least = np.minimum.reduceat(all_ * FACTORS[i] + SHIFTS[i], starts)
         out[:, i] = (least * FACTORS[0] >> np.uint64(64 - BITS)).astype(np.uint16)
     return out
@@ -68,49 +72,91 @@ def chunk_keys(signature: np.ndarray) -> np.ndarray:
 
 
 def described(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the set, signature and keys (null without shingles)."""
+    """doc_id, n_shingles, digest of the set, sketch and keys (null without shingles)."""
     def work():
         def function(rows):
             sets = [shingle_set(t, words) for t in rows["text"]]
             some = [i for i, s in enumerate(sets) if len(s)]
-            signature = signatures([sets[i] for i in some]) if some else np.zeros((0, SYMBOLS), "u2")
+            signature = signatures([sets[i] for i in some]) if some else np.zeros((0, SKETCH), "u2")
             keys = [np.zeros(0, np.int64)] * len(sets)
             marks: list[bytes | None] = [None] * len(sets)
             for row, i, own in zip(signature, some, chunk_keys(signature)):
-                keys[i], marks[i] = own, row.tobytes()
+                keys[i], marks[i] = own, row.astype(np.uint8).tobytes()
             return {
                 "doc_id": rows["doc_id"], "n_shingles": [len(s) for s in sets],
                 "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
                            for s in sets],
-                "signature": pa.array(marks, pa.binary()), "keys": ragged(keys, np.int64)}
+                "sketch": pa.array(marks, pa.binary()), "keys": ragged(keys, np.int64)}
         return function
 
     return map_batches(texts_of(docs), "doc_id long, n_shingles long, digest binary, "
-                       "signature binary, keys array<long>", work)
+                       "sketch binary, keys array<long>", work)
+
+
+def _matrix(sketches: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, SKETCH)
 
 
 def _close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs u, v whose sizes and signatures allow the similarity."""
-    one = nodes.select(F.col("node").alias("u"), F.col("n_shingles").alias("un"),
-                       F.col("signature").alias("us"))
-    other = nodes.select(F.col("node").alias("v"), F.col("n_shingles").alias("vn"),
-                         F.col("signature").alias("vs"))
-    both = pairs.join(one, "u").join(other, "v").where(
+    """The pairs u, v whose sizes and sketches allow the similarity."""
+    def named(c):
+        return nodes.select(F.col("node").alias(c), F.col("n_shingles").alias(f"{c}n"),
+                            F.col("sketch").alias(f"{c}s"))
+
+    both = pairs.join(named("u"), "u").join(named("v"), "v").where(
         100 * F.least("un", "vn") >= PERCENT * F.greatest("un", "vn"))
 
     def work():
         def function(rows):
-            if not rows["u"]:
-                return {"u": [], "v": []}
-            a = np.frombuffer(b"".join(rows["us"]), np.uint16).reshape(-1, SYMBOLS)
-            b = np.frombuffer(b"".join(rows["vs"]), np.uint16).reshape(-1, SYMBOLS)
-            near = ((a != b).sum(1) <= MOST_DISTANCE).tolist()
+            near = ((_matrix(rows["us"]) == _matrix(rows["vs"])).sum(1) >= LEAST_EQUAL).tolist()
             return {c: [x for x, ok in zip(rows[c], near) if ok] for c in ("u", "v")}
         return function
 
     return map_batches(both.select("u", "v", "us", "vs"), "u long, v long", work)
 
 
+def nearest(nodes: list[int], components_: list[int], sizes: list[int], sketches: list[bytes],
+            tested: list[list[int]]) -> list[tuple[int, int]]:
+    """Each node with its NEAREST most similar ones of other components, not yet tested."""
+    matrix, out = _matrix(sketches), []
+    component, size = np.array(components_), np.array(sizes)
+    column = {n: i for i, n in enumerate(nodes)}
+    for start in range(0, len(nodes), 64):
+        part = slice(start, start + 64)
+        equal = (matrix[part, None, :] == matrix[None]).sum(2, dtype=np.int16)
+        equal[component[part, None] == component[None]] = 0
+        equal[100 * np.minimum(size[part, None], size) < PERCENT * np.maximum(size[part, None], size)] = 0
+        for i, row in enumerate(equal, start):
+            row[[column[t] for t in tested[i] if t in column]] = 0
+            some = np.flatnonzero(row >= LEAST_EQUAL)
+            best = some[np.argsort(-row[some], kind="stable")[:NEAREST]]
+            out += [(nodes[i], nodes[k]) for k in best.tolist()]
+    return out
+
+
+def _nearest(rows: DataFrame) -> DataFrame:
+    """u, v for rows that come sorted by key and block."""
+    names = ("node", "component", "n_shingles", "sketch", "tested")
+
+    def run(batches):
+        held: list[dict] = []
+
+        def pairs():
+            found = nearest(*([r[c] for r in held] for c in names)) if len(held) > 1 else []
+            return pa.RecordBatch.from_arrays(
+                [pa.array([x[i] for x in found], pa.int64()) for i in range(2)], ["u", "v"])
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and (row["key"], row["block"]) != (held[0]["key"], held[0]["block"]):
+                    yield pairs()
+                    held.clear()
+                held.append(row)
+        yield pairs()
+
+    return rows.select("key", "block", *names).mapInArrow(run, "u long, v long").distinct()
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """u, v and linked for each pair, by the full sets of both texts."""
     def named(id_, text):
@@ -141,45 +187,40 @@ def links(spark: SparkSession, docs: DataFrame, described_: DataFrame, words: in
     nodes = written(spark, described_.where("digest is not null and doc_id is not null")
                     .groupBy("digest").agg(
         F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"),
-        F.first("signature").alias("signature"), F.first("keys").alias("keys"))
+        F.first("sketch").alias("sketch"), F.first("keys").alias("keys"))
         .drop("digest"), "nodes")
-    # a key per pigeonhole; keys of one node say nothing
     members = nodes.select("node", F.explode("keys").alias("key"))
     counts = members.groupBy("key").count().where("count > 1")
     members = written(spark, members.join(counts, "key"), "members")
-    density = members.groupBy("node").agg(F.sum("count").alias("density"))
-    members = written(spark, members.drop("count").join(density, "node"), "members")
-    found = spark.createDataFrame([], "node long, component long")
-    tested = spark.createDataFrame([], "u long, v long, linked boolean")
-    been_centre = spark.createDataFrame([], "key long, node long")
-
-    def component_of(rows: DataFrame) -> DataFrame:
-        return rows.join(found, "node", "left").withColumn(
-            "component", F.coalesce("component", "node"))
-
+    density = written(spark, members.groupBy("node").agg(F.sum("count").alias("density")), "density")
+    centres = members.join(density, "node").groupBy("key").agg(
+        F.max_by("node", F.struct("density", -F.col("node"))).alias("v"))
+    pairs = members.join(centres, "key").where("node <> v").select(
+        F.col("node").alias("u"), "v").distinct()
+    nodes, tested, linked = nodes.drop("keys"), None, 0
     while True:
-        placed = component_of(members)
-        served = component_of(been_centre).select("key", "component").distinct()
-        centres = written(spark, placed.join(served, ["key", "component"], "left_anti")
-                          .groupBy("key").agg(F.max_by(
-                              F.struct("node", "component"),
-                              F.struct("density", -F.col("node"))).alias("c"))
-                          .select("key", F.col("c.node").alias("node"),
-                                  F.col("c.component").alias("centre_component")), "centres")
-        if centres.isEmpty():
-            return found
-        pairs = placed.select("key", F.col("node").alias("u"), "component").join(
-            centres.withColumnRenamed("node", "v"), "key").where(
-            "component <> centre_component").select("u", "v").distinct()
-        turned = tested.select(F.col("v").alias("u"), F.col("u").alias("v"))
-        pairs = pairs.join(tested.select("u", "v").union(turned), ["u", "v"], "left_anti")
-        pairs = written(spark, _close(pairs, nodes.drop("keys")), "pairs")
+        pairs = written(spark, _close(pairs, nodes), "pairs")
         ids = pairs.select(F.col("u").alias("doc_id")).union(pairs.select("v")).distinct()
         wanted = written(spark, texts.join(ids, "doc_id", "left_semi"), "texts")
-        tested = tested.unionByName(written(spark, _confirmed(pairs, wanted, words), "tested"))
+        result = written(spark, _confirmed(pairs, wanted, words), "tested")
+        tested = result if tested is None else tested.unionByName(result)
         found = written(spark, components(
             spark, tested.where("linked").select("u", "v")), "components")
-        been_centre = been_centre.unionByName(centres.select("key", "node"))
+        before, linked = linked, tested.where("linked").count()
+        if linked == before:
+            return found
+        placed = members.join(found, "node", "left").withColumn(
+            "component", F.coalesce("component", "node"))
+        open_ = placed.groupBy("key").agg(
+            F.min("component").alias("least"), F.max("component").alias("most")).where(
+            "least < most").select("key")
+        known = tested.groupBy(F.col("u").alias("node")).agg(F.collect_list("v").alias("tested"))
+        blocks = F.ceil(F.col("count") / BLOCK)
+        rows = placed.join(open_, "key", "left_semi").withColumn(
+            "block", F.pmod(F.xxhash64("node", "key"), blocks)).join(nodes, "node").join(
+            known, "node", "left").withColumn(
+            "tested", F.coalesce("tested", F.array().cast("array<bigint>")))
+        pairs = _nearest(rows.repartition("key", "block").sortWithinPartitions("key", "block"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, words: int) -> DataFrame:
@@ -189,7 +230,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int) -> DataFra
     of_set = table.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("node"))
     component = of_set.join(found, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("of_digest"))
-    named = table.drop("signature", "keys").join(component, "digest", "left")
+    named = table.drop("sketch", "keys").join(component, "digest", "left")
     id_ = F.when(F.col("doc_id").isNotNull(), F.coalesce("of_digest", "doc_id"))
     return named.select("doc_id", "n_shingles", id_.alias("component_id"),
                         F.coalesce(F.col("doc_id") == id_, F.lit(True)).alias("kept"))
