@@ -25,7 +25,7 @@ from claimrisk.llm.frames import map_batches
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|head|noscript|template|svg|title)\b.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)",
+    r"|<[!?][^>]*>?|</?[a-zA-Z][^<>]*\Z|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)",
     re.S | re.I)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 INLINE = frozenset(
@@ -153,6 +153,16 @@ LABELLED = [
     "end was told in a last block, as long as the first one was, and that was that.</p><p><a href=/c>"
     "-Read the next story of the day</a></p><p>-Told by us to you and all</p><p><a href=/d>-Write to "
     "us about this page here</a></p>",
+    "<div class=banner>-This is an offer that ends today, so do not wait and see but call us now and "
+    "we will bring you two of them for the price of one</div><div class=advert>-Buy one of ours, it "
+    "is the best there is and it lasts a lifetime and then some more, as all our customers say who "
+    "bought one</div><p>+Where nothing else says so, long blocks of words are the text of a page, and "
+    "the ones beside them are long as well.</p><p>+So is this one, which comes after it and has as "
+    "many words as one can expect of such a block.</p><div class=comments><p>-I read all of this and "
+    "I must say that I have never seen a page with so many words that say so little to me</p><p>-And "
+    "I for one think that it is the best page on this subject, and I have read all of the others "
+    "there are</p></div><div id=footer>-We do not answer for what others write here, nor for what "
+    "comes of it, in any land or at any time, as the law says</div>",
     "<div>-Print it</div><main><p>+Only this</p></main><div>-Top of it</div>",
 ]
 

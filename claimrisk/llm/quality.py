@@ -91,9 +91,9 @@ def features() -> list[Column]:
     """Transformed statistics: length, word length, symbols, repeated lines, repeated words."""
     s = {n: F.col(f"stats.{n}").cast("double") for n in
          ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
-    return [F.log(s["n_words"]), s["word_chars"] / s["n_words"],
-            F.sqrt(s["n_symbols"] / s["n_words"]), F.log1p(s["n_dup_lines"]),
-            F.sqrt(s["n_repeat_words"] / s["n_words"])]
+    n = F.greatest(s["n_words"], F.lit(1.0))
+    return [F.log(n), s["word_chars"] / n, F.sqrt(s["n_symbols"] / n), F.log1p(s["n_dup_lines"]),
+            F.sqrt(s["n_repeat_words"] / n)]
 
 
 def chi_square_quantile(probability: float, degrees: int) -> float:
