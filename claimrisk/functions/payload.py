@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from claimrisk.functions.columns import vector_columns
 from claimrisk.schemas import FEATURES
 
-RAW_CHARACTERS = 2000
-
 
 def records_payload(features: Sequence[str] = FEATURES) -> Column:
     """One request per row: a list with one record of the model inputs in contract order."""
@@ -32,7 +30,7 @@ def first_prediction(response: Column) -> Column:
 
 
 def response_text(response: Column) -> Column:
-    """The text of an answer, whichever of three shapes it has; else the raw start of the response.
+    """The text of an answer, whichever of three shapes it has; else the whole response.
 
     Output items with typed text parts (joined by line feeds), choices with a message, or a list
     of messages whose last one answers.
@@ -51,4 +49,4 @@ def response_text(response: Column) -> Column:
         F.when(F.size(spoken) > 0, text),
         F.try_element_at(shape["choices"], F.lit(1))["message"]["content"],
         F.when(last.isNotNull(), F.coalesce(last["content"], F.lit(""))),
-        F.substring(response, 1, RAW_CHARACTERS))
+        response)

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimrisk.functions.columns import cents, flag
-from claimrisk.operators.joins import fits_broadcast
 from claimrisk.operators.ranking import first_per_group
 from claimrisk.schemas import (
     DAILY_REVIEWS,
@@ -57,12 +56,11 @@ def rule_quality(claims: DataFrame, rule: Column) -> DataFrame:
 
 
 # --- ranking quality ---------------------------------------------------------------------
-def score_totals(spark: SparkSession, scored: DataFrame, buckets: int = SCORE_BUCKETS,
-                 one_task_rows: int | None = None) -> DataFrame:
+def score_totals(spark: SparkSession, scored: DataFrame, buckets: int = SCORE_BUCKETS) -> DataFrame:
     """One row per distinct score: its rows and positives, and those scored strictly higher.
 
-    Rows with the same score form one group.  The groups are written once; when they are many
-    they are cut into score ranges, each range is summed by itself and the totals of the higher
+    Rows with the same score form one group.  The groups are written once and cut into score
+    ranges; each range is summed by itself and the totals of the higher
     ranges (at most ``buckets`` numbers) are added, so no task sees all scores.
     """
     groups = written(
@@ -70,14 +68,11 @@ def score_totals(spark: SparkSession, scored: DataFrame, buckets: int = SCORE_BU
         scored.groupBy("score").agg(
             F.count("*").alias("n"), F.sum(F.col("label").cast("long")).alias("tp")),
         "score_groups")
-    if fits_broadcast(groups, one_task_rows):
-        ranged = groups.withColumn("_range", F.lit(0.0))
-    else:
-        steps = [i / buckets for i in range(1, buckets)]
-        cuts = sorted(set(groups.approxQuantile("score", steps, 0.25 / buckets)))
-        ranged = Bucketizer(
-            splits=[float("-inf"), *cuts, float("inf")], inputCol="score", outputCol="_range",
-        ).transform(groups)
+    steps = [i / buckets for i in range(1, buckets)]
+    cuts = sorted(set(groups.approxQuantile("score", steps, 0.25 / buckets)))
+    ranged = Bucketizer(
+        splits=[float("-inf"), *(cuts or [0.0]), float("inf")], inputCol="score", outputCol="_range",
+    ).transform(groups)
     higher = Window.orderBy(F.col("_range").desc()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranged.groupBy("_range").agg(F.sum("n").alias("_n"), F.sum("tp").alias("_tp")).select(
         "_range",
@@ -103,7 +98,8 @@ def ranking_quality(spark: SparkSession, scored: DataFrame, **options) -> DataFr
     """One row: rows, positives, prevalence, average precision and ROC AUC, exact with ties."""
     c = F.col
     totals = score_totals(spark, scored, **options)
-    step = c("tp") * (c("tp_above") + c("tp")) / (c("n_above") + c("n"))
+    tp = c("tp").cast("double")  # products of two counts leave 64 bits
+    step = tp * ((c("tp_above") + c("tp")) / (c("n_above") + c("n")))
     negatives = c("n") - c("tp")
     above = c("n_above") - c("tp_above")
     sums = totals.agg(
@@ -111,7 +107,7 @@ def ranking_quality(spark: SparkSession, scored: DataFrame, **options) -> DataFr
         F.sum("tp").alias("positives"),
         F.sum(step).alias("_precision"),
         # positives scored below a negative, ties counted half, in doubled units
-        F.sum(c("tp") * (2 * above + negatives)).alias("_inversions"),
+        F.sum(tp * (2 * above + negatives)).alias("_inversions"),
     )
     neg = c("rows") - c("positives")
     return sums.select(
@@ -119,7 +115,7 @@ def ranking_quality(spark: SparkSession, scored: DataFrame, **options) -> DataFr
         F.try_divide(c("positives"), c("rows")).alias("prevalence"),
         F.round(F.try_divide(c("_precision"), c("positives")), 10).alias("average_precision"),
         F.round(
-            1 - F.try_divide(c("_inversions").cast("double"), 2.0 * c("positives") * neg), 10,
+            1 - F.try_divide(c("_inversions").cast("double"), c("positives").cast("double") * 2 * neg), 10,
         ).alias("roc_auc"),
     )
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimrisk.functions.columns import whole_cents
+
 NO_SITE = "NA"
+PRICE_RANGE = 10_000  # cents
 
 
 def site_key(site: str = "site") -> Column:
@@ -14,18 +17,39 @@ def site_key(site: str = "site") -> Column:
 
 
 def reference_prices(network: DataFrame) -> DataFrame:
-    """Approximate median network price per procedure code (mergeable sketch, no group collected)."""
-    return network.groupBy("proc_code").agg(
-        F.round(F.percentile_approx("amount", 0.5), 2).alias("reference_price")
-    )
+    """Exact (lower) median network price per procedure code.
+
+    Prices are counted by whole cents and, coarser, by ranges of ``PRICE_RANGE`` cents.  The range in
+    which a code's count passes one half is found first, then the price within it, so no task
+    holds more of a code than its ranges or the prices of one of them.
+    """
+    priced = network.where("amount is not null").groupBy(
+        "proc_code", whole_cents(F.col("amount")).alias("price")).agg(F.count("*").alias("n"))
+    priced = priced.withColumn("range", F.floor(F.col("price") / PRICE_RANGE))
+    of_code = Window.partitionBy("proc_code")
+    before = of_code.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = priced.groupBy("proc_code", "range").agg(F.sum("n").alias("rows")).withColumns({
+        "before": F.coalesce(F.sum("rows").over(before), F.lit(0)),
+        "half": (F.sum("rows").over(of_code) + 1).cast("decimal(38,0)") / 2,
+    }).withColumn("half", F.floor("half")).where(
+        (F.col("before") < F.col("half")) & (F.col("before") + F.col("rows") >= F.col("half")))
+    upto = of_code.orderBy("price").rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        priced.join(ranges.drop("rows"), ["proc_code", "range"])
+        .where("half is not null").withColumn("upto", F.col("before") + F.sum("n").over(upto))
+        .where(F.col("upto") >= F.col("half")).groupBy("proc_code")
+        .agg((F.min("price") / 100.0).alias("reference_price")))
+
+
+def document_counts(rows: DataFrame, document: str = "document", row_id: str = "claim_id") -> DataFrame:
+    """Documents with the number of rows that present them."""
+    return rows.where(F.col(document).isNotNull()).groupBy(document).agg(
+        F.count(row_id).alias("document_rows"))
 
 
 def repeated_documents(rows: DataFrame, document: str = "document", row_id: str = "claim_id") -> DataFrame:
     """Documents presented more than once, with the number of rows."""
-    return (
-        rows.groupBy(document).agg(F.count(row_id).alias("document_rows"))
-        .filter("document_rows > 1")
-    )
+    return document_counts(rows, document, row_id).filter("document_rows > 1")
 
 
 def network_marks(network: DataFrame) -> DataFrame:

@@ -100,7 +100,7 @@ def roc_auc(spark: SparkSession, root: str) -> DataFrame:
 def amount_ranking(spark: SparkSession, root: str) -> DataFrame:
     """Quality of the bare amount as a score: nearly every score is distinct."""
     lines = scored_lines(spark, root).withColumn("score", F.col("amount"))
-    return evaluate.ranking_quality(spark, lines, one_task_rows=1000)
+    return evaluate.ranking_quality(spark, lines)
 
 
 def threshold_sweep(spark: SparkSession, root: str) -> DataFrame:
@@ -148,10 +148,9 @@ def scenario_recall(spark: SparkSession, root: str) -> DataFrame:
 
 
 def detection_by_scenario(spark: SparkSession, root: str) -> DataFrame:
-    """Share of each scenario among the positives that the score reaches."""
+    """Share of each scenario among the positives that the score reaches; a claim may show several."""
     queue_rows = queue_of(spark, root)
-    answer_key = scenarios.scenario_hits(queue_rows.filter("label = 1")).groupBy("claim_id").agg(
-        F.min("scenario").alias("scenario"))
+    answer_key = scenarios.scenario_hits(queue_rows.filter("label = 1"))
     return scenarios.detection_by_scenario(queue_rows, answer_key, THRESHOLD)
 
 
@@ -322,12 +321,11 @@ FROM scored""",
   coalesce(count(*) FILTER ({r} AND label = 1) / nullif(any_value(p), 0), 0) AS recall
   FROM features, t""" for n, r in _SCENARIOS.items()),
     "detection_by_scenario": f"""WITH {q.SCORED},
-hits AS ({_hits(_SCENARIOS, "scenario", "scored")}),
-answers AS (SELECT claim_id, min(scenario) AS scenario FROM hits GROUP BY claim_id)
+hits AS ({_hits(_SCENARIOS, "scenario", "scored")})
 SELECT scenario, count(*) AS claims, {q.rnd("avg(score)", 6)} AS mean_score,
   {q.rnd("100.0 * count(*) FILTER (score >= 0.3) / count(*)", 1)} AS pct_detected,
   {q.money("amount")} AS amount
-FROM scored LEFT JOIN answers USING (claim_id) WHERE label = 1 GROUP BY scenario""",
+FROM scored LEFT JOIN hits USING (claim_id) WHERE label = 1 GROUP BY scenario""",
     "alerts": f"""WITH {q.FEATURES},
 a AS (SELECT claim_id, list_filter([{", ".join(f"CASE WHEN {r} THEN '{n}' END" for n, r in _ALERTS.items())}],
   lambda x: x IS NOT NULL) AS l FROM features)

@@ -17,7 +17,7 @@ from claimrisk.operators.joins import (
     spread_left_join,
     spread_nulls,
 )
-from claimrisk.schemas import FEATURES
+from claimrisk.schemas import BURST_DAYS, FEATURES
 from claimrisk.session import written
 from claimrisk.sources.domain import Domain
 
@@ -53,9 +53,19 @@ class Staged:
     daily: DataFrame
     providers: DataFrame
     members: DataFrame
-    repeated: DataFrame
+    documents: DataFrame
     prices: DataFrame
 
+    @property
+    def repeated(self) -> DataFrame:
+        return self.documents.filter("document_rows > 1")
+
+    @property
+    def pair_days(self) -> DataFrame:
+        """Per pair its days with their claims: at most one entry for each day of the calendar."""
+        return self.daily.groupBy("member_id", "provider_id").agg(F.collect_list(F.struct(
+            F.unix_date("proc_date").alias("day"), "n")).alias("days"))
+
     @property
     def hot_members(self) -> DataFrame:
         return hot_keys(self.members, ["member_id"], "mem_claims")
@@ -69,8 +79,7 @@ def stage(spark: SparkSession, d: Domain) -> Staged:
     """Write the per-day, per-entity and per-document summaries to the shared folder.
 
     The claims are shuffled once, already reduced to (member, provider, day); the entity tables
-    follow from that table, and their counts tell the joins which keys are hot.  Prices are
-    approximate medians, so batch and stream must read the same written table.
+    follow from that table, and their counts tell the joins which keys are hot.
     """
     daily = written(spark, entity.pair_burst(entity.daily_pairs(d.claims, d.ceiling)), "daily")
     pairs = entity.pair_totals(daily)
@@ -78,7 +87,7 @@ def stage(spark: SparkSession, d: Domain) -> Staged:
         daily=daily,
         providers=written(spark, entity.provider_features(pairs), "provider_features"),
         members=written(spark, entity.member_features(pairs), "member_features"),
-        repeated=written(spark, signals.repeated_documents(d.claims), "repeated_documents"),
+        documents=written(spark, signals.document_counts(d.claims), "document_counts"),
         prices=written(spark, signals.reference_prices(d.network), "reference_prices"),
     )
 
@@ -94,9 +103,19 @@ def add_burst(placed: DataFrame, s: Staged, slots: KeySlots) -> DataFrame:
     return slots.left_join(placed, s.daily.select("member_id", *on, "pair_claims_30d"), on)
 
 
-def add_repeated_document(rows: DataFrame, s: Staged) -> DataFrame:
+def add_arriving_burst(placed: DataFrame, s: Staged, slots: KeySlots) -> DataFrame:
+    """The 30-day count of the pair in the history, and the arriving claim itself."""
+    day = F.unix_date("proc_date")
+    recent = F.filter("days", lambda d: d["day"].between(day - BURST_DAYS, day))
+    counted = F.aggregate(recent, F.lit(0).cast("long"), lambda n, d: n + d["n"])
+    return slots.left_join(placed, s.pair_days, ["provider_id"]).withColumn(
+        "pair_claims_30d", F.coalesce(counted, F.lit(0)) + 1).drop("days")
+
+
+def add_repeated_document(rows: DataFrame, documents: DataFrame) -> DataFrame:
+    """1 for claims whose document is among the given ones."""
     rows, key = spread_nulls(rows, "document", "claim_id")
-    repeated = s.repeated.withColumnRenamed("document", key)
+    repeated = documents.withColumnRenamed("document", key)
     return spread_left_join(
         rows, repeated, [key], "claim_id", hot_keys(repeated, [key], "document_rows"),
     ).withColumn(
@@ -124,19 +143,24 @@ def add_prior_event(placed: DataFrame, network: DataFrame, code: str, slots: Key
 
 
 def feature_table(
-    spark: SparkSession, d: Domain, staged: Staged | None = None, extra: tuple[str, ...] = ()
+    spark: SparkSession, d: Domain, staged: Staged | None = None, extra: tuple[str, ...] = (),
+    arriving: bool = False,
 ) -> DataFrame:
     """Keys, the 20 contract features and the label.
 
     The claims move three times at most: by document, by member for all member joins, and by
     provider when that table is too large to broadcast.  Every step is a left join to a static
     table, so a stream of claims gets the very same columns.
+
+    ``arriving``: the claims are not part of the staged history.  Each is counted together with
+    it: one more claim of its pair, one more use of its document.
     """
     s = staged or stage(spark, d)
     slots = member_slots(s)
-    rows = slots.place(add_repeated_document(d.claims, s), "claim_id")
+    used = s.documents if arriving else s.repeated
+    rows = slots.place(add_repeated_document(d.claims, used), "claim_id")
     rows = slots.left_join(rows, s.members)
-    rows = add_burst(rows, s, slots)
+    rows = add_arriving_burst(rows, s, slots) if arriving else add_burst(rows, s, slots)
     rows = add_network_mark(rows, d.network, slots)
     rows = add_prior_event(rows, d.network, d.event_code, slots)
     rows = own_claim_features(replace(d, claims=rows), s, slots)

@@ -80,7 +80,7 @@ def lookup_chain(spark: SparkSession, root: str) -> DataFrame:
     _register(spark, root)
     return spark.sql(f"""
         SELECT m.member_id, m.plan_name, f.provider_id, f.specialty, f.distance_km
-        FROM find_member('111.111.110-03') m,
+        FROM find_member('000.000.000-03') m,
              LATERAL find_providers(m.lat, m.lon, '{SPECIALTY}', m.plan_name, 200) f""")
 
 
@@ -166,25 +166,29 @@ QUERIES = {
 }
 
 
+def _digest(key: str, salt: int) -> str:
+    return f"CAST('0x' || substr(md5({key} || '-{salt}'), 1, 8) AS BIGINT)"
+
+
 def _place(key: str, lat_step: int, lon_step: int) -> str:
-    return f"""CASE WHEN {key} % 3 = 0 THEN -23.5::DOUBLE + ({key} % 97) / 5000.0::DOUBLE
+    town = f"{_digest(key, 12)} % 3 = 0"
+    return f"""CASE WHEN {town} THEN -23.5::DOUBLE + ({key} % 97) / 5000.0::DOUBLE
     ELSE -25.5::DOUBLE + ({key} * {lat_step} % 10007) * 4.0::DOUBLE / 10007.0::DOUBLE END AS lat,
-  CASE WHEN {key} % 3 = 0 THEN -46.6::DOUBLE + ({key} % 89) / 5000.0::DOUBLE
+  CASE WHEN {town} THEN -46.6::DOUBLE + ({key} % 89) / 5000.0::DOUBLE
     ELSE -48.6::DOUBLE + ({key} * {lon_step} % 10009) * 4.0::DOUBLE / 10009.0::DOUBLE END AS lon"""
 
 
 _PROVIDERS = f"""
-pp AS (SELECT s_suppkey AS provider_id, s_name AS provider_name, 'Specialty ' || (s_suppkey % 3) AS specialty,
+pp AS (SELECT s_suppkey AS provider_id, s_name AS provider_name, 'Specialty ' || ({_digest("s_suppkey", 11)} % 3) AS specialty,
   s_nationkey AS region, s_suppkey % 5 < 3 AS in_network,
   (s_suppkey * 7 % 51) / 10.0::DOUBLE AS rating, s_suppkey % 20 < 7 AS urgent,
   CASE WHEN s_suppkey % 5 < 3 THEN list_filter([
-    CASE WHEN s_suppkey % 2 = 0 THEN 'AUTOMOBILE' END, CASE WHEN s_suppkey % 3 = 0 THEN 'BUILDING' END,
-    CASE WHEN s_suppkey % 4 = 0 THEN 'FURNITURE' END, CASE WHEN s_suppkey % 5 = 0 THEN 'HOUSEHOLD' END,
-    CASE WHEN s_suppkey % 6 = 0 THEN 'MACHINERY' END], lambda x: x IS NOT NULL) ELSE [] END AS plans,
+    {", ".join(f"CASE WHEN {_digest('s_suppkey', 20 + i)} % {i + 2} = 0 THEN '{p}' END"
+               for i, p in enumerate(domain.PLAN_NAMES))}], lambda x: x IS NOT NULL) ELSE [] END AS plans,
   {_place("s_suppkey", 7919, 6101)} FROM supplier)"""
 
 _MEMBERS = f"""
-d AS (SELECT *, lpad(c_custkey::VARCHAR, 11, '1') AS digits FROM customer),
+d AS (SELECT *, lpad(c_custkey::VARCHAR, 11, '0') AS digits FROM customer),
 mp AS (SELECT c_custkey AS member_id, c_name AS member_name,
   CASE WHEN c_custkey % 2 = 0 THEN digits[1:3] || '.' || digits[4:6] || '.' || digits[7:9] || '-' || digits[10:11]
     ELSE digits END AS national_id, digits, c_mktsegment AS plan_name, c_nationkey AS region,
@@ -234,7 +238,7 @@ FROM {_search(f"{HERE[0]}::DOUBLE", f"{HERE[1]}::DOUBLE", f"'{s}'", "'BUILDING'"
         for s, r in [(SPECIALTY, t) for t in RADIUS_TIERS_KM] + [("No such specialty", 200)]),
     "lookup_chain": f"""WITH {_PROVIDERS}, {_MEMBERS}
 SELECT m.member_id, m.plan_name, f.provider_id, f.specialty, f.distance_km
-FROM (SELECT * FROM mp WHERE digits = '11111111003' ORDER BY member_id LIMIT 1) m,
+FROM (SELECT * FROM mp WHERE digits = '00000000003' ORDER BY member_id LIMIT 1) m,
   LATERAL {_search("m.lat", "m.lon", f"'{SPECIALTY}'", "m.plan_name", 200)} f""",
     "member_lookup": f"""WITH {_MEMBERS},
 f AS (SELECT * FROM mp QUALIFY row_number() OVER (PARTITION BY digits ORDER BY member_id) = 1)
@@ -265,14 +269,10 @@ UNION ALL SELECT '11111111111', 900001, 'AUTOMOBILE' UNION ALL SELECT '222222222
 }
 
 
-def _draw(salt: int) -> str:
-    return f"CAST('0x' || substr(md5(s_suppkey || '-{salt}'), 1, 8) AS BIGINT)"
-
-
 ORACLE["placement"] = f"""WITH p AS (SELECT s_suppkey AS provider_id, s_nationkey AS region,
-  CAST({_draw(1)} % 3 AS INTEGER) AS district,
-  ({_draw(2)} / 4294967296.0::DOUBLE * 2 - 1) * 0.009::DOUBLE AS dlat,
-  ({_draw(3)} / 4294967296.0::DOUBLE * 2 - 1) * 0.009::DOUBLE AS dlon FROM supplier)
+  CAST({_digest("s_suppkey", 1)} % 3 AS INTEGER) AS district,
+  ({_digest("s_suppkey", 2)} / 4294967296.0::DOUBLE * 2 - 1) * 0.009::DOUBLE AS dlat,
+  ({_digest("s_suppkey", 3)} / 4294967296.0::DOUBLE * 2 - 1) * 0.009::DOUBLE AS dlon FROM supplier)
 SELECT provider_id, region, district,
   {rnd("-30.0::DOUBLE + region + district * 0.05::DOUBLE + dlat", 6)} AS lat,
   {rnd("-60.0::DOUBLE + region * 0.8::DOUBLE + district * 0.05::DOUBLE + dlon", 6)} AS lon FROM p"""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimrisk.functions import payload
+from claimrisk.functions.columns import vector_columns
 from claimrisk.operators import entity, publish, queue
 from claimrisk.operators.ranking import top
 from claimrisk.plans import sqlparts as q
@@ -14,14 +15,17 @@ from claimrisk.schemas import FEATURES, MEMBER_FEATURES, PROVIDER_FEATURES
 from claimrisk.sources.tables import read_table
 
 
+CUT = "1999-06-01"
+
+
 def publish_provider(spark: SparkSession, root: str) -> DataFrame:
-    """One row per provider, collapsed from the feature table."""
-    return publish.collapse(gold(spark, root), "provider_id", PROVIDER_FEATURES)
+    """One row per provider, from the written summaries."""
+    return staged(spark, root).providers
 
 
 def publish_member(spark: SparkSession, root: str) -> DataFrame:
-    """One row per member, collapsed from the feature table."""
-    return publish.collapse(gold(spark, root), "member_id", MEMBER_FEATURES)
+    """One row per member, from the written summaries."""
+    return staged(spark, root).members
 
 
 def published_top10(spark: SparkSession, root: str) -> DataFrame:
@@ -29,7 +33,7 @@ def published_top10(spark: SparkSession, root: str) -> DataFrame:
 
 
 def publish_dq(spark: SparkSession, root: str) -> DataFrame:
-    """Null and repeated keys of the published tables and of the raw treatments' order key."""
+    """Null and repeated keys of the published tables, and of the daily table by its member alone."""
     tables = [("provider", publish_provider(spark, root), "provider_id"),
               ("member", publish_member(spark, root), "member_id"),
               ("pair_day", staged(spark, root).daily, "member_id")]
@@ -39,15 +43,11 @@ def publish_dq(spark: SparkSession, root: str) -> DataFrame:
 
 
 def publish_diff(spark: SparkSession, root: str) -> DataFrame:
-    """What changes between the member features of two overlapping periods."""
+    """What changes in the member features between a cut day and the end of the history."""
     d = silver(spark, root)
-
-    def snapshot(first, last):
-        rows = d.claims.filter(F.col("req_date").between(first, last))
-        return entity.member_features(entity.pair_totals(entity.daily_pairs(rows, d.ceiling)))
-    return publish.changes(
-        snapshot("1997-01-01", "1997-12-31"), snapshot("1997-09-01", "1998-06-30"),
-        "member_id", MEMBER_FEATURES)
+    before = d.claims.filter(F.col("req_date") < CUT)
+    old = entity.member_features(entity.pair_totals(entity.daily_pairs(before, d.ceiling)))
+    return publish.changes(old, staged(spark, root).members, "member_id", MEMBER_FEATURES)
 
 
 def online_vector(spark: SparkSession, root: str) -> DataFrame:
@@ -58,17 +58,22 @@ def online_vector(spark: SparkSession, root: str) -> DataFrame:
 
 
 def score_parity(spark: SparkSession, root: str) -> DataFrame:
-    """Scores of the batch feature table against scores of the online vectors."""
-    batch = gold(spark, root).select("claim_id", F.expr(q.SCORE_SQL).alias("score"))
-    online = online_vector(spark, root).select("claim_id", F.expr(q.SCORE_SQL).alias("score"))
-    return publish.parity(batch, online, "claim_id", ["score"])
+    """All model inputs of the batch table against the online vectors, with one planted difference.
+
+    The claim with the smallest id gets one provider claim too many, which the check must find.
+    """
+    rows = gold(spark, root)
+    planted = rows.agg(F.min("claim_id")).first()[0]
+    online = online_vector(spark, root).withColumn("prov_claims", F.when(
+        F.col("claim_id") == planted, F.col("prov_claims") + 1).otherwise(F.col("prov_claims")))
+    return publish.parity(
+        rows.select("claim_id", *vector_columns()), online, "claim_id", FEATURES)
 
 
 def replica_parity(spark: SparkSession, root: str) -> DataFrame:
-    """Published provider features against those of the feature table."""
-    return publish.parity(
-        staged(spark, root).providers, publish_provider(spark, root), "provider_id",
-        PROVIDER_FEATURES)
+    """Published provider features against those collapsed from the feature table."""
+    replica = publish.collapse(gold(spark, root), "provider_id", PROVIDER_FEATURES)
+    return publish.parity(publish_provider(spark, root), replica, "provider_id", PROVIDER_FEATURES)
 
 
 def request_payload(spark: SparkSession, root: str) -> DataFrame:
@@ -114,10 +119,9 @@ QUERIES = {
 _FIRST = ",".join([q.CLAIMS, q.PROVIDER_TABLE, q.MEMBER_TABLE])
 
 
-def _snapshot(first: str, last: str) -> str:
+def _snapshot(condition: str) -> str:
     return f"""SELECT member_id, count(*) AS mem_claims, {q.money("amount")} AS mem_total_amount,
-  count(DISTINCT provider_id) AS mem_providers FROM claims
-  WHERE req_date BETWEEN DATE '{first}' AND DATE '{last}' GROUP BY member_id"""
+  count(DISTINCT provider_id) AS mem_providers FROM claims WHERE {condition} GROUP BY member_id"""
 
 
 ORACLE = {
@@ -130,8 +134,8 @@ SELECT 'provider' AS table_name, count(*) AS "rows", 0::BIGINT AS null_keys, 0::
 UNION ALL SELECT 'member', count(*), 0, 0 FROM mem
 UNION ALL SELECT 'pair_day', (SELECT count(*) FROM x), 0,
   (SELECT count(*) FROM (SELECT member_id FROM x GROUP BY member_id HAVING count(*) > 1))""",
-    "publish_diff": f"""WITH {q.CLAIMS}, o AS ({_snapshot("1997-01-01", "1997-12-31")}),
-n AS ({_snapshot("1997-09-01", "1998-06-30")})
+    "publish_diff": f"""WITH {q.CLAIMS}, o AS ({_snapshot(f"req_date < DATE '{CUT}'")}),
+n AS ({_snapshot("TRUE")})
 SELECT coalesce(n.member_id, o.member_id) AS member_id,
   CASE WHEN o.member_id IS NULL THEN 'insert' WHEN n.member_id IS NULL THEN 'delete' ELSE 'update' END AS change,
   n.mem_claims, n.mem_total_amount, n.mem_providers
@@ -143,8 +147,10 @@ WHERE o.member_id IS NULL OR n.member_id IS NULL OR o.mem_claims <> n.mem_claims
     "scores_joined_back": f"WITH {q.QUEUE} SELECT claim_id, score, priority, value_at_risk FROM queue",
     "response_texts": "SELECT conv_id, turn, text FROM conversations",
     "score_parity": f"""WITH {q.CLAIMS}
-SELECT 'score' AS column_name, 0::DOUBLE AS max_gap, 0::BIGINT AS beyond_tolerance,
-  count(*) AS compared, 0::BIGINT AS left_only, 0::BIGINT AS right_only FROM claims""",
+SELECT c AS column_name, CASE WHEN c = 'prov_claims' THEN 1 ELSE 0 END::DOUBLE AS max_gap,
+  CASE WHEN c = 'prov_claims' THEN 1 ELSE 0 END::BIGINT AS beyond_tolerance,
+  (SELECT count(*) FROM claims) AS compared, 0::BIGINT AS left_only, 0::BIGINT AS right_only
+FROM (VALUES {", ".join(f"('{c}')" for c in FEATURES)}) v(c)""",
     "replica_parity": f"""WITH {_FIRST}
 SELECT c AS column_name, 0::DOUBLE AS max_gap, 0::BIGINT AS beyond_tolerance,
   (SELECT count(*) FROM prov) AS compared, 0::BIGINT AS left_only, 0::BIGINT AS right_only

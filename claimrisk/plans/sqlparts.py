@@ -13,10 +13,9 @@ def money(expr: str) -> str:
 
 TREATMENTS = """
 treatments AS (
-  SELECT claim_id, member_id, provider_id, proc_code, site, amount, l_returnflag, l_linestatus,
-         proc_date, req_date, document
+  SELECT (line_id * 1000000 + nth - 1) AS claim_id, * EXCLUDE (line_id, nth)
   FROM (
-    SELECT l_orderkey * 10 + l_linenumber AS claim_id, o_custkey AS member_id,
+    SELECT l_orderkey * 10 + l_linenumber AS line_id, o_custkey AS member_id,
            l_suppkey AS provider_id, p_type AS proc_code,
            CASE WHEN p_size % 4 = 0 THEN NULL ELSE p_brand END AS site,
            l_extendedprice AS amount, l_returnflag, l_linestatus,
@@ -24,9 +23,9 @@ treatments AS (
            CAST(greatest(o_orderdate, l_shipdate) AS DATE) AS req_date,
            'NF' || l_suppkey || '-' || l_partkey AS document,
            row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-             ORDER BY l_partkey, l_suppkey, l_extendedprice, l_quantity, l_shipdate) AS rn
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)
-  WHERE rn = 1)"""
+             ORDER BY l_partkey, l_suppkey, l_extendedprice, l_quantity, l_shipdate, l_returnflag,
+             l_linestatus) AS nth
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey))"""
 
 CLAIMS = TREATMENTS + """,
 claims AS (
@@ -56,17 +55,18 @@ prices AS (SELECT proc_code, """ + rnd("quantile_disc(amount, 0.5)", 2) + """ AS
 
 DOMAIN = ",".join([CLAIMS, NETWORK, MEMBERS, PROVIDERS, PLANS, PRICES])
 
-ENRICHED = DOMAIN + """,
+def enriched(claims: str = "claims") -> str:
+    return DOMAIN + f""",
 enriched AS (
   SELECT c.*, m.region, m.plan_id, m.enrolled_on, l.plan_rate, p.in_network,
          p.region AS provider_region, r.reference_price
-  FROM claims c
+  FROM {claims} c
   LEFT JOIN members m ON m.member_id = c.member_id
   LEFT JOIN plans l ON l.plan_id = m.plan_id
   LEFT JOIN providers p ON p.provider_id = c.provider_id
   LEFT JOIN prices r ON r.proc_code = c.proc_code),
 own AS (
-  SELECT *, """ + rnd("amount / reference_price", 4) + """ AS price_ratio,
+  SELECT *, {rnd("amount / reference_price", 4)} AS price_ratio,
          CAST(proc_date - enrolled_on AS INTEGER) AS days_since_enrolment,
          CASE WHEN proc_date - enrolled_on <= 120 THEN 1 ELSE 0 END AS recent_enrolment,
          CASE WHEN NOT in_network THEN 1 ELSE 0 END AS out_of_network,
@@ -75,19 +75,26 @@ own AS (
          CAST(req_date - proc_date AS INTEGER) AS days_to_request
   FROM enriched)"""
 
-PROVIDER_TABLE = """
+
+def provider_table(claims: str = "claims") -> str:
+    return f"""
 prov AS (
   SELECT provider_id, count(*) AS prov_claims, count(DISTINCT member_id) AS prov_members,
-         """ + rnd(money("amount") + " / count(*)", 2) + """ AS prov_mean_amount,
-         """ + rnd("sum(CASE WHEN amount > 51000 AND amount <= 60000 THEN 1 ELSE 0 END) / count(*)", 4) + """
+         {rnd(money("amount") + " / count(*)", 2)} AS prov_mean_amount,
+         {rnd("sum(CASE WHEN amount > 51000 AND amount <= 60000 THEN 1 ELSE 0 END) / count(*)", 4)}
            AS prov_near_ceiling_share
-  FROM claims GROUP BY provider_id)"""
+  FROM {claims} GROUP BY provider_id)"""
+
 
-MEMBER_TABLE = """
+def member_table(claims: str = "claims") -> str:
+    return f"""
 mem AS (
-  SELECT member_id, count(*) AS mem_claims, """ + money("amount") + """ AS mem_total_amount,
+  SELECT member_id, count(*) AS mem_claims, {money("amount")} AS mem_total_amount,
          count(DISTINCT provider_id) AS mem_providers
-  FROM claims GROUP BY member_id)"""
+  FROM {claims} GROUP BY member_id)"""
+
+
+ENRICHED, PROVIDER_TABLE, MEMBER_TABLE = enriched(), provider_table(), member_table()
 
 BURST = """
 burst AS (
@@ -104,7 +111,7 @@ REMOVED = """
 removed AS (SELECT member_id, site, min(proc_date) AS removed_on FROM network
   WHERE proc_code = 'ECONOMY' GROUP BY member_id, site)"""
 
-FEATURES = ",".join([ENRICHED, PROVIDER_TABLE, MEMBER_TABLE, BURST, REPEATED, MARKS, REMOVED]) + """,
+_FEATURES = """,
 features AS (
   SELECT o.claim_id, o.member_id, o.provider_id, o.proc_code, o.req_date,
          amount, price_ratio, days_since_enrolment, recent_enrolment, out_of_network,
@@ -123,19 +130,37 @@ features AS (
     AND k.site_key = coalesce(o.site, 'NA')
   LEFT JOIN removed x ON x.member_id = o.member_id AND x.site = o.site)"""
 
+FEATURES = ",".join(
+    [ENRICHED, PROVIDER_TABLE, MEMBER_TABLE, BURST, REPEATED, MARKS, REMOVED]) + _FEATURES
+
+
+def arriving_features(cut: str) -> str:
+    """Features of the claims requested from a day on, each with the history before that day."""
+    return ",".join([
+        enriched(f"(SELECT * FROM claims WHERE req_date >= DATE '{cut}')"), f"""
+history AS (SELECT * FROM claims WHERE req_date < DATE '{cut}')""",
+        provider_table("history"), member_table("history"), """
+burst AS (SELECT a.claim_id, 1 + count(h.claim_id) AS pair_claims_30d FROM claims a LEFT JOIN history h
+  ON h.member_id = a.member_id AND h.provider_id = a.provider_id
+  AND h.proc_date BETWEEN a.proc_date - 30 AND a.proc_date GROUP BY a.claim_id)""", """
+repeated AS (SELECT DISTINCT document FROM history)""", MARKS, REMOVED]) + _FEATURES
+
+
 # A fixed score in exact 32nds, so both sides rank alike.
 SCORE_SQL = (
     "(8 * repeated_document + 7 * in_network_too + 6 * site_already_removed + 4 * near_ceiling"
     " + 3 * out_of_network + 2 * CAST(pair_claims_30d >= 2 AS INT) + 1 * recent_enrolment"
     " + 1 * region_mismatch) / CAST(32 AS DOUBLE)")
 
-SCORED = FEATURES + """,
+SCORED_FROM = """,
 scored AS (SELECT *, """ + SCORE_SQL + """ AS score FROM features)"""
+SCORED = FEATURES + SCORED_FROM
 
-QUEUE = SCORED + """,
+QUEUE_FROM = """,
 queue AS (
   SELECT * REPLACE (coalesce(price_ratio, -1) AS price_ratio),
          CASE WHEN score >= 0.8 THEN 'CRITICA' WHEN score >= 0.3 THEN 'ALTA'
               WHEN score >= 0.15 THEN 'MEDIA' ELSE 'BAIXA' END AS priority,
          """ + rnd("score * amount", 2) + """ AS value_at_risk
   FROM scored)"""
+QUEUE = SCORED + QUEUE_FROM

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimrisk.plans import sqlparts as q
-from claimrisk.plans.lake import location, silver, staged
+from claimrisk.plans.features import stage
+from claimrisk.plans.lake import location, silver
 from claimrisk.schemas import TABLES
 from claimrisk.session import work_dir
 from claimrisk.sources import domain
@@ -14,6 +17,7 @@ from claimrisk.streaming.burst import hourly_counts
 from claimrisk.streaming.scoring import append_files, claim_stream, scored_stream
 
 THRESHOLD = 0.30
+CUT = "1999-06-01"
 
 
 def _finished(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
@@ -25,10 +29,12 @@ def _finished(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
 
 
 def stream_score(spark: SparkSession, root: str) -> DataFrame:
-    """Claims arriving as files, scored against the published history."""
-    d, published = silver(spark, root), staged(spark, root)
+    """Claims requested from a day on, arriving file by file, scored against the history before."""
+    d = silver(spark, root)
+    published = stage(spark, replace(d, claims=d.claims.filter(F.col("req_date") < CUT)))
     path, schema = location(spark, root, "treatments")
-    arriving = domain.claims(claim_stream(spark, path, schema))
+    arriving = domain.claims(claim_stream(spark, path, schema, files_per_batch=4)).filter(
+        F.col("req_date") >= CUT)
     return _finished(
         spark,
         scored_stream(spark, arriving, d, published, F.expr(q.SCORE_SQL), threshold=THRESHOLD),
@@ -36,13 +42,13 @@ def stream_score(spark: SparkSession, root: str) -> DataFrame:
 
 
 def stream_burst_1h(spark: SparkSession, root: str) -> DataFrame:
-    """Users with two or more events within an hour, window by window."""
+    """Events of every user within an hour, window by window."""
     events = (
         spark.readStream.schema(TABLES["events"]).option("pathGlobFilter", "events.parquet")
         .parquet(root)
         .select("user_id", F.col("ts").cast("timestamp").alias("ts"))
     )
-    counts = hourly_counts(events, "user_id").filter("n >= 2")
+    counts = hourly_counts(events, "user_id")
     return _finished(spark, counts, "stream_burst").select(
         "user_id", F.unix_seconds("window_start").alias("starts"),
         F.unix_seconds("window_end").alias("ends"), "n")
@@ -51,11 +57,11 @@ def stream_burst_1h(spark: SparkSession, root: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (stream_score, stream_burst_1h)}
 
 ORACLE = {
-    "stream_score": f"WITH {q.QUEUE} SELECT claim_id, score, priority, value_at_risk FROM queue",
+    "stream_score": f"WITH {q.arriving_features(CUT)}{q.SCORED_FROM}{q.QUEUE_FROM} SELECT claim_id, score, priority, value_at_risk FROM queue",
     # a window is final once the watermark, the latest event less 10 minutes, has passed its end
     "stream_burst_1h": """WITH e AS (SELECT user_id, CAST(floor(epoch(ts)) AS BIGINT) AS s FROM events),
 m AS (SELECT max(epoch_ms(ts)) - 600000 AS mark FROM events),
 w AS (SELECT user_id, s // 300 * 300 - unnest(range(0, 12)) * 300 AS starts FROM e)
 SELECT user_id, starts, starts + 3600 AS ends, count(*) AS n FROM w, m
-WHERE (starts + 3600) * 1000 <= mark GROUP BY user_id, starts HAVING count(*) >= 2""",
+WHERE (starts + 3600) * 1000 <= mark GROUP BY user_id, starts""",
 }

@@ -5,16 +5,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from claimrisk.operators.ranking import one_per_key
 from claimrisk.schemas import AUDIT_CEILING, EXTRACTION_CODE
 from claimrisk.sources.tables import catalog_table, read_table
 
 # Constants of the mapped data: another price level, another event code.
 MAPPED_CEILING = 60000.0
 MAPPED_EVENT = "ECONOMY"
+ROWS_PER_LINE = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -42,14 +42,16 @@ def catalog_domain(spark: SparkSession, schema: str) -> Domain:
 
 
 def treatments(spark: SparkSession, root: str) -> DataFrame:
-    """One row per (order, line): claims and network procedures together."""
-    line = one_per_key(
-        read_table(spark, root, "lineitem").select(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
-            "l_quantity", "l_shipdate", "l_returnflag", "l_linestatus"),
-        ["l_orderkey", "l_linenumber"],
-        ["l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate"],
-    )
+    """One row per row of lineitem: claims and network procedures together.
+
+    An order line may occur several times; its rows are numbered in a total order of their other
+    columns, so that ids are unique (below a million rows of one line) and repeatable.
+    """
+    own = ["l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate",
+           "l_returnflag", "l_linestatus"]
+    of_line = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*own)
+    line = read_table(spark, root, "lineitem").select("l_orderkey", "l_linenumber", *own).withColumn(
+        "nth", F.row_number().over(of_line) - 1)
     part = read_table(spark, root, "part").select("p_partkey", "p_type", "p_brand", "p_size")
     orders = read_table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     joined = (
@@ -57,7 +59,8 @@ def treatments(spark: SparkSession, root: str) -> DataFrame:
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     )
     return joined.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("claim_id"),
+        ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * ROWS_PER_LINE + F.col("nth"))
+        .alias("claim_id"),
         F.col("o_custkey").alias("member_id"),
         F.col("l_suppkey").alias("provider_id"),
         F.col("p_type").alias("proc_code"),
@@ -131,8 +134,14 @@ def mapped_domain(spark: SparkSession, root: str, rows: DataFrame | None = None)
 
 
 # --- attributes and places the parquet tables lack: fixed functions of the key -------------
+def draw(key: Column, salt: int) -> Column:
+    """A number from the digest of key and salt, so that attributes do not depend on each other."""
+    digest = F.md5(F.concat_ws("-", key.cast("string"), F.lit(str(salt))))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+
+
 def specialty(key: Column) -> Column:
-    return F.concat(F.lit("Specialty "), key % 3)
+    return F.concat(F.lit("Specialty "), draw(key, 11) % 3)
 
 
 def rating(key: Column) -> Column:
@@ -140,8 +149,8 @@ def rating(key: Column) -> Column:
 
 
 def coordinates(key: Column, lat_step: int, lon_step: int) -> list[Column]:
-    """A place within about four degrees; every third key sits in one small town."""
-    town = key % 3 == 0
+    """A place within about four degrees; about every third key sits in one small town."""
+    town = draw(key, 12) % 3 == 0
     lat = F.when(town, -23.5 + (key % 97) / 5000.0).otherwise(
         -25.5 + (key * lat_step % 10007) * 4.0 / 10007.0)
     lon = F.when(town, -46.6 + (key % 89) / 5000.0).otherwise(
@@ -153,7 +162,7 @@ def provider_places(spark: SparkSession, root: str) -> DataFrame:
     """Providers with specialty, rating, accepted plans and a place."""
     key = F.col("s_suppkey")
     accepted = F.array_compact(F.array(*[
-        F.when(key % (i + 2) == 0, F.lit(p)) for i, p in enumerate(PLAN_NAMES)]))
+        F.when(draw(key, 20 + i) % (i + 2) == 0, F.lit(p)) for i, p in enumerate(PLAN_NAMES)]))
     return read_table(spark, root, "supplier").select(
         key.alias("provider_id"),
         F.col("s_name").alias("provider_name"),
@@ -170,7 +179,7 @@ def provider_places(spark: SparkSession, root: str) -> DataFrame:
 def member_places(spark: SparkSession, root: str) -> DataFrame:
     """Members with an identity number, a plan and a place."""
     key = F.col("c_custkey")
-    digits = F.lpad(key.cast("string"), 11, "1")
+    digits = F.lpad(key.cast("string"), 11, "0")
     dotted = F.concat(
         F.substring(digits, 1, 3), F.lit("."), F.substring(digits, 4, 3), F.lit("."),
         F.substring(digits, 7, 3), F.lit("-"), F.substring(digits, 10, 2))

@@ -23,11 +23,11 @@ def scored_stream(spark: SparkSession, arriving: DataFrame, d: Domain, published
                   score: Column | None = None, model=None, threshold: float = 0.5) -> DataFrame:
     """Each arriving claim with score, band and value at risk.
 
-    History comes from the published tables by stream-static left joins; the columns are those
-    of ``feature_table``, so batch and stream cannot drift apart.  The score is an expression
-    over the vector or a fitted pipeline.
+    History comes from the published tables by stream-static left joins; an arriving claim is new
+    and counts together with its history.  The columns are those of ``feature_table``, so batch
+    and stream cannot drift apart.  The score is an expression over the vector or a fitted pipeline.
     """
-    rows = feature_table(spark, replace(d, claims=arriving), published)
+    rows = feature_table(spark, replace(d, claims=arriving), published, arriving=True)
     vectors = rows.select("claim_id", F.col("amount").alias("claimed"), *vector_columns())
     if model is not None:
         from pyspark.ml.functions import vector_to_array
