@@ -19,6 +19,8 @@ RUNTIME = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # rows partitioned by one key stay in place for joins on that key and more columns
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # rows handed to Python at once; texts make rows large
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
 }
 
 
