@@ -37,13 +37,13 @@ def test_average_precision_with_ties(spark):
     assert r["roc_auc"] == pytest.approx(0.875)
 
 
-@pytest.mark.parametrize("one_task_rows", [10**6, 1])
+@pytest.mark.parametrize("buckets", [256, 8])
 @pytest.mark.parametrize("distinct", [7, 10**9])
-def test_ranking_quality_matches_brute_force(spark, one_task_rows, distinct):
+def test_ranking_quality_matches_brute_force(spark, buckets, distinct):
     rng = random.Random(distinct)
     rows = [(rng.randrange(distinct) / distinct, int(rng.random() < 0.3), 1.0) for _ in range(300)]
     r = evaluate.ranking_quality(
-        spark, frame(spark, rows), buckets=8, one_task_rows=one_task_rows).first()
+        spark, frame(spark, rows), buckets=buckets).first()
     ap, auc = brute(rows)
     assert r["average_precision"] == pytest.approx(ap, abs=1e-9)
     assert r["roc_auc"] == pytest.approx(auc, abs=1e-9)
@@ -118,3 +118,16 @@ def test_leakage_audit(spark):
     rows = spark.createDataFrame([(1, 1.0), (0, 0.0), (1, None), (0, 0.0)], "label int, x double")
     r = evaluate.leakage_audit(rows, {"x": F.col("x")}).first()
     assert r["correlation"] == pytest.approx(1.0) and r["null_rate"] == 0.25
+
+
+def test_ranking_quality_of_billions(spark, monkeypatch):
+    n = 4 * 10**9
+    totals = spark.createDataFrame(
+        [(0.9, n, n, 0, 0), (0.1, n, 0, n, n)],
+        "score double, n long, tp long, n_above long, tp_above long")
+    monkeypatch.setattr(evaluate, "score_totals", lambda *a, **k: totals)
+    r = evaluate.ranking_quality(spark, totals).first()
+    assert (r["rows"], r["average_precision"], r["roc_auc"]) == (2 * n, 1.0, 1.0)
+    monkeypatch.setattr(evaluate, "score_totals", lambda *a, **k: totals.withColumns({
+        "tp": n - F.col("tp"), "tp_above": F.lit(0)}))
+    assert evaluate.ranking_quality(spark, totals).first()["roc_auc"] == 0.0

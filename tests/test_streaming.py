@@ -1,12 +1,14 @@
 """Streams against the batch form of the same result."""
 
 import datetime as dt
+from collections import defaultdict
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from claimrisk.functions.columns import band, value_at_risk, vector_columns
 from claimrisk.operators import model
-from claimrisk.plans import lake
+from claimrisk.plans import features, lake
 from claimrisk.plans.sqlparts import SCORE_SQL
 from claimrisk.session import work_dir
 from claimrisk.sources import domain
@@ -20,28 +22,58 @@ def run(spark, stream, name, checkpoint=None, path=None):
     return spark.read.schema(stream.schema).parquet(path)
 
 
+CUT = "1999-06-01"
+
+
+def held_out(spark, root):
+    """History before a day, staged; the claims from that day on."""
+    d = lake.silver(spark, root)
+    published = features.stage(spark, replace(d, claims=d.claims.filter(F.col("req_date") < CUT)))
+    return d, published, d.claims.filter(F.col("req_date") >= CUT)
+
+
+def test_new_claims_count_with_their_history(spark, root):
+    d, published, new = held_out(spark, root)
+    got = {r.claim_id: r for r in features.feature_table(
+        spark, replace(d, claims=new), published, arriving=True).collect()}
+    history, documents = defaultdict(list), set()
+    for r in d.claims.filter(F.col("req_date") < CUT).collect():
+        history[r.member_id, r.provider_id].append(r.proc_date)
+        documents.add(r.document)
+    seen = set()
+    for r in new.collect():
+        days = [(r.proc_date - p).days for p in history[r.member_id, r.provider_id]]
+        assert got[r.claim_id].pair_claims_30d == 1 + sum(0 <= n <= 30 for n in days)
+        assert got[r.claim_id].repeated_document == int(r.document in documents)
+        seen.add(got[r.claim_id].repeated_document)
+    assert len(got) == new.count() > 0 and seen == {0, 1}
+
+
 def test_stream_scores_equal_batch_scores(spark, root):
-    d, published, gold = lake.silver(spark, root), lake.staged(spark, root), lake.gold(spark, root)
+    d, published, new = held_out(spark, root)
     path, schema = lake.location(spark, root, "treatments")
-    arriving = domain.claims(claim_stream(spark, path, schema, files_per_batch=2))
+    arriving = domain.claims(claim_stream(spark, path, schema, files_per_batch=2)).filter(
+        F.col("req_date") >= CUT)
     got = run(spark, scored_stream(
         spark, arriving, d, published, F.expr(SCORE_SQL), threshold=0.3), "scores")
-    batch = gold.select("claim_id", F.col("amount").alias("a"), *vector_columns()).withColumn(
+    batch = features.feature_table(spark, replace(d, claims=new), published, arriving=True).select(
+        "claim_id", F.col("amount").alias("a"), *vector_columns()).withColumn(
         "score", F.expr(SCORE_SQL)).select(
         "claim_id", "score", band(F.col("score"), 0.3).alias("priority"),
         value_at_risk(F.col("score"), F.col("a")).alias("value_at_risk"))
-    assert got.count() == batch.count() and got.exceptAll(batch).isEmpty()
+    assert got.count() == batch.count() > 0 and got.exceptAll(batch).isEmpty()
 
 
 def test_stream_scores_with_a_fitted_model(spark, root):
-    d, published, gold = lake.silver(spark, root), lake.staged(spark, root), lake.gold(spark, root)
-    fitted = model.fit_booster(gold, maxIter=2, maxDepth=2)
+    d, published, new = held_out(spark, root)
+    fitted = model.fit_booster(lake.gold(spark, root), maxIter=2, maxDepth=2)
     path, schema = lake.location(spark, root, "treatments")
-    got = run(spark, scored_stream(
-        spark, domain.claims(claim_stream(spark, path, schema)), d, published, model=fitted), "model_scores")
-    batch = model.score(fitted, gold).select("claim_id", F.col("score").alias("expected"))
+    arriving = domain.claims(claim_stream(spark, path, schema)).filter(F.col("req_date") >= CUT)
+    got = run(spark, scored_stream(spark, arriving, d, published, model=fitted), "model_scores")
+    rows = features.feature_table(spark, replace(d, claims=new), published, arriving=True)
+    batch = model.score(fitted, rows).select("claim_id", F.col("score").alias("expected"))
     gap = got.join(batch, "claim_id").agg(F.max(F.abs(F.col("score") - F.col("expected")))).first()[0]
-    assert got.count() == gold.count() and gap < 1e-9
+    assert got.count() == new.count() and gap < 1e-9
 
 
 def test_new_files_are_scored_once(spark, root):
