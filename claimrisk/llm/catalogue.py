@@ -25,7 +25,7 @@ def op1_repeated_passages(spark: SparkSession, root: str) -> DataFrame:
 
 
 def op2_exact_substrings(spark: SparkSession, root: str) -> DataFrame:
-    return exactdedup.digests_of(exactdedup.cut_documents(spark, documents(spark, root)))
+    return exactdedup.digests(spark, documents(spark, root))
 
 
 def op3_sharding(spark: SparkSession, root: str) -> DataFrame:

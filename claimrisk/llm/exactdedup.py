@@ -20,11 +20,12 @@ nothing.  Empty tables give empty results; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimrisk.llm import meeting
@@ -100,11 +101,16 @@ def _segments(found: DataFrame, shards: int) -> DataFrame:
                         pieces.append((row["doc_id"], row["mark"], w, w + 1, h, window))
             names = ("shard", "text", "doc_id", "mark", "start", "stop")
             out: dict[str, list] = {c: [] for c in names}
+            open_ = None  # settled windows that go on to the next piece are one run
             for doc, mark, a, b, h, text in pieces:
                 settled = first.setdefault(text, doc) < doc
-                at = (doc + a if settled else h) % shards
-                for c, v in zip(names, (at, None if settled else text, doc, mark, a, b)):
-                    out[c].append(v)
+                if settled and open_ == (doc, mark, a):
+                    out["stop"][-1] = b
+                else:
+                    at = (doc + a if settled else h) % shards
+                    for c, v in zip(names, (at, None if settled else text, doc, mark, a, b)):
+                        out[c].append(v)
+                open_ = (doc, mark, b) if settled else None
             batch = pa.RecordBatch.from_pydict({
                 "shard": pa.array(out["shard"], pa.int32()), "text": pa.array(out["text"], pa.binary()),
                 **{c: pa.array(out[c], pa.int64()) for c in names[2:]}})
@@ -210,10 +216,13 @@ def _results(found: DataFrame) -> DataFrame:
         run, "doc_id long, mark long, spans array<struct<start:long,stop:long>>, kept binary")
 
 
-def cut_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, sha256 of the text, spans (removed) and kept (binary; null: the whole text).
+def cut_documents(spark: SparkSession, docs: DataFrame,
+                  of_kept: Callable[[Column], Column] = lambda kept: kept) -> DataFrame:
+    """doc_id, n_bytes, sha256 of the text, spans (removed) and kept (null: the whole text).
 
-    The pair of doc_id and mark names a text, so that rows which repeat an id stay apart.
+    ``of_kept`` makes kept from the bytes that stay, before they are moved; by default they are
+    the column themselves.  The pair of doc_id and mark names a text, so that rows which repeat
+    an id stay apart.
     """
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn(
         "mark", F.xxhash64("text"))
@@ -238,25 +247,27 @@ def cut_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
         F.collect_set("hash").alias("hashes"),
         F.collect_set(F.when(F.col("hot"), F.col("hash"))).alias("hot"))
         .join(own, "doc_id"))
-    found = written(spark, named.join(wanted, ["doc_id", "mark"]), "found")
+    found = named.join(wanted, ["doc_id", "mark"])
     shards = max(width, shared.count() * 70 // SHARD_BYTES)
     windows = _sorted_shards(_segments(found, shards).repartition(shards, "shard"))
     grouped = windows.groupBy("doc_id", "mark").agg(
         F.collect_list(F.struct("start", "stop")).alias("windows"))
-    changed = _results(found.select("doc_id", "mark", "text").distinct().join(
-        grouped, ["doc_id", "mark"]))
+    changed = _results(found.select("doc_id", "mark", "text").join(grouped, ["doc_id", "mark"]))
+    changed = changed.select("doc_id", "mark", "spans", of_kept(F.col("kept")).alias("kept"))
+    if digests.groupBy("doc_id", "mark").count().where("count > 1").limit(1).count():
+        changed = changed.dropDuplicates(["doc_id", "mark"])  # of rows that repeat id and text
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("stop")))
     empty = F.lit([]).cast("array<struct<start:long,stop:long>>")
     return standing.join(changed, ["doc_id", "mark"], "left").select(
         "doc_id", "n_bytes", "sha256",
         F.when(F.col("copy"), whole).otherwise(F.coalesce("spans", empty)).alias("spans"),
-        F.when(F.col("copy"), F.lit(b"")).otherwise(F.col("kept")).alias("kept"))
+        F.when(F.col("copy"), of_kept(F.lit(b""))).otherwise(F.col("kept")).alias("kept"))
 
 
-def digests_of(cut: DataFrame) -> DataFrame:
+def digests(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the digest of the bytes that stay."""
-    return cut.select(
+    return cut_documents(spark, docs, lambda kept: F.sha2(kept, 256)).select(
         "doc_id", "n_bytes",
         F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.stop - s.start)
         .alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
-        F.coalesce(F.sha2("kept", 256), "sha256").alias("kept_sha256"))
+        F.coalesce("kept", "sha256").alias("kept_sha256"))
