@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from claimrisk.llm.bytebpe import Codec, read_ranks
+from claimrisk.llm.bytebpe import read_ranks
 from claimrisk.llm.frames import BATCH_ROWS, kept_by_worker, ragged, texts_of
 
 ROW_TOKENS = 2048
@@ -34,6 +34,14 @@ PACKED = (
     "input_ids array<int>, position_ids array<int>, n_tokens int")
 
 
+def ordinary_encoding(rank_file: bytes, pattern: str):
+    """The library's own encoder for a rank file, without special tokens."""
+    import tiktoken
+    return tiktoken.Encoding(
+        "packing", pat_str=pattern, special_tokens={},
+        mergeable_ranks={t: rank for rank, t in enumerate(read_ranks(rank_file))})
+
+
 class FreeRoom:
     """Rows by free room; a segment tree tells which amounts of room occur."""
 
@@ -114,8 +122,8 @@ def packed(spark: SparkSession, docs: DataFrame, rank_file: str, pattern: str, p
     arrow = to_arrow_schema(T._parse_datatype_string(PACKED))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = kept_by_worker("codec", data.value + pattern.encode(),
-                               lambda: Codec(read_ranks(data.value), pattern))
+        encoding = kept_by_worker("encoding", data.value + pattern.encode(),
+                                  lambda: ordinary_encoding(data.value, pattern))
 
         def emit(parts):
             out = _matrix(parts, row_tokens, pad_id)
@@ -129,7 +137,8 @@ def packed(spark: SparkSession, docs: DataFrame, rank_file: str, pattern: str, p
         for batch in batches:
             for first in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(first, BATCH_ROWS)
-                ids = codec.encode(part.column("text").to_pylist())
+                ids = [np.array(encoding.encode_ordinary(t), np.int32)
+                       for t in part.column("text").to_pylist()]
                 for doc_id, own in zip(part.column("doc_id").to_pylist(), ids):
                     for n, start in enumerate(range(0, len(own), row_tokens)):
                         cut = own[start:start + row_tokens]
