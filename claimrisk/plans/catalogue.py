@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from claimrisk.plans import audit, claims, documents, models, places, serving, streams
+from claimrisk.plans import audit, claims, documents, models, places, serving, sinks, streams
 
-MODULES = [claims, audit, places, serving, documents, models, streams]
+MODULES = [claims, audit, places, serving, documents, models, sinks, streams]
 
 
 def queries() -> dict:
