@@ -189,7 +189,9 @@ def links(spark: SparkSession, docs: DataFrame, described_: DataFrame, words: in
         F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"),
         F.first("sketch").alias("sketch"), F.first("keys").alias("keys"))
         .drop("digest"), "nodes")
-    members = nodes.select("node", F.explode("keys").alias("key"))
+    # one move of the keys serves the counts and the join to them
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    members = nodes.select("node", F.explode("keys").alias("key")).repartition(width, "key")
     counts = members.groupBy("key").count().where("count > 1")
     members = written(spark, members.join(counts, "key"), "members")
     density = written(spark, members.groupBy("node").agg(F.sum("count").alias("density")), "density")
@@ -198,8 +200,8 @@ def links(spark: SparkSession, docs: DataFrame, described_: DataFrame, words: in
     pairs = members.join(centres, "key").where("node <> v").select(
         F.col("node").alias("u"), "v").distinct()
     nodes, tested, linked = nodes.drop("keys"), None, 0
+    pairs = written(spark, _close(pairs, nodes), "pairs")
     while True:
-        pairs = written(spark, _close(pairs, nodes), "pairs")
         ids = pairs.select(F.col("u").alias("doc_id")).union(pairs.select("v")).distinct()
         wanted = written(spark, texts.join(ids, "doc_id", "left_semi"), "texts")
         result = written(spark, _confirmed(pairs, wanted, words), "tested")
@@ -220,7 +222,8 @@ def links(spark: SparkSession, docs: DataFrame, described_: DataFrame, words: in
             "block", F.pmod(F.xxhash64("node", "key"), blocks)).join(nodes, "node").join(
             known, "node", "left").withColumn(
             "tested", F.coalesce("tested", F.array().cast("array<bigint>")))
-        pairs = _nearest(rows.repartition("key", "block").sortWithinPartitions("key", "block"))
+        pairs = written(spark, _nearest(
+            rows.repartition("key", "block").sortWithinPartitions("key", "block")), "pairs")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, words: int) -> DataFrame:
