@@ -11,7 +11,8 @@ Documents of equal sets are one node from the start.  The nodes of a key are not
 other.  First the node whose keys are most frequent is the key's centre, and the others are compared
 with it.  Then, in keys whose nodes are in several components, every node is compared with its
 nearest nodes of other components (by a longer sketch of ``SKETCH`` bytes) that it has not been
-compared with, in blocks of at most about ``BLOCK`` nodes; this goes on until a round finds no link.
+compared with, every block of about ``BLOCK`` nodes of a key with every other; this goes on until a
+round finds no link.
 Every link is confirmed on the full sets.
 
 Null and empty texts, or texts without words, have no shingles and no links; texts with fewer words
@@ -116,15 +117,21 @@ def _close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def nearest(nodes: list[int], components_: list[int], sizes: list[int], sketches: list[bytes],
-            tested: list[list[int]]) -> list[tuple[int, int]]:
-    """Each node with its NEAREST most similar ones of other components, not yet tested."""
+            tested: list[list[int]], blocks: list[int]) -> list[tuple[int, int]]:
+    """Each node with its NEAREST most similar ones of other components, not yet tested.
+
+    Nodes of two blocks are compared across the blocks only.
+    """
     matrix, out = _matrix(sketches), []
-    component, size = np.array(components_), np.array(sizes)
+    component, size, block = np.array(components_), np.array(sizes), np.array(blocks)
+    across = len(set(blocks)) > 1
     column = {n: i for i, n in enumerate(nodes)}
-    for start in range(0, len(nodes), 64):
-        part = slice(start, start + 64)
+    for start in range(0, len(nodes), 32):
+        part = slice(start, start + 32)
         equal = (matrix[part, None, :] == matrix[None]).sum(2, dtype=np.int16)
         equal[component[part, None] == component[None]] = 0
+        if across:
+            equal[block[part, None] == block[None]] = 0
         equal[100 * np.minimum(size[part, None], size) < PERCENT * np.maximum(size[part, None], size)] = 0
         for i, row in enumerate(equal, start):
             row[[column[t] for t in tested[i] if t in column]] = 0
@@ -135,26 +142,36 @@ def nearest(nodes: list[int], components_: list[int], sizes: list[int], sketches
 
 
 def _nearest(rows: DataFrame) -> DataFrame:
-    """u, v for rows that come sorted by key and block."""
-    names = ("node", "component", "n_shingles", "sketch", "tested")
+    """u, v for rows that come sorted by key and the two blocks of a task."""
+    names = ("node", "component", "n_shingles", "sketch", "tested", "block")
+    group = ("key", "one", "other")
 
     def run(batches):
         held: list[dict] = []
 
         def pairs():
-            found = nearest(*([r[c] for r in held] for c in names)) if len(held) > 1 else []
+            whole = len({r["block"] for r in held}) == len({held[0][c] for c in group[1:]}) if held else False
+            found = nearest(*([r[c] for r in held] for c in names)) if whole else []
             return pa.RecordBatch.from_arrays(
                 [pa.array([x[i] for x in found], pa.int64()) for i in range(2)], ["u", "v"])
 
         for batch in batches:
             for row in batch.to_pylist():
-                if held and (row["key"], row["block"]) != (held[0]["key"], held[0]["block"]):
+                if held and any(row[c] != held[0][c] for c in group):
                     yield pairs()
                     held.clear()
                 held.append(row)
         yield pairs()
 
-    return rows.select("key", "block", *names).mapInArrow(run, "u long, v long").distinct()
+    return rows.select(*group, *names).mapInArrow(run, "u long, v long").distinct()
+
+
+def _in_block_pairs(rows: DataFrame) -> DataFrame:
+    """Every row once for each block (one, other) of its key that its own block is compared with."""
+    blocks = F.ceil(F.col("count") / BLOCK)
+    return rows.withColumn("block", F.pmod(F.xxhash64("node", "key"), blocks)).withColumn(
+        "with", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))).withColumns({
+            "one": F.least("block", "with"), "other": F.greatest("block", "with")}).drop("with")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
@@ -217,13 +234,12 @@ def links(spark: SparkSession, docs: DataFrame, described_: DataFrame, words: in
             F.min("component").alias("least"), F.max("component").alias("most")).where(
             "least < most").select("key")
         known = tested.groupBy(F.col("u").alias("node")).agg(F.collect_list("v").alias("tested"))
-        blocks = F.ceil(F.col("count") / BLOCK)
-        rows = placed.join(open_, "key", "left_semi").withColumn(
-            "block", F.pmod(F.xxhash64("node", "key"), blocks)).join(nodes, "node").join(
+        rows = _in_block_pairs(placed.join(open_, "key", "left_semi")).join(nodes, "node").join(
             known, "node", "left").withColumn(
             "tested", F.coalesce("tested", F.array().cast("array<bigint>")))
+        group = ("key", "one", "other")
         pairs = written(spark, _nearest(
-            rows.repartition("key", "block").sortWithinPartitions("key", "block")), "pairs")
+            rows.repartition(*group).sortWithinPartitions(*group)), "pairs")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, words: int) -> DataFrame:
