@@ -12,7 +12,8 @@ other.  First the node whose keys are most frequent is the key's centre, and the
 with it.  Then, in keys whose nodes are in several components, every node is compared with its
 nearest nodes of other components (by a longer sketch of ``SKETCH`` bytes) that it has not been
 compared with, every block of about ``BLOCK`` nodes of a key with every other; this goes on until a
-round finds no link.
+round finds no link.  A last round compares all pairs of different components that share a key and
+that are still untested, so that none is left.
 Every link is confirmed on the full sets.
 
 Null and empty texts, or texts without words, have no shingles and no links; texts with fewer words
@@ -23,6 +24,7 @@ Rows that repeat an id are one document.  Empty tables give empty results.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -117,16 +119,20 @@ def _close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def nearest(nodes: list[int], components_: list[int], sizes: list[int], sketches: list[bytes],
-            tested: list[list[int]], blocks: list[int]) -> list[tuple[int, int]]:
-    """Each node with its NEAREST most similar ones of other components, not yet tested.
+            tested: list[list[int]], blocks: list[int],
+            most: int | None) -> Iterator[list[tuple[int, int]]]:
+    """Each node with the ``most`` (None: all) nearest ones of other components, not yet tested.
 
-    Nodes of two blocks are compared across the blocks only.
+    Nodes of two blocks are compared across the blocks only.  Where all are asked for, each pair
+    comes once, the smaller node last.
     """
-    matrix, out = _matrix(sketches), []
+    matrix = _matrix(sketches)
     component, size, block = np.array(components_), np.array(sizes), np.array(blocks)
     across = len(set(blocks)) > 1
     column = {n: i for i, n in enumerate(nodes)}
+    node = np.array(nodes)
     for start in range(0, len(nodes), 32):
+        out: list[tuple[int, int]] = []
         part = slice(start, start + 32)
         equal = (matrix[part, None, :] == matrix[None]).sum(2, dtype=np.int16)
         equal[component[part, None] == component[None]] = 0
@@ -136,12 +142,15 @@ def nearest(nodes: list[int], components_: list[int], sizes: list[int], sketches
         for i, row in enumerate(equal, start):
             row[[column[t] for t in tested[i] if t in column]] = 0
             some = np.flatnonzero(row >= LEAST_EQUAL)
-            best = some[np.argsort(-row[some], kind="stable")[:NEAREST]]
+            if most is None:
+                best = some[node[some] < nodes[i]]
+            else:
+                best = some[np.argsort(-row[some], kind="stable")[:most]]
             out += [(nodes[i], nodes[k]) for k in best.tolist()]
-    return out
+        yield out
 
 
-def _nearest(rows: DataFrame) -> DataFrame:
+def _nearest(rows: DataFrame, most: int | None) -> DataFrame:
     """u, v for rows that come sorted by key and the two blocks of a task."""
     names = ("node", "component", "n_shingles", "sketch", "tested", "block")
     group = ("key", "one", "other")
@@ -151,17 +160,17 @@ def _nearest(rows: DataFrame) -> DataFrame:
 
         def pairs():
             whole = len({r["block"] for r in held}) == len({held[0][c] for c in group[1:]}) if held else False
-            found = nearest(*([r[c] for r in held] for c in names)) if whole else []
-            return pa.RecordBatch.from_arrays(
-                [pa.array([x[i] for x in found], pa.int64()) for i in range(2)], ["u", "v"])
+            for found in nearest(*([r[c] for r in held] for c in names), most) if whole else []:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x[i] for x in found], pa.int64()) for i in range(2)], ["u", "v"])
 
         for batch in batches:
             for row in batch.to_pylist():
                 if held and any(row[c] != held[0][c] for c in group):
-                    yield pairs()
+                    yield from pairs()
                     held.clear()
                 held.append(row)
-        yield pairs()
+        yield from pairs()
 
     return rows.select(*group, *names).mapInArrow(run, "u long, v long").distinct()
 
@@ -216,7 +225,7 @@ def links(spark: SparkSession, docs: DataFrame, described_: DataFrame, words: in
         F.max_by("node", F.struct("density", -F.col("node"))).alias("v"))
     pairs = members.join(centres, "key").where("node <> v").select(
         F.col("node").alias("u"), "v").distinct()
-    nodes, tested, linked = nodes.drop("keys"), None, 0
+    nodes, tested, linked, most = nodes.drop("keys"), None, 0, NEAREST
     pairs = written(spark, _close(pairs, nodes), "pairs")
     while True:
         ids = pairs.select(F.col("u").alias("doc_id")).union(pairs.select("v")).distinct()
@@ -226,8 +235,9 @@ def links(spark: SparkSession, docs: DataFrame, described_: DataFrame, words: in
         found = written(spark, components(
             spark, tested.where("linked").select("u", "v")), "components")
         before, linked = linked, tested.where("linked").count()
-        if linked == before:
+        if most is None:
             return found
+        most = None if linked == before else NEAREST  # the last round tests all that is left
         placed = members.join(found, "node", "left").withColumn(
             "component", F.coalesce("component", "node"))
         open_ = placed.groupBy("key").agg(
@@ -239,7 +249,10 @@ def links(spark: SparkSession, docs: DataFrame, described_: DataFrame, words: in
             "tested", F.coalesce("tested", F.array().cast("array<bigint>")))
         group = ("key", "one", "other")
         pairs = written(spark, _nearest(
-            rows.repartition(*group).sortWithinPartitions(*group)), "pairs")
+            rows.repartition(*group).sortWithinPartitions(*group), most), "pairs")
+        if most is None:  # what one node tested, the other need not
+            done = tested.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+            pairs = pairs.join(done, ["u", "v"], "left_anti")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, words: int) -> DataFrame:
