@@ -4,7 +4,10 @@ A page is cut into flat blocks at its block-level tags.  Each block is described
 link density, by those of the blocks before and after it, and by the containers it stands in.  A
 decision tree, trained on the small labelled table below, says which blocks are main text.
 
-Scripts, styles, comments and the page's head are no text.  Character references are decoded, white
+Scripts, styles, titles and comments are no text, and a head holds nothing else; it may be left open,
+as text or a tag that cannot stand in it ends it.  noscript, template and svg are left out where they are
+closed.  The words in class, id and role of the body and of what holds the page's first main (without
+one, its first article) do not make it boilerplate.  Character references are decoded, white
 space inside a block becomes one blank, and the blocks that are kept are joined by line ends.  Null
 and empty pages and pages without main text give an empty text; pages of any length are read whole,
 also where tags are not closed; repeated rows are treated alike; empty tables give empty results.
@@ -24,10 +27,11 @@ from pyspark.sql import functions as F
 from claimrisk.llm.frames import map_batches
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|head|noscript|template|svg|title)\b.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(script|style|title)\b.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*>?|</?[a-zA-Z][^<>]*\Z|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)",
     re.S | re.I)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+HIDDEN = frozenset("noscript template svg".split())
 INLINE = frozenset(
     "a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small "
     "span strong sub sup time tt u var wbr".split())
@@ -48,20 +52,44 @@ FEATURES = ("words", "links", "words_before", "links_before", "words_after", "li
 
 
 class Block:
-    __slots__ = ("parts", "words", "linked", "around", "main", "heading")
+    __slots__ = ("parts", "words", "linked", "around", "main", "heading", "inside")
 
-    def __init__(self, around: int, main: int, heading: bool):
+    def __init__(self, inside: int, main: int, heading: bool):
         self.parts: list[str] = []
-        self.words = self.linked = 0
-        self.around, self.main, self.heading = around, main, heading
+        self.words = self.linked = self.around = 0
+        self.inside, self.main, self.heading = inside, main, heading
+
+
+def _hidden(page: str) -> dict[int, int]:
+    """Where elements that are no text start and end; only those that are closed."""
+    out: dict[int, int] = {}
+    opened: dict[str, list[int]] = {tag: [] for tag in HIDDEN}
+    if not any(f"<{tag}" in page.lower() for tag in HIDDEN):
+        return out
+    for token in TOKEN.finditer(page):
+        _, closing, tag, attributes, _ = token.groups()
+        if tag and (tag := tag.lower()) in HIDDEN:
+            if closing:
+                if opened[tag]:
+                    out[opened[tag].pop()] = token.end()
+            elif attributes.endswith("/"):
+                out[token.start()] = token.end()
+            else:
+                opened[tag].append(token.start())
+    return out
 
 
 def blocks_of(page: str) -> Iterator[Block]:
     """The flat text blocks of a page, in order."""
-    stack: list[tuple[str, int, int]] = []
-    block, in_link, heading = Block(0, 0, False), 0, False
+    hidden, until = _hidden(page), 0
+    stack: list[tuple[str, int, int]] = []  # tag, number of the container, main
+    containers = [(0, False, False)]  # number of the parent, around by its tag, by its names
+    holding: dict[str, set[int]] = {}  # containers around the first main and the first article
+    blocks, block, in_link, heading = [], Block(0, 0, False), 0, False
     for token in TOKEN.finditer(page):
         dropped, closing, tag, attributes, text = token.groups()
+        if token.start() < until:
+            continue
         if text is not None:
             text = html.unescape(text) if "&" in text else text
             n = len(text.split())
@@ -74,6 +102,9 @@ def blocks_of(page: str) -> Iterator[Block]:
         if tag is None:
             continue
         tag = tag.lower()
+        if tag in HIDDEN:
+            until = hidden.get(token.start(), 0)
+            continue
         if tag in INLINE:
             if tag == "a":
                 in_link = 0 if closing else 1
@@ -81,7 +112,7 @@ def blocks_of(page: str) -> Iterator[Block]:
                 block.parts.append(" ")
             continue
         if block.words:
-            yield block
+            blocks.append(block)
         in_link = 0
         if tag in CONTAINERS:
             if closing:
@@ -90,17 +121,26 @@ def blocks_of(page: str) -> Iterator[Block]:
                         del stack[i:]
                         break
             elif not attributes.endswith("/"):
-                _, around, main = stack[-1] if stack else ("", 0, 0)
+                _, inside, main = stack[-1] if stack else ("", 0, 0)
                 names = {w for found in NAMES.findall(attributes)
                          for w in re.split(r"[^a-z]+", "".join(found).lower())}
                 own_main = tag in MAIN_TAGS or bool(names & MAIN_NAMES)
-                own_around = (tag in AROUND or bool(names & AROUND_NAMES)
-                              or tag == "header" and not main)
-                stack.append((tag, around + own_around, main + own_main))
+                if tag in MAIN_TAGS:
+                    holding.setdefault(tag, {number for _, number, _ in stack})
+                stack.append((tag, len(containers), main + own_main))
+                containers.append((inside, tag in AROUND or tag == "header" and not main,
+                                   tag != "body" and bool(names & AROUND_NAMES)))
         heading = not closing and len(tag) == 2 and tag[0] == "h" and tag[1].isdigit()
-        _, around, main = stack[-1] if stack else ("", 0, 0)
-        block = Block(around, main, heading)
+        _, inside, main = stack[-1] if stack else ("", 0, 0)
+        block = Block(inside, main, heading)
     if block.words:
+        blocks.append(block)
+    whole = holding.get("main", holding.get("article", set()))
+    around = [0] * len(containers)
+    for i, (parent, by_tag, by_names) in enumerate(containers):
+        around[i] = around[parent] + (by_tag or by_names and i not in whole)
+    for block in blocks:
+        block.around = around[block.inside]
         yield block
 
 
@@ -164,6 +204,10 @@ LABELLED = [
     "there are</p></div><div id=footer>-We do not answer for what others write here, nor for what "
     "comes of it, in any land or at any time, as the law says</div>",
     "<div>-Print it</div><main><p>+Only this</p></main><div>-Top of it</div>",
+    "<html><head><title>t</title><meta charset=utf-8><body class='has-sidebar'><div id=page class='nav-open'>"
+    "<div class=menu><a href=/>-Home</a></div><article><h1>+A head without an end</h1><p>+The text of a page whose "
+    "head is not closed is main text all the same.</p><p>+So it is.</p></article><div class=sidebar><p>-Read what "
+    "others read, there are many more of them here</p></div></div>",
 ]
 
 
