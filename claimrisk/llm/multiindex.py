@@ -11,10 +11,11 @@ pass depends on the data: ``budget`` is the least number with which ``PROBES`` q
 hash, searched among all rows as well, find the share ``target`` of their true neighbours.  This
 measured recall comes with the index.  Every row is indexed.
 
-Cells go to tasks in blocks of at most ``BLOCK`` vectors: small cells together, larger ones cut.  A
-task keeps one block, and the queries that reach it stream by; the best ``k`` of each query leave
-it.  Where neighbours are no nearer than chance the budget is a share of all rows, and so is the
-work of a query.
+Queries go to tasks in blocks of at most ``BLOCK``, those of the same nearest cell together unless
+they are more.  A task keeps a block of queries, the vectors of the cells that any of them reaches
+stream by, each is scored for the queries that reach its cell, and the best ``k`` of each query
+leave.  A hot cell is spread like any other.  Where neighbours are no nearer than chance the budget
+is a share of all rows, and so is the work of a query.
 
 Vectors that are null, empty, zero or hold null or non-finite components take no part, nor do rows
 without id.  Shorter vectors count as filled up with zeros.  Equal scores go by smaller id.  Rows
@@ -28,6 +29,8 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +44,12 @@ PROBES = 100       # queries on which recall is measured
 ROUNDS = 12        # of the fit
 CELL_ROWS = 64     # the codebooks grow until a cell holds about so many vectors,
 MOST_CENTROIDS = 256   # or this is the size of each
-BLOCK = 2048       # vectors a task keeps
-QUERY_ROWS = 256   # queries scored at once
+BLOCK = 16_384     # queries a task keeps, at most,
+LEAST_BLOCK = 128  # and at least, unless there are fewer
+SEEN_ROWS = 256    # stored vectors that pass a block at once
+PAIRS = 200_000    # pairs scored exactly at once
+CELLS_AT_ONCE = 1024
+BROADCAST_ROWS = 4_000_000  # (block, cell) pairs of 8 bytes that are sent to every task
 FOUND = "asked long, query_id long, vec_id long, score double"
 
 
@@ -78,17 +85,23 @@ def valid(table: DataFrame) -> DataFrame:
     x = F.col("embedding")
     finite = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     rows = table.where(F.col("vec_id").isNotNull() & finite & F.exists(x, lambda v: v != 0)).select(
-        F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, lambda v: v.cast("double")).alias("vector"))
+        F.col("vec_id").cast("long").alias("vec_id"), x.cast(_stored(table)).alias("vector"))
     sizes = rows.agg(F.min(F.size("vector")), F.max(F.size("vector"))).first()
     if sizes[0] != sizes[1]:
         rows = rows.withColumn("vector", F.concat("vector", F.array_repeat(
-            F.lit(0.0), sizes[1] - F.size("vector"))))
+            F.lit(0.0), sizes[1] - F.size("vector")).cast(_stored(table))))
     return rows
 
 
+def _stored(table: DataFrame) -> str:
+    """The type vectors are kept in: float where the table has it, else double."""
+    given = table.schema["embedding"].dataType.simpleString()
+    return given if given == "array<float>" else "array<double>"
+
+
 def matrix(column: pa.Array) -> np.ndarray:
     """Vectors of one length as rows of a matrix."""
-    flat = column.flatten().to_numpy(zero_copy_only=False)
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
@@ -117,11 +130,11 @@ def codebook(sample: np.ndarray, size: int) -> np.ndarray:
 
 def fitted(rows: DataFrame) -> Index | None:
     """The index of the vectors of ``rows``, before the cells are counted."""
-    norms = F.aggregate("vector", F.lit(0.0), lambda s, v: F.greatest(s, F.abs(v)))
+    norms = F.aggregate("vector", F.lit(0.0), lambda s, v: F.greatest(s, F.abs(v.cast("double"))))
     n, scale = rows.agg(F.count("*"), F.max(norms)).first()
     if not n:
         return None
-    squares = F.aggregate("vector", F.lit(0.0), lambda s, v: s + (v / scale) * (v / scale))
+    squares = F.aggregate("vector", F.lit(0.0), lambda s, v: s + F.pow(v / scale, 2))
     index = Index(scale, rows.agg(F.max(squares)).first()[0], [], np.zeros(0))
     sample = matrix(rows.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(SAMPLE)
                     .select("vector").toArrow().column("vector").combine_chunks())
@@ -136,7 +149,8 @@ def _assigned(rows: DataFrame, index: Index) -> DataFrame:
             cells = index.cells(matrix(b.column(1))) if b.num_rows else []
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(cells, pa.int32())], names=["vec_id", "vector", "cell"])
-    return rows.mapInArrow(run, "vec_id long, vector array<double>, cell int")
+    kind = rows.schema["vector"].dataType.simpleString()
+    return rows.mapInArrow(run, f"vec_id long, vector {kind}, cell int")
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -182,8 +196,8 @@ def measured(cells: DataFrame, queries: DataFrame, index: Index, k: int, target:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for start in range(0, b.num_rows, BLOCK):
-                part = b.slice(start, BLOCK)
+            for start in range(0, b.num_rows, 2048):
+                part = b.slice(start, 2048)
                 ids, x = part.column(0).to_numpy(), matrix(part.column(1))
                 for q, v, exact in _top(ids, x, vectors, own, np.True_, k):
                     yield pa.RecordBatch.from_arrays(
@@ -210,28 +224,27 @@ def measured(cells: DataFrame, queries: DataFrame, index: Index, k: int, target:
     return index
 
 
-def walked(first: np.ndarray, second: np.ndarray, counts: np.ndarray, budget: int) -> list[int]:
-    """Cells by growing sum of distances, until those passed hold ``budget`` vectors."""
+def reach(first: np.ndarray, second: np.ndarray, counts: np.ndarray, budget: int) -> float:
+    """Walks the cells by growing sum of distances until those passed hold ``budget`` vectors.
+
+    Returns the sum of the last one: the query reaches every cell up to it.
+    """
     a, b = first.argsort(kind="stable").tolist(), second.argsort(kind="stable").tolist()
     x, y, width = first[a].tolist(), second[b].tolist(), len(b)
-    held = counts.tolist()
-    heap, out, passed = [(x[0] + y[0], 0, 0)], [], 0
+    heap, last, passed = [(x[0] + y[0], 0, 0)], 0.0, 0
     while heap and passed < budget:
-        _, i, j = heapq.heappop(heap)
-        cell = a[i] * width + b[j]
-        if held[cell]:
-            out.append(cell)
-            passed += held[cell]
+        last, i, j = heapq.heappop(heap)
+        passed += counts[a[i] * width + b[j]]
         # (i, j) comes from (i, j - 1), and from (i - 1, 0) in the first column
         if j + 1 < width:
             heapq.heappush(heap, (x[i] + y[j + 1], i, j + 1))
         if j == 0 and i + 1 < len(a):
             heapq.heappush(heap, (x[i + 1] + y[0], i + 1, 0))
-    return out
+    return last
 
 
 def blocks_of(counts: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first block of each cell, and into how many blocks it is cut."""
+    """The first block of each cell and into how many it is cut, at most ``block`` rows in each."""
     first, parts = np.zeros(len(counts), np.int64), np.maximum(1, -(-counts // block))
     number, held = 0, 0
     for cell in np.flatnonzero(counts):
@@ -245,95 +258,156 @@ def blocks_of(counts: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
     return first, parts
 
 
+class Searchers:
+    """The queries of a block: the cells they reach and the best found so far."""
+
+    def __init__(self, index: Index, asked: np.ndarray, own: np.ndarray, vectors: np.ndarray, k: int):
+        self.asked, self.own, self.vectors, self.k = asked, own, vectors, k
+        self.half = index.distances(vectors, False)
+        counts = index.counts.tolist()
+        self.limit = np.array([reach(x, y, counts, index.budget) for x, y in zip(*self.half)])
+        self.width = len(index.books[1])
+        self.lengths = np.sqrt((vectors * vectors).sum(1))
+        self.floor = np.full(len(own), -np.inf)  # score of the k-th best
+        self.found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        self.waiting = 0
+
+    def reached(self, cells: np.ndarray) -> np.ndarray:
+        """Which queries (rows) reach which cells (columns)."""
+        a, b = np.divmod(cells, self.width)
+        return self.half[0][:, a] + self.half[1][:, b] <= self.limit[:, None]
+
+    def see(self, ids: np.ndarray, vectors: np.ndarray, cells: np.ndarray) -> None:
+        seen, column = np.unique(cells, return_inverse=True)
+        rough = self.vectors @ vectors.T
+        # rounding depends on the place in the product: keep what can be equal
+        slack = 1e-12 * self.lengths * np.sqrt((vectors * vectors).sum(1).max())
+        q, v = np.nonzero((rough >= (self.floor - slack)[:, None]) & self.reached(seen)[:, column]
+                          & (self.own[:, None] != ids[None, :]))
+        for low in range(0, len(q), PAIRS):
+            some, other = q[low:low + PAIRS], v[low:low + PAIRS]
+            self.found.append((some, ids[other], scores(self.vectors[some], vectors[other])))
+            self.waiting += len(some)
+            if self.waiting > PAIRS:
+                self.settle()
+
+    def settle(self) -> None:
+        """Keep the k best of each query."""
+        q, ids, score = (np.concatenate(x) for x in zip(*self.found))
+        order = np.lexsort((ids, -score, q))
+        q, ids, score = q[order], ids[order], score[order]
+        nth = np.arange(len(q)) - np.searchsorted(q, q)
+        kth = nth == self.k - 1
+        self.floor[q[kth]] = score[kth]
+        self.found, self.waiting = [(q[nth < self.k], ids[nth < self.k], score[nth < self.k])], 0
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        self.settle()
+        q, ids, score = self.found[0]
+        for low in range(0, len(q), 16384):
+            part = slice(low, low + 16384)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(self.asked[q[part]]), pa.array(self.own[q[part]]), pa.array(ids[part]),
+                 pa.array(score[part])], names=["asked", "query_id", "vec_id", "score"])
+
+
 def searched(spark: SparkSession, cells: DataFrame, queries: DataFrame, index: Index,
              k: int, block: int = BLOCK) -> DataFrame:
-    """asked, query_id, vec_id, score: the k best of every query among the cells it walks."""
-    first, parts = blocks_of(index.counts, block)
-    blocks = int((first + parts).max())
-    row = "block int, kind int, asked long, id long, vector array<double>, cells array<int>"
+    """asked, query_id, vec_id, score, rank: the k best of every query in the cells it reaches."""
+    width = len(index.books[1])
 
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def nearest_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not b.num_rows:
-                continue
-            half = index.distances(matrix(b.column(2)), False)
-            source, block_no, reached = [], [], []
-            for i in range(b.num_rows):
-                cells = np.array(walked(half[0][i], half[1][i], index.counts, index.budget))
-                cells = np.repeat(cells, parts[cells])
-                where = first[cells] + _nth(cells)
-                order = where.argsort(kind="stable")
-                where, cells = where[order], cells[order]
-                cuts = np.flatnonzero(np.diff(where)) + 1
-                for w, c in zip(np.split(where, cuts), np.split(cells, cuts)):
-                    source.append(i)
-                    block_no.append(w[0])
-                    reached.append(c)
-            source = pa.array(source)
+            near = [d.argmin(1) for d in index.distances(matrix(b.column(2)), False)] if b.num_rows else [[], []]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(block_no, pa.int32()), pa.array(np.ones(len(block_no)), pa.int32()),
-                 b.column(0).take(source), b.column(1).take(source), b.column(2).take(source),
-                 pa.array(reached, pa.list_(pa.int32()))],
-                names=["block", "kind", "asked", "id", "vector", "cells"])
+                [*b.columns, pa.array(np.array(near[0], np.int64) * width + near[1], pa.int32())],
+                names=["asked", "query_id", "vector", "cell"])
+
+    kind = queries.schema["vector"].dataType.simpleString()
+    placed = written(spark, queries.mapInArrow(
+        nearest_cell, f"asked long, query_id long, vector {kind}, cell int"), "queries")
+    many = np.zeros(len(index.counts), np.int64)
+    for cell, n in placed.groupBy("cell").count().collect():  # at most MOST_CENTROIDS ** 2 rows
+        many[cell] = n
+    # queries that are near each other share a block; as many blocks as tasks can run, or as are needed
+    size = max(1, min(block, max(LEAST_BLOCK, -(-int(many.sum()) // spark.sparkContext.defaultParallelism))))
+    first, parts = blocks_of(many, size)
+    blocks = int((first + parts).max())
+    arrow = pa.schema([("block", pa.int32()), ("cell", pa.int32())])
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, cell = b.column(0).to_numpy(), b.column(2).to_numpy()
-            spread = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+            cell, key = b.column(3).to_numpy(), b.column(0).to_numpy() ^ b.column(1).to_numpy()
+            spread = (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
             where = first[cell] + (spread % parts[cell].astype(np.uint64)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(where, pa.int32()), *b.columns[:3]],
+                                             names=["block", "asked", "query_id", "vector"])
+
+    def union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Every cell that some query of the block reaches."""
+        for number, part in _by_block(batches):
+            reached = np.zeros(len(index.counts), bool)
+            for b in part:
+                s = Searchers(index, b.column(1).to_numpy(), b.column(2).to_numpy(), matrix(b.column(3)), k)
+                every = np.flatnonzero(index.counts > 0)
+                for low in range(0, len(every), CELLS_AT_ONCE):
+                    some = every[low:low + CELLS_AT_ONCE]
+                    reached[some] |= s.reached(some).any(0)
+            whose = np.flatnonzero(reached)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(where, pa.int32()), pa.array(np.zeros(len(ids)), pa.int32()),
-                 pa.nulls(len(ids), pa.int64()), b.column(0), b.column(1),
-                 pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1), pa.int32()), b.column(2))],
-                names=["block", "kind", "asked", "id", "vector", "cells"])
+                [pa.array(np.full(len(whose), number), pa.int32()), pa.array(whose, pa.int32())], schema=arrow)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, ids, vectors, cells, held = None, [], [], [], None
-        for batch in batches:
-            keys = batch.column(0).to_numpy().astype(np.int64) * 2 + batch.column(1).to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
-            for start, end in zip(cuts, cuts[1:]):
-                if start == end:
-                    continue
-                part = batch.slice(start, end - start)
-                number, kind = divmod(int(keys[start]), 2)
-                if number != now:
-                    now, ids, vectors, cells, held = number, [], [], [], None
-                if kind == 0:
-                    ids.append(part.column(3).to_numpy())
-                    vectors.append(matrix(part.column(4)))
-                    cells.append(part.column(5).flatten().to_numpy())
-                    continue
-                if held is None:
-                    if not ids:
-                        continue
-                    held = np.concatenate(ids), np.concatenate(vectors), np.concatenate(cells)
-                    seen, column = np.unique(held[2], return_inverse=True)
-                for low in range(0, part.num_rows, QUERY_ROWS):
-                    asked = part.slice(low, QUERY_ROWS)
-                    lists = asked.column(5)
-                    wanted = lists.flatten().to_numpy()
-                    at = np.searchsorted(seen, wanted)
-                    there = seen[np.minimum(at, len(seen) - 1)] == wanted
-                    whose = np.repeat(np.arange(asked.num_rows), lists.value_lengths().to_numpy())
-                    reached = np.zeros((asked.num_rows, len(seen)), bool)
-                    reached[whose[there], at[there]] = True
-                    key, own = (asked.column(i).to_numpy() for i in (2, 3))
-                    for q, v, exact in _top(held[0], held[1], matrix(asked.column(4)), own,
-                                            reached[:, column], k):
-                        yield _emit(key, own, held[0], q, v, exact)
-
-    both = cells.mapInArrow(place, row).unionByName(queries.mapInArrow(walk, row))
-    dealt = both.repartition(blocks, "block").sortWithinPartitions("block", "kind")
-    return _best(dealt.mapInArrow(score, FOUND), k)
-
-
-def _nth(values: np.ndarray) -> np.ndarray:
-    """How often a value stood directly before, for runs of equal values."""
-    if not len(values):
-        return values
-    starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
-    return np.arange(len(values)) - np.repeat(starts, np.diff([*starts, len(values)]))
+        held, searchers = [], None
+        for _, part in _by_block(batches):
+            for b in part:
+                ours = b.column(1).to_numpy() == 0
+                asking, seen = b.filter(pa.array(ours)), b.filter(pa.array(~ours))
+                if asking.num_rows:
+                    held.append(asking)
+                if seen.num_rows:
+                    if searchers is None:
+                        searchers = _searchers(index, held, k)
+                    for low in range(0, seen.num_rows, SEEN_ROWS):
+                        some = seen.slice(low, SEEN_ROWS)
+                        searchers.see(some.column(3).to_numpy(), matrix(some.column(4)), some.column(5).to_numpy())
+            if searchers is not None:
+                yield from searchers.rows()
+            held, searchers = [], None
+
+    dealt = written(spark, placed.mapInArrow(
+        deal, f"block int, asked long, query_id long, vector {kind}"), "dealt")
+    reached = written(spark, dealt.repartition(blocks, "block").sortWithinPartitions("block")
+                      .mapInArrow(union, "block int, cell int"), "reached")
+    if reached.count() <= BROADCAST_ROWS:
+        reached = F.broadcast(reached)
+    columns = ["block", "kind", "asked", "id", "vector", "cell"]
+    stored = cells.join(reached, "cell").select(
+        "block", F.lit(1).alias("kind"), F.lit(0).cast("long").alias("asked"), F.col("vec_id").alias("id"),
+        "vector", "cell")
+    asking = dealt.select("block", F.lit(0).alias("kind"), "asked", F.col("query_id").alias("id"), "vector",
+                          F.lit(0).alias("cell"))
+    both = stored.select(columns).unionByName(asking.select(columns))
+    found = both.repartition(blocks, "block").sortWithinPartitions("block", "kind").mapInArrow(score, FOUND)
+    return _best(found, k)
+
+
+def _searchers(index: Index, held: list[pa.RecordBatch], k: int) -> Searchers:
+    table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+    return Searchers(index, table.column(2).to_numpy(), table.column(3).to_numpy(), matrix(table.column(4)), k)
+
+
+def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[pa.RecordBatch]]]:
+    """The batches of each block (first column), of rows sorted by block."""
+    def cut():
+        for b in batches:
+            numbers = b.column(0).to_numpy()
+            ends = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
+            for start, end in zip(ends, ends[1:]):
+                if start < end:
+                    yield int(numbers[start]), b.slice(start, end - start)
+    for number, group in groupby(cut(), key=itemgetter(0)):
+        yield number, (part for _, part in group)
 
 
 def built(spark: SparkSession, table: DataFrame, every: int, k: int, target: float):
