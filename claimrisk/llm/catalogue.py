@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from claimrisk.llm import (
     bytebpe, decontaminate, exactdedup, maintext, multiindex, neardup, packing, passages,
-    prefixcounts, quality, sharding, variants)
-from claimrisk.llm.sql import SHARDING_SQL
+    prefixcounts, quality, repair, sharding, variants)
+from claimrisk.llm.sql import REPAIR_SQL, SHARDING_SQL, VARIANTS_SQL
 
 RANKS, JSON = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
 PAD_ID = 50256  # free in the vocabulary
@@ -65,6 +65,10 @@ def op10_token_counts(spark: SparkSession, root: str) -> DataFrame:
         TOKEN_LIMIT)
 
 
+def op11_conversation_repair(spark: SparkSession, root: str) -> DataFrame:
+    return repair.repair(spark, spark.read.parquet(f"{root}/conversations.parquet"))
+
+
 def op12_spelling_variants(spark: SparkSession, root: str) -> DataFrame:
     return variants.grouped(spark, documents(spark, root))
 
@@ -76,9 +80,10 @@ def op13_nearest_vectors(spark: SparkSession, root: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_repeated_passages, op2_exact_substrings, op3_sharding, op4_quality, op5_main_text,
     op6_packing, op7_byte_bpe, op8_decontamination, op9_near_duplicates, op10_token_counts,
-    op12_spelling_variants, op13_nearest_vectors)}
+    op11_conversation_repair, op12_spelling_variants, op13_nearest_vectors)}
 QUERIES["pipeline"] = corpus_pipeline.run
-ORACLE = {"op3_sharding": SHARDING_SQL}
+ORACLE = {"op3_sharding": SHARDING_SQL, "op11_conversation_repair": REPAIR_SQL,
+          "op12_spelling_variants": VARIANTS_SQL}
 
 
 def queries() -> dict:
