@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from claimrisk.functions.geo import box_sql, distance_sql
 from claimrisk.schemas import NEAREST
 
+# The range prunes the stored digits by a pushed-down filter; the equality of expressions is what
+# a lateral call joins on (Spark applies the limit of a lateral call per key only if the key is no
+# plain column).
 FIND_MEMBER = """
 CREATE OR REPLACE TEMPORARY FUNCTION find_member(
   id STRING COMMENT 'Identity number, with or without punctuation')
@@ -16,7 +20,8 @@ COMMENT 'The member with this identity number, at most one row.'
 RETURN
   SELECT member_id, member_name, plan_name, region, lat, lon
   FROM member_places
-  WHERE regexp_replace(national_id, '[^0-9]', '') = regexp_replace(id, '[^0-9]', '')
+  WHERE digits >= regexp_replace(id, '[^0-9]', '') AND digits <= regexp_replace(id, '[^0-9]', '')
+    AND regexp_replace(digits, '[^0-9]', '') = regexp_replace(id, '[^0-9]', '')
   ORDER BY member_id
   LIMIT 1
 """
@@ -54,8 +59,19 @@ RETURN
 """
 
 
+def digits(number: str = "national_id") -> Column:
+    """An identity number without its punctuation."""
+    return F.regexp_replace(number, "[^0-9]", "")
+
+
 def register(spark: SparkSession, members: DataFrame, providers: DataFrame) -> None:
-    """Create the three functions over the given place tables."""
+    """Create the three functions over the given place tables.
+
+    A member table that stores ``digits`` is searched by pushed-down equality; otherwise the
+    column is computed.
+    """
+    if "digits" not in members.columns:
+        members = members.withColumn("digits", digits())
     members.createOrReplaceTempView("member_places")
     providers.createOrReplaceTempView("provider_places")
     for ddl in (FIND_MEMBER, FIND_PROVIDERS, LIST_SPECIALTIES):

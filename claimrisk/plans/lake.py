@@ -11,14 +11,29 @@ from claimrisk.plans import features
 from claimrisk.session import work_dir
 from claimrisk.sources import domain
 
-_TABLES: dict[tuple[str, str, str], tuple[str, StructType]] = {}
-_STAGED: dict[tuple[str, str], features.Staged] = {}
+_TABLES: dict[tuple, tuple[str, StructType]] = {}
+_STAGED: dict[tuple, features.Staged] = {}
+SOURCES = ("lineitem", "orders", "part", "customer", "supplier")
+
+
+def source_key(spark: SparkSession, root: str) -> tuple:
+    """Application, folder, and the size, number and time of the files the tables come from.
+
+    A folder whose files changed is another source: nothing built from the old files is read.
+    """
+    jvm, out = spark._jvm, [spark.sparkContext.applicationId, root.rstrip("/")]
+    for name in SOURCES:
+        path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}.parquet")
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        held = system.getContentSummary(path)
+        out.append((held.getLength(), held.getFileCount(), system.getFileStatus(path).getModificationTime()))
+    return tuple(out)
 
 
 def once(spark: SparkSession, root: str, name: str, build: Callable[[], DataFrame],
          partition_by: tuple[str, ...] = ()) -> DataFrame:
     """The table ``name`` derived from the data folder, built on first use and read afterwards."""
-    key = (spark.sparkContext.applicationId, root.rstrip("/"), name)
+    key = (*source_key(spark, root), name)
     if key not in _TABLES:
         path, df = work_dir(spark, name), build()
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
@@ -29,7 +44,7 @@ def once(spark: SparkSession, root: str, name: str, build: Callable[[], DataFram
 
 def location(spark: SparkSession, root: str, name: str) -> tuple[str, StructType]:
     """Folder and schema of a table built by ``once``."""
-    return _TABLES[(spark.sparkContext.applicationId, root.rstrip("/"), name)]
+    return _TABLES[(*source_key(spark, root), name)]
 
 
 def silver(spark: SparkSession, root: str) -> domain.Domain:
@@ -41,7 +56,7 @@ def silver(spark: SparkSession, root: str) -> domain.Domain:
 def staged(spark: SparkSession, root: str) -> features.Staged:
     """The entity, pair and document summaries of the mapped claims."""
     d = silver(spark, root)
-    key = (spark.sparkContext.applicationId, root.rstrip("/"))
+    key = source_key(spark, root)
     if key not in _STAGED:
         _STAGED[key] = features.stage(spark, d)
     return _STAGED[key]

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from claimrisk.functions.geo import distance_km, in_box
 from claimrisk.operators import tablefunctions
 from claimrisk.operators.radius import nearest, radius_tiers
 from claimrisk.operators.ranking import first_per_group, seeded_sample, top
+from claimrisk.plans.lake import once
 from claimrisk.plans.placement import place
 from claimrisk.plans.sqlparts import rnd
 from claimrisk.schemas import RADIUS_TIERS_KM
@@ -54,34 +55,53 @@ def radius_tier(spark: SparkSession, root: str) -> DataFrame:
         searchers(spark, root), candidates(spark, root), ["plan_name"], RADIUS_TIERS_KM)
 
 
+def stored_members(spark: SparkSession, root: str) -> DataFrame:
+    """Members by the digits of their identity number: sorted, so that a look-up reads one row group."""
+    return once(spark, root, "member_places", lambda: domain.member_places(spark, root).withColumn(
+        "digits", tablefunctions.digits()).repartitionByRange("digits").sortWithinPartitions("digits"))
+
+
 def _register(spark, root):
     tablefunctions.register(
-        spark, domain.member_places(spark, root), domain.provider_places(spark, root))
+        spark, stored_members(spark, root), domain.provider_places(spark, root))
+
+
+def an_accepting_provider(spark: SparkSession, root: str) -> Row:
+    """The first in-network provider that accepts a plan: searches around it have a hit at any scale."""
+    return domain.provider_places(spark, root).where(F.col("in_network") & (F.size("plans") > 0)) \
+        .select("provider_id", "specialty", F.element_at("plans", 1).alias("plan_name"), "lat", "lon") \
+        .orderBy("provider_id").first()
 
 
 def find_providers(spark: SparkSession, root: str) -> DataFrame:
     """The table function called for one place; the box reaches the scan as plain ranges."""
     _register(spark, root)
-    return spark.sql(
-        f"SELECT * FROM find_providers({HERE[0]}D, {HERE[1]}D, '{SPECIALTY.upper()}', 'BUILDING', 200)")
+    a = an_accepting_provider(spark, root)
+    return spark.sql(f"SELECT * FROM find_providers("
+                     f"{a.lat!r}D, {a.lon!r}D, '{a.specialty.upper()}', '{a.plan_name}', 200)")
 
 
 def search_counts(spark: SparkSession, root: str) -> DataFrame:
     """Hits of the same search in growing radii, and of a specialty that does not exist."""
     _register(spark, root)
-    calls = [(f"'{SPECIALTY}'", r) for r in RADIUS_TIERS_KM] + [("'No such specialty'", 200)]
+    a = an_accepting_provider(spark, root)
+    calls = [(f"'{a.specialty}'", r) for r in RADIUS_TIERS_KM] + [("'No such specialty'", 200)]
     return spark.sql(" UNION ALL ".join(
         f"SELECT {s} AS specialty, {r} AS radius_km, count(*) AS hits "
-        f"FROM find_providers({HERE[0]}D, {HERE[1]}D, {s}, 'BUILDING', {r})" for s, r in calls))
+        f"FROM find_providers({a.lat!r}D, {a.lon!r}D, {s}, '{a.plan_name}', {r})" for s, r in calls))
 
 
 def lookup_chain(spark: SparkSession, root: str) -> DataFrame:
-    """One member's identity number, chained into the provider search."""
+    """The identity number of a member of that provider's plan, chained into the provider search."""
     _register(spark, root)
+    a = an_accepting_provider(spark, root)
+    near = distance_km(f"{a.lat!r}D", f"{a.lon!r}D", "lat", "lon") <= RADIUS_TIERS_KM[-1]
+    member = domain.member_places(spark, root).where((F.col("plan_name") == a.plan_name) & near) \
+        .orderBy("member_id").select("national_id").first()
     return spark.sql(f"""
         SELECT m.member_id, m.plan_name, f.provider_id, f.specialty, f.distance_km
-        FROM find_member('000.000.000-03') m,
-             LATERAL find_providers(m.lat, m.lon, '{SPECIALTY}', m.plan_name, 200) f""")
+        FROM find_member('{member.national_id if member else ""}') m,
+             LATERAL find_providers(m.lat, m.lon, '{a.specialty}', m.plan_name, 200) f""")
 
 
 def member_lookup(spark: SparkSession, root: str) -> DataFrame:
@@ -207,6 +227,9 @@ def _search(lat: str, lon: str, wanted: str, plan: str, radius: int) -> str:
   WHERE exact_km <= {radius} ORDER BY distance_km, provider_id LIMIT 5)"""
 
 
+_HERE = """a AS (SELECT provider_id, specialty AS wanted, 'No such specialty' AS missing, plans[1] AS plan_name, lat, lon
+  FROM pp WHERE in_network AND len(plans) > 0 ORDER BY provider_id LIMIT 1)"""
+
 _HITS = f"""hits AS (SELECT member_id, provider_id, exact_km, {rnd("exact_km", 2)} AS distance_km FROM (
   SELECT m.member_id, p.provider_id, {_km("m.lat", "m.lon", "p.lat", "p.lon")} AS exact_km
   FROM mp m JOIN (SELECT *, unnest(plans) AS plan_name FROM pp) p ON p.plan_name = m.plan_name
@@ -229,17 +252,18 @@ t AS (SELECT m.member_id, least(count(*) FILTER (exact_km <= 15), 5) AS hits_15k
   FROM mp m LEFT JOIN hits h ON h.member_id = m.member_id GROUP BY m.member_id)
 SELECT *, CASE WHEN hits_15km > 0 THEN 15 WHEN hits_50km > 0 THEN 50 WHEN hits_200km > 0 THEN 200 END AS tier_km
 FROM t""",
-    "find_providers": f"""WITH {_PROVIDERS}
-SELECT provider_id, provider_name, specialty, region, rating, urgent, distance_km
-FROM {_search(f"{HERE[0]}::DOUBLE", f"{HERE[1]}::DOUBLE", f"'{SPECIALTY}'", "'BUILDING'", 200)}""",
-    "search_counts": f"WITH {_PROVIDERS} " + " UNION ALL ".join(
-        f"""SELECT '{s}' AS specialty, {r} AS radius_km, count(*) AS hits
-FROM {_search(f"{HERE[0]}::DOUBLE", f"{HERE[1]}::DOUBLE", f"'{s}'", "'BUILDING'", r)}"""
-        for s, r in [(SPECIALTY, t) for t in RADIUS_TIERS_KM] + [("No such specialty", 200)]),
-    "lookup_chain": f"""WITH {_PROVIDERS}, {_MEMBERS}
+    "find_providers": f"""WITH {_PROVIDERS}, {_HERE}
+SELECT f.provider_id, f.provider_name, f.specialty, f.region, f.rating, f.urgent, f.distance_km
+FROM a, LATERAL {_search("a.lat", "a.lon", "a.wanted", "a.plan_name", 200)} f""",
+    "search_counts": f"WITH {_PROVIDERS}, {_HERE} " + " UNION ALL ".join(
+        f"""SELECT any_value(a.{s}) AS specialty, {r} AS radius_km, count(f.provider_id) AS hits
+FROM a LEFT JOIN LATERAL {_search("a.lat", "a.lon", f"a.{s}", "a.plan_name", r)} f ON TRUE"""
+        for s, r in [("wanted", t) for t in RADIUS_TIERS_KM] + [("missing", 200)]),
+    "lookup_chain": f"""WITH {_PROVIDERS}, {_MEMBERS}, {_HERE}
 SELECT m.member_id, m.plan_name, f.provider_id, f.specialty, f.distance_km
-FROM (SELECT * FROM mp WHERE digits = '00000000003' ORDER BY member_id LIMIT 1) m,
-  LATERAL {_search("m.lat", "m.lon", f"'{SPECIALTY}'", "m.plan_name", 200)} f""",
+FROM (SELECT mp.*, a.wanted FROM mp, a WHERE mp.plan_name = a.plan_name
+      AND {_km("a.lat", "a.lon", "mp.lat", "mp.lon")} <= 200 ORDER BY member_id LIMIT 1) m,
+  LATERAL {_search("m.lat", "m.lon", "m.wanted", "m.plan_name", 200)} f""",
     "member_lookup": f"""WITH {_MEMBERS},
 f AS (SELECT * FROM mp QUALIFY row_number() OVER (PARTITION BY digits ORDER BY member_id) = 1)
 SELECT q.member_id AS asked_by, f.member_id, f.member_name, f.plan_name, f.lat, f.lon

@@ -131,3 +131,23 @@ def test_placement_is_repeatable_and_near_a_district(spark, root):
     far = rows.filter(
         F.abs(F.col("lat") - (-30.0 + F.col("region") + F.col("district") * 0.05)) > 0.0091)
     assert far.isEmpty() and rows.count() == 10
+
+
+def test_member_look_up_prunes_by_the_stored_digits(spark, root):
+    from claimrisk.plans import places
+    places._register(spark, root)
+    plan = spark.sql("SELECT * FROM find_member('000.000.000-03')")._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(digits,00000000003)" in plan and "LessThanOrEqual(digits,00000000003)" in plan
+    assert [r.member_id for r in spark.sql("SELECT * FROM find_member('000.000.000-03')").collect()] == [3]
+
+
+def test_tables_follow_the_files_of_their_folder(spark, root, tmp_path):
+    import shutil
+
+    from claimrisk.plans import lake
+    for name in lake.SOURCES:
+        shutil.copy(f"{root}/{name}.parquet", tmp_path)
+    before = lake.silver(spark, str(tmp_path)).claims.count()
+    half = spark.read.parquet(f"{root}/lineitem.parquet").where("l_orderkey % 2 = 0").toPandas()
+    half.to_parquet(tmp_path / "lineitem.parquet")
+    assert 0 < lake.silver(spark, str(tmp_path)).claims.count() < before
