@@ -17,8 +17,32 @@ CUT = re.compile(f"(?<=[^{SPACE}]) (?=[^{SPACE}])")
 BESIDE_SPACE = [pair for c in map(chr, range(0x3001)) if re.match(f"[{SPACE}]", c)
                 for pair in (c + " ", " " + c)]
 
-# Pieces a worker remembers; beyond it the memory starts anew (results do not depend on it).
-REMEMBERED = 500_000
+# What a worker remembers is kept in two generations of so many entries (results do not depend on it).
+REMEMBERED = 300_000
+
+
+class Generations(dict):
+    """Remembered values, in two generations.
+
+    When the young one is full it becomes the old one, whose values come back when they are asked
+    for; what nobody asked for in between is forgotten.
+    """
+
+    def __init__(self, most: int = REMEMBERED):
+        super().__init__()
+        self.most, self.old = most, {}
+
+    def recall(self, key):
+        """A value that is not in the young generation, or None."""
+        value = self.old.get(key)
+        if value is not None:
+            self[key] = value
+        return value
+
+    def make_room(self, n: int = 1) -> None:
+        if len(self) + n > self.most:
+            self.old = dict(self)
+            self.clear()
 
 
 def cut(text: str) -> list[str]:
@@ -28,7 +52,7 @@ def cut(text: str) -> list[str]:
     return text.split(" ")
 
 
-class Memory(dict):
+class Memory(Generations):
     """Values of pieces, computed for many unseen pieces at once.
 
     The key of a piece inside a text is the piece without the blank before it.
@@ -43,16 +67,18 @@ class Memory(dict):
         for start, stop in runs(texts):
             pieces = [cut(t) for t in texts[start:stop]]
             values = [list(map(self.get, ps)) for ps in pieces]
-            unseen = list({p for ps, vs in zip(pieces, values)
-                           for p, v in zip(ps[1:], vs[1:]) if v is None})
-            learned = dict(zip(unseen, self.compute([" " + p for p in unseen])))
-            if len(self) + len(learned) > REMEMBERED:
-                self.clear()
+            unseen = {p for ps, vs in zip(pieces, values) if None in vs
+                      for p, v in zip(ps[1:], vs[1:]) if v is None}
+            learned = {p: v for p in unseen if (v := self.old.get(p)) is not None}
+            unseen = [p for p in unseen if p not in learned]
+            learned |= zip(unseen, self.compute([" " + p for p in unseen]))
+            self.make_room(len(learned))
             self.update(learned)
             heads = self.compute([ps[0] for ps in pieces])
             for head, ps, vs in zip(heads, pieces, values):
                 vs[0] = head
-                yield b"".join([v if v is not None else learned[p] for p, v in zip(ps, vs)])
+                yield b"".join(vs if None not in vs else
+                               [v if v is not None else learned[p] for p, v in zip(ps, vs)])
 
 
 def runs(texts: list[str], most: int = 1_000_000) -> Iterable[tuple[int, int]]:

@@ -15,6 +15,7 @@ results.  Extra columns of the input are ignored.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
@@ -27,11 +28,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimrisk.llm.frames import kept_by_worker, map_batches, ragged, texts_of
-from claimrisk.llm.pieces import REMEMBERED, SPACE, Memory
+from claimrisk.llm.pieces import SPACE, Generations, Memory
 
 RUN = re.compile(f"[{SPACE}]+")
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")  # fixed values of the public pattern
-REMEMBERED_PAIRS = 1_000_000
+REMEMBERED_PAIRS = 500_000
+SHIFT = 32  # a pair of tokens as one number
+LAST = 1 << 60  # rank of what never merges
 
 
 class Vocabulary:
@@ -55,6 +58,12 @@ class Vocabulary:
         known = set(self.special)
         self.tokens = {spelled(t) for t in model["vocab"] if t not in known}
         self.longest = max(map(len, self.tokens))
+        self.spelling = [b"", *sorted(self.tokens)]  # by number; 0 is no token
+        self.number = {t: i for i, t in enumerate(self.spelling) if i}
+        self.halves = {a + b: (a, b) for a, b in self.merges}
+        if len(self.halves) != len(self.merges):
+            raise ValueError("a vocabulary in which every token has one merge is needed")
+        self.spines: tuple[dict, dict] = {}, {}
 
     def merged(self, text: bytes) -> list[bytes]:
         """The tokens of a short byte string by the merges themselves."""
@@ -68,6 +77,41 @@ class Vocabulary:
         return parts
 
 
+    def spine(self, token: bytes, side: int) -> list[tuple[bytes, int]]:
+        """What stands at one end of a token (0 left, 1 right) while it is merged, byte first.
+
+        With each the rank of the merge by which the next one swallows it.
+        """
+        known = self.spines[side].get(token)
+        if known is None:
+            parts, known = self.halves.get(token), []
+            if parts:
+                known = self.spine(parts[side], side)[:-1] + [(parts[side], self.merges[parts])]
+            known = self.spines[side][token] = known + [(token, LAST)]
+        return known
+
+    def apart(self, left: bytes, right: bytes) -> bool:
+        """Whether the merges never join two neighbouring tokens across their seam.
+
+        Merges happen in order of rank, the leftmost first.  While nothing joins the seam, what
+        stands left and right of it climbs the spines of both tokens; it is joined if its own
+        merge comes before the next step of either.
+        """
+        lefts, rights, merges = self.spine(left, 1), self.spine(right, 0), self.merges
+        i, j = 0, 0
+        while True:
+            (a, up_left), (b, up_right) = lefts[i], rights[j]
+            rank = merges.get((a, b), LAST)
+            if rank < up_left and rank <= up_right and rank < LAST:
+                return False
+            if up_left == up_right == LAST:
+                return True
+            if up_left <= up_right:
+                i += 1
+            else:
+                j += 1
+
+
 class PrefixCounter:
     """Token counts of all prefixes, with a memory of pieces and of stable pairs."""
 
@@ -76,35 +120,38 @@ class PrefixCounter:
         self.vocabulary = vocabulary
         self.pretokens = regex.compile(pattern).findall
         self.special = re.compile("|".join(map(re.escape, vocabulary.special)) or "(?!)")
-        self.words: dict[str, bytes] = {}
-        self.pairs: dict[tuple[bytes, bytes], bool] = {}
+        self.words: Generations = Generations()
+        self.pairs: Generations = Generations(REMEMBERED_PAIRS)  # number of the left << SHIFT | right
         self.pieces = Memory(self._differences)
 
-    def _stable(self, left: bytes, right: bytes) -> bool:
-        """Whether the merges leave two neighbouring tokens as they are; left may be empty."""
-        if len(self.pairs) >= REMEMBERED_PAIRS:
-            self.pairs.clear()
-        expected = [left, right] if left else [right]
-        known = self.pairs[left, right] = self.vocabulary.merged(left + right) == expected
+    def _stable(self, pair: int) -> bool:
+        """Whether the merges leave two neighbouring tokens as they are; the left may be none."""
+        known = self.pairs.recall(pair)
+        if known is None:
+            self.pairs.make_room()
+            left, right = (self.vocabulary.spelling[i] for i in (pair >> SHIFT, pair & (1 << SHIFT) - 1))
+            known = self.pairs[pair] = (
+                self.vocabulary.apart(left, right) if left else self.vocabulary.merged(right) == [right])
         return known
 
-    def _extend(self, word: bytes, last: list[bytes], counts: list[int]) -> None:
-        """Carry last tokens and counts, known for the first prefixes of a word, to its end."""
-        tokens, longest, known = self.vocabulary.tokens, self.vocabulary.longest, self.pairs.get
+    def _extend(self, word: bytes, last: list[int], counts: list[int]) -> None:
+        """Carry last tokens (shifted numbers) and counts, known for the first prefixes of a word, to its end."""
+        number, longest, known = self.vocabulary.number.get, self.vocabulary.longest, self.pairs.get
         for end in range(len(counts), len(word) + 1):
             for start in range(end - longest if end > longest else 0, end):
-                token = word[start:end]
-                if token in tokens:
-                    fits = known((last[start], token))
-                    if fits or fits is None and self._stable(last[start], token):
-                        last.append(token)
+                token = number(word[start:end])
+                if token is not None:
+                    pair = last[start] | token
+                    fits = known(pair)
+                    if fits or fits is None and self._stable(pair):
+                        last.append(token << SHIFT)
                         counts.append(counts[start] + 1)
                         break
 
     def prefix_tokens(self, word: bytes) -> list[int]:
         """Token counts of the prefixes of a pre-token with 0, 1, 2 ... bytes."""
         counts = [0]
-        self._extend(word, [b""], counts)
+        self._extend(word, [0], counts)
         return counts
 
     def _learn(self, words: set[str]) -> None:
@@ -112,7 +159,7 @@ class PrefixCounter:
 
         In sorted order a word goes on from the prefixes it shares with the word before it.
         """
-        last, counts, before = [b""], [0], b""
+        last, counts, before = [0], [0], b""
         for word, data in sorted(((w, w.encode()) for w in words), key=itemgetter(1)):
             same, most = 0, min(len(before), len(data))
             while same < most and before[same] == data[same]:
@@ -129,16 +176,18 @@ class PrefixCounter:
 
     def _differences(self, pieces: list[str]) -> list[bytes]:
         """What each code point of a piece adds to the count."""
-        cut = [[p] if p[:1] == " " and p[1:].isalpha() else self.pretokens(p) for p in pieces]
-        inside = [RUN.findall(p) if len(ws) > 1 else () for p, ws in zip(pieces, cut)]
-        wanted = {w for words in (*cut, *inside) for w in words}
-        if len(self.words) + len(wanted) > REMEMBERED:
-            self.words.clear()
-        self._learn({w for w in wanted if w not in self.words})
+        pretokens, search = self.pretokens, RUN.search
+        cut = [[p] if p[:1] == " " and p[1:].isalpha() else pretokens(p) for p in pieces]
+        # a blank in front counts alike in any text
+        broken = [len(ws) > 1 and search(p, 1) is not None for p, ws in zip(pieces, cut)]
+        wanted = {w for words in cut for w in words}
+        wanted.update(run for p, some in zip(pieces, broken) if some for run in RUN.findall(p))
+        self.words.make_room(len(wanted))
+        self._learn({w for w in wanted if w not in self.words and self.words.recall(w) is None})
         step, out = self.words.__getitem__, []
-        for piece, words in zip(pieces, cut):
-            steps = b"".join(map(step, words))
-            if RUN.search(piece, 1):  # a blank in front counts alike in any text
+        for piece, words, some in zip(pieces, cut, broken):
+            steps = step(words[0]) if len(words) == 1 else b"".join(map(step, words))
+            if some:
                 counts = [0, *accumulate(array("h", steps))]
                 after = list(counts)
                 for run in RUN.finditer(piece):
@@ -190,10 +239,16 @@ def prefix_counts(spark: SparkSession, docs: DataFrame, vocabulary_file: str,
         key = hashlib.sha256(data.value + pattern.encode()).digest()
         counter = kept_by_worker("prefix counter", key,
                                  lambda: PrefixCounter(Vocabulary(data.value), pattern))
-        return lambda rows: {
-            "doc_id": rows["doc_id"],
-            "n_bytes": [len(t.encode()) for t in rows["text"]],
-            "prefix_counts": ragged(counter.counts(rows["text"]), np.int32)}
+
+        def function(rows):
+            gc.disable()  # millions of remembered values, none in a cycle
+            try:
+                counts = ragged(counter.counts(rows["text"]), np.int32)
+            finally:
+                gc.enable()
+            return {"doc_id": rows["doc_id"], "n_bytes": [len(t.encode()) for t in rows["text"]],
+                    "prefix_counts": counts}
+        return function
 
     return map_batches(texts_of(docs), "doc_id long, n_bytes long, prefix_counts array<int>", work)
 
