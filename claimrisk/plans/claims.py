@@ -83,13 +83,14 @@ def duplicate_document(spark: SparkSession, root: str) -> DataFrame:
 def network_duplicate(spark: SparkSession, root: str) -> DataFrame:
     d, slots = silver(spark, root), plan.member_slots(staged(spark, root))
     return plan.add_network_mark(
-        slots.place(d.claims, "claim_id"), d.network, slots).select("claim_id", "in_network_too")
+        slots.place(d.claims, "claim_id"), signals.network_marks(d.network), slots,
+    ).select("claim_id", "in_network_too")
 
 
 def prior_event(spark: SparkSession, root: str) -> DataFrame:
     d, slots = silver(spark, root), plan.member_slots(staged(spark, root))
     return plan.add_prior_event(
-        slots.place(d.claims, "claim_id"), d.network, d.event_code, slots,
+        slots.place(d.claims, "claim_id"), signals.first_events(d.network, d.event_code), slots,
     ).select("claim_id", "site_already_removed")
 
 

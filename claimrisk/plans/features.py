@@ -55,6 +55,8 @@ class Staged:
     members: DataFrame
     documents: DataFrame
     prices: DataFrame
+    marks: DataFrame
+    events: DataFrame
 
     @property
     def repeated(self) -> DataFrame:
@@ -89,6 +91,8 @@ def stage(spark: SparkSession, d: Domain) -> Staged:
         members=written(spark, entity.member_features(pairs), "member_features"),
         documents=written(spark, signals.document_counts(d.claims), "document_counts"),
         prices=written(spark, signals.reference_prices(d.network), "reference_prices"),
+        marks=written(spark, signals.network_marks(d.network), "network_marks"),
+        events=written(spark, signals.first_events(d.network, d.event_code), "first_events"),
     )
 
 
@@ -104,37 +108,42 @@ def add_burst(placed: DataFrame, s: Staged, slots: KeySlots) -> DataFrame:
 
 
 def add_arriving_burst(placed: DataFrame, s: Staged, slots: KeySlots) -> DataFrame:
-    """The 30-day count of the pair in the history, and the arriving claim itself."""
+    """The 30-day count of the pair in the history, the arriving claim itself, and earlier arrivals.
+
+    ``earlier_claims``, where the claims have that column, counts what arrived since the history.
+    """
     day = F.unix_date("proc_date")
     recent = F.filter("days", lambda d: d["day"].between(day - BURST_DAYS, day))
     counted = F.aggregate(recent, F.lit(0).cast("long"), lambda n, d: n + d["n"])
+    since = F.col("earlier_claims") if "earlier_claims" in placed.columns else F.lit(0)
     return slots.left_join(placed, s.pair_days, ["provider_id"]).withColumn(
-        "pair_claims_30d", F.coalesce(counted, F.lit(0)) + 1).drop("days")
+        "pair_claims_30d", F.coalesce(counted, F.lit(0)) + 1 + since).drop("days", "earlier_claims")
 
 
 def add_repeated_document(rows: DataFrame, documents: DataFrame) -> DataFrame:
-    """1 for claims whose document is among the given ones."""
+    """1 for claims whose document is among the given ones, or was used by an earlier arrival."""
+    since = F.col("earlier_uses") if "earlier_uses" in rows.columns else F.lit(0)
     rows, key = spread_nulls(rows, "document", "claim_id")
     repeated = documents.withColumnRenamed("document", key)
     return spread_left_join(
         rows, repeated, [key], "claim_id", hot_keys(repeated, [key], "document_rows"),
     ).withColumn(
-        "repeated_document", F.when(F.col("document_rows").isNotNull(), 1).otherwise(0)
-    ).drop("document_rows", key)
+        "repeated_document", F.when(F.col("document_rows").isNotNull() | (since > 0), 1).otherwise(0)
+    ).drop("document_rows", "earlier_uses", key)
 
 
-def add_network_mark(placed: DataFrame, network: DataFrame, slots: KeySlots) -> DataFrame:
+def add_network_mark(placed: DataFrame, marks: DataFrame, slots: KeySlots) -> DataFrame:
     """1 when the network already paid the same member, code and site (no site matches no site)."""
     return slots.left_join(
-        placed.withColumn("site_key", signals.site_key()), signals.network_marks(network),
+        placed.withColumn("site_key", signals.site_key()), marks,
         ["proc_code", "site_key"],
     ).withColumn("in_network_too", F.coalesce("in_network_too", F.lit(0))).drop("site_key")
 
 
-def add_prior_event(placed: DataFrame, network: DataFrame, code: str, slots: KeySlots) -> DataFrame:
+def add_prior_event(placed: DataFrame, events: DataFrame, slots: KeySlots) -> DataFrame:
     """1 when the claim is dated strictly after the event on the same site; no site, no match."""
     return slots.left_join(
-        placed, signals.first_events(network, code), ["site"],
+        placed, events, ["site"],
     ).withColumn(
         "site_already_removed",
         F.when(F.col("removed_on").isNotNull() & (F.col("proc_date") > F.col("removed_on")), 1)
@@ -161,8 +170,8 @@ def feature_table(
     rows = slots.place(add_repeated_document(d.claims, used), "claim_id")
     rows = slots.left_join(rows, s.members)
     rows = add_arriving_burst(rows, s, slots) if arriving else add_burst(rows, s, slots)
-    rows = add_network_mark(rows, d.network, slots)
-    rows = add_prior_event(rows, d.network, d.event_code, slots)
+    rows = add_network_mark(rows, s.marks, slots)
+    rows = add_prior_event(rows, s.events, slots)
     rows = own_claim_features(replace(d, claims=rows), s, slots)
     rows = spread_left_join(rows, s.providers, ["provider_id"], "claim_id", s.hot_providers)
     return rows.select(*KEYS, *FEATURES, *extra, "label")

@@ -135,15 +135,25 @@ FEATURES = ",".join(
 
 
 def arriving_features(cut: str) -> str:
-    """Features of the claims requested from a day on, each with the history before that day."""
+    """Features of the claims requested from a day on.
+
+    Entities have the history before that day; pair and document count every claim that was
+    requested before, by day and id.
+    """
+    own_arrival = _FEATURES.replace("d.document IS NOT NULL", "d.claim_id IS NOT NULL").replace(
+        "repeated d ON d.document = o.document", "used d ON d.claim_id = o.claim_id")
     return ",".join([
         enriched(f"(SELECT * FROM claims WHERE req_date >= DATE '{cut}')"), f"""
 history AS (SELECT * FROM claims WHERE req_date < DATE '{cut}')""",
         provider_table("history"), member_table("history"), """
-burst AS (SELECT a.claim_id, 1 + count(h.claim_id) AS pair_claims_30d FROM claims a LEFT JOIN history h
+burst AS (SELECT a.claim_id, 1 + count(h.claim_id) AS pair_claims_30d FROM claims a LEFT JOIN claims h
   ON h.member_id = a.member_id AND h.provider_id = a.provider_id
-  AND h.proc_date BETWEEN a.proc_date - 30 AND a.proc_date GROUP BY a.claim_id)""", """
-repeated AS (SELECT DISTINCT document FROM history)""", MARKS, REMOVED]) + _FEATURES
+  AND h.proc_date BETWEEN a.proc_date - 30 AND a.proc_date
+  AND (h.req_date < a.req_date OR (h.req_date = a.req_date AND h.claim_id < a.claim_id))
+  GROUP BY a.claim_id)""", """
+used AS (SELECT claim_id FROM (SELECT claim_id, row_number() OVER (
+  PARTITION BY document ORDER BY req_date, claim_id) AS nth FROM claims WHERE document IS NOT NULL) WHERE nth > 1)""",
+        MARKS, REMOVED]) + own_arrival
 
 
 # A fixed score in exact 32nds, so both sides rank alike.

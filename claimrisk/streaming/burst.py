@@ -1,11 +1,18 @@
-"""Claims per member within the last hour, as a sliding event-time window."""
+"""Claims per member within the last hour, as a sliding event-time window.
+
+Windows are emitted once the watermark has passed their end.  When an input is over, one closing
+event behind its last window moves the watermark there, so the windows that are still open are
+emitted too, once, by the same query and state.  The closing event has no key; the windows it opens
+lie behind the watermark it sets and never leave.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LATENESS = "10 minutes"
+AFTER_THE_END = "2 hours"  # more than a window, its slide and the lateness
 
 
 def hourly_counts(events: DataFrame, key: str, ts: str = "ts", length: str = "1 hour",
@@ -21,3 +28,21 @@ def hourly_counts(events: DataFrame, key: str, ts: str = "ts", length: str = "1
         .select(key, F.col("window.start").alias("window_start"),
                 F.col("window.end").alias("window_end"), "n")
     )
+
+
+def with_closing(spark: SparkSession, events: DataFrame, folder: str) -> DataFrame:
+    """The events and whatever ``close_input`` puts into ``folder``, as one stream."""
+    return events.unionByName(spark.readStream.schema(events.schema).parquet(folder))
+
+
+def open_input(spark: SparkSession, events: DataFrame, folder: str) -> None:
+    """Prepares the folder of the closing event, still empty."""
+    spark.createDataFrame([], events.schema).write.mode("ignore").parquet(folder)
+
+
+def close_input(spark: SparkSession, events: DataFrame, folder: str, ts: str = "ts",
+                after: str = AFTER_THE_END) -> None:
+    """Writes the closing event of an input whose rows, read at once, are ``events``."""
+    last = events.agg((F.max(ts) + F.expr(f"INTERVAL {after}")).alias(ts)).where(F.col(ts).isNotNull())
+    last.select(*[F.col(c) if c == ts else F.lit(None).cast(events.schema[c].dataType).alias(c)
+                  for c in events.columns]).write.mode("append").parquet(folder)

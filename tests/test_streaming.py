@@ -1,6 +1,7 @@
 """Streams against the batch form of the same result."""
 
 import datetime as dt
+import os
 from collections import defaultdict
 from dataclasses import replace
 
@@ -12,7 +13,8 @@ from claimrisk.plans import features, lake
 from claimrisk.plans.sqlparts import SCORE_SQL
 from claimrisk.session import work_dir
 from claimrisk.sources import domain
-from claimrisk.streaming.burst import hourly_counts
+from claimrisk.streaming.arrivals import score_arrivals
+from claimrisk.streaming.burst import close_input, hourly_counts, open_input, with_closing
 from claimrisk.streaming.scoring import append_files, claim_stream, scored_stream
 
 
@@ -106,3 +108,82 @@ def test_hourly_counts_drop_late_rows_and_keep_closed_windows(spark):
     counts = {(r["user_id"], r["window_start"]): r["n"] for r in got.collect()}
     assert counts[(1, t0)] == 2 and counts[(2, t0)] == 1
     assert counts[(1, t0 - dt.timedelta(minutes=55))] == 1
+
+
+def arrive_in_parts(spark, root, rows, parts, again=False):
+    """Scores of claims that arrive part by part; again: the last batch is run a second time."""
+    d = lake.silver(spark, root)
+    published = lake.staged(spark, root)
+    source, out, state, checkpoint = (work_dir(spark, n) for n in ("ain", "aout", "astate", "acp"))
+
+    def go():
+        arriving = spark.readStream.schema(d.claims.schema).parquet(source)
+        score_arrivals(spark, arriving, d, published, out, state, checkpoint, F.expr(SCORE_SQL),
+                       0.3).awaitTermination()
+
+    for part in parts:
+        rows.where(F.col("claim_id").isin(part)).coalesce(1).write.mode("append").parquet(source)
+        go()
+    if again:
+        for n in (str(len(parts) - 1), f".{len(parts) - 1}.crc"):
+            path = f"{checkpoint}/commits/{n}"
+            if os.path.exists(path):
+                os.unlink(path)
+        go()
+    found = spark.read.parquet(out).collect()
+    assert len({r.claim_id for r in found}) == len(found)
+    return {r.claim_id: (r.pair_claims_30d, r.repeated_document) for r in found}
+
+
+def fresh_claims(spark, root):
+    """Six claims of a pair and documents that the history does not know."""
+    like = lake.silver(spark, root).claims.limit(1).drop("claim_id", "provider_id", "document", "proc_date", "req_date")
+    day = dt.date(2005, 1, 1)
+    own = [(1, -5, "new-a", 0, 40), (2, -5, "new-a", 3, 41), (3, -5, "new-b", 36, 42), (4, -6, "new-a", 36, 42),
+           (5, -5, None, 34, 43), (6, -5, None, 2, 44)]
+    rows = spark.createDataFrame(
+        [(c, p, x, day + dt.timedelta(a), day + dt.timedelta(r)) for c, p, x, a, r in own],
+        "claim_id long, provider_id long, document string, proc_date date, req_date date")
+    return rows.crossJoin(like).select(lake.silver(spark, root).claims.columns)
+
+
+PLACES = [(-5, 0), (-5, 3), (-5, 36), (-6, 36), (-5, 34), (-5, 2)]  # provider and day of claims 1 to 6
+REPEATED = {1: 0, 2: 1, 3: 0, 4: 1, 5: 0, 6: 0}
+
+
+def test_arrivals_count_for_later_arrivals_whatever_the_batches(spark, root):
+    rows = fresh_claims(spark, root)
+    want = {}
+    for c, (provider, day) in enumerate(PLACES, 1):
+        before = [a for p, a in PLACES[:c - 1] if p == provider and day - 30 <= a <= day]
+        want[c] = 1 + len(before), REPEATED[c]
+    assert want[1] == (1, 0) and want[2] == (2, 1)
+    for parts in ([[1, 2, 3, 4, 5, 6]], [[1], [2], [3, 4], [5, 6]], [[1, 2, 3], [4, 5, 6]]):
+        assert arrive_in_parts(spark, root, rows, parts) == want
+
+
+def test_a_batch_that_is_run_again_counts_once(spark, root):
+    rows = fresh_claims(spark, root)
+    parts = [[1, 2, 3], [4, 5, 6]]
+    assert arrive_in_parts(spark, root, rows, parts, again=True) == arrive_in_parts(spark, root, rows, parts)
+
+
+def test_closing_an_input_emits_open_windows_once(spark):
+    t0 = dt.datetime(2024, 1, 1, 12, 0)
+    source, out, checkpoint, closing = (work_dir(spark, n) for n in ("cin", "cout", "ccp", "cend"))
+    rows = [(u, t0 + dt.timedelta(minutes=m)) for u, m in [(1, 0), (1, 30), (2, 300), (None, 301)]]
+    schema = "user_id long, ts timestamp"
+    events = spark.createDataFrame(rows, schema)
+    events.write.parquet(source)
+    open_input(spark, events, closing)
+
+    def go():
+        stream = with_closing(spark, spark.readStream.schema(schema).parquet(source), closing)
+        return run(spark, hourly_counts(stream, "user_id"), "c", checkpoint, out).collect()
+    go()
+    close_input(spark, events, closing)
+    for _ in range(2):
+        got = go()
+    counts = {(r["user_id"], r["window_start"]): r["n"] for r in got}
+    assert len(counts) == len(got) and sum(counts.values()) == 12 * len(rows)
+    assert counts[(1, t0)] == 2 and counts[(2, t0 + dt.timedelta(minutes=300))] == 1
