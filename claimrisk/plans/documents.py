@@ -10,6 +10,7 @@ from claimrisk.operators import retrieval, rules
 from claimrisk.operators.ranking import first_per_group
 from claimrisk.plans import sqlparts as q
 from claimrisk.plans.lake import once, silver
+from claimrisk.plans.pagesql import ELEMENTS
 from claimrisk.sources.tables import read_table, spread
 
 TOP = 3
@@ -62,16 +63,28 @@ def element_counts(spark: SparkSession, root: str) -> DataFrame:
 
 
 def cell_lookup(spark: SparkSession, root: str) -> DataFrame:
-    """Cells of one HTML table per supplier, parsed from markup: a value with its row and column."""
+    """Cells of a table per supplier, taken from markup by the page splitter: value, row and column.
+
+    A supplier's number spans the two rows of its table, its nation the last two columns of the second.
+    """
+    def cell(value, tag="td", attributes=""):
+        return F.concat(F.lit(f"<{tag}{attributes}>"), value, F.lit(f"</{tag}>"))
+
+    def row(*cells):
+        return F.concat(F.lit("<tr>"), *cells, F.lit("</tr>"))
+
     page = F.concat(
-        F.lit("<h2>Supplier</h2><table><tr><th>id</th><th>name</th><th>nation</th></tr><tr><td>"),
-        F.col("s_suppkey").cast("string"), F.lit("</td><td>"), F.col("s_name"), F.lit("</td><td>"),
-        F.col("s_nationkey").cast("string"), F.lit("</td></tr></table>"))
+        F.lit("<h2>Supplier</h2><table>"),
+        row(*[cell(F.lit(n), "th") for n in ("id", "name", "balance")]),
+        row(cell(F.col("s_suppkey").cast("string"), "td", ' rowspan="2"'), cell(F.col("s_name")),
+            cell(F.floor("s_acctbal").cast("string"))),
+        row(cell(F.concat(F.lit("A &amp; "), F.col("s_nationkey").cast("string")), "td", " colspan=2")),
+        F.lit("</table>"))
     pages = read_table(spark, root, "supplier").select(
         F.col("s_suppkey").alias("page_id"), page.alias("html"))
     tables = html.element_rows(pages).filter("type = 'table'")
     return html.table_cells(tables, ["page_id"]).filter("column_label <> 'id'").select(
-        "page_id", "row_label", "column_label", "value")
+        "page_id", "row", "row_label", "column_label", "value")
 
 
 def _chunks(spark, root):
@@ -154,8 +167,13 @@ FROM claims c LEFT JOIN r ON r.proc_code = c.proc_code AND valid_from <= req_dat
     "variant_array": """SELECT doc_id, 'text' AS type, count(*) AS elements,
   CAST(sum(length(line)) AS BIGINT) AS characters
 FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY doc_id""",
-    "cell_lookup": """SELECT s_suppkey AS page_id, s_suppkey::VARCHAR AS row_label, 'name' AS column_label, s_name AS value FROM supplier
-UNION ALL SELECT s_suppkey, s_suppkey::VARCHAR, 'nation', s_nationkey::VARCHAR FROM supplier""",
+    "page_elements": f"{ELEMENTS} SELECT page_id, position, type, content FROM elements",
+    "element_counts": f"{ELEMENTS} SELECT type, count(*) AS elements FROM elements GROUP BY type",
+    "cell_lookup": """WITH c AS (
+  SELECT s_suppkey AS page_id, 0::INTEGER AS "row", 'name' AS column_label, s_name AS value FROM supplier
+  UNION ALL SELECT s_suppkey, 0::INTEGER, 'balance', CAST(floor(s_acctbal) AS BIGINT)::VARCHAR FROM supplier
+  UNION ALL SELECT s_suppkey, 1::INTEGER, l, 'A & ' || s_nationkey FROM supplier, (VALUES ('name'), ('balance')) t(l))
+SELECT page_id, "row", page_id::VARCHAR AS row_label, column_label, value FROM c""",
     "chunk_topk": f"WITH {_CHUNKS} SELECT item_id, doc_id, chunk, score, rank FROM {_topk('weight', TOP)}",
     "vector_topk": f"""WITH a AS (SELECT vec_id AS question, embedding::DOUBLE[] AS e FROM embeddings
   QUALIFY row_number() OVER (PARTITION BY label ORDER BY vec_id) = 1),

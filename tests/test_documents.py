@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from claimrisk.functions import html, payload, text
 from claimrisk.operators import retrieval, rules
+from tests.html_reference import parse
 
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var a="<p>x</p>";</script></head>
 <body><nav><ul><li>Home</li><li>About</li></ul></nav><h1>Policy &amp; rules</h1><h2>Section 1</h2>
@@ -18,13 +19,48 @@ PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>v
 <footer>End <p>page 1</p></footer></body></html>"""
 
 
-def test_elements_in_order():
-    got = [(e["type"], e["content"]) for e in html.parse(PAGE)]
+def elements(spark, pages):
+    """(type, content) of every element of every page, by the column expressions."""
+    rows = html.element_rows(spark.createDataFrame(pages, "page_id long, html string").repartition(3))
+    out = {k: [] for k, _ in pages}
+    for r in rows.orderBy("page_id", "position").collect():
+        assert r.position == len(out[r.page_id])
+        out[r.page_id].append((r.type, r.content))
+    return out
+
+
+def test_elements_in_order(spark):
+    found = elements(spark, [(1, PAGE), (2, None), (3, "plain"), (4, "")])
+    got = found[1]
     assert got[:5] == [
         ("page_header", "Home About"), ("title", "Policy & rules"), ("section_header", "Section 1"),
         ("text", "First part bold"), ("text", "Second")]
     assert got[5] == ("text", "one") and got[6][0] == "table" and got[-1] == ("page_footer", "End page 1")
-    assert html.parse(None) == [] and html.parse("plain") == [{"type": "text", "content": "plain"}]
+    assert found[2] == found[4] == [] and found[3] == [("text", "plain")]
+
+
+BITS = ["<p>", "</p>", "<nav>", "</nav>", "<table>", "</table>", "<tr>", "<td>", "</td>", '<th colspan="2">', "text",
+        "  ", "a&amp;b &eacute;&#65;&#x1F600;&nbsp;&bogus;", "<br>", "<b>", "</b>", "<head>", "</head>", "<template>",
+        "</template>", "<h1>", "</h1>", "<!-- c -->", "<script>x<p></script>", "<div class='a>b'>", "</div>", "<footer>"]
+
+
+def test_elements_match_a_parser(spark, root):
+    rng = random.Random(3)
+    pages = [(i, "".join(rng.choice(BITS) for _ in range(rng.randrange(1, 40)))) for i in range(300)]
+    pages += [(1000 + r.page_id, r.html) for r in spark.read.parquet(f"{root}/pages.parquet").collect()]
+    found = elements(spark, pages)
+    for key, page in pages:
+        assert found[key] == parse(page), page
+
+
+def test_pages_without_ends_are_cut_in_linear_time(spark):
+    import time
+    pages = [(1, "<p " * 50_000), (2, '<p a="' * 50_000), (3, "<!-- " * 50_000), (4, "<" * 100_000),
+             (5, "<script>" * 30_000), (6, "<table><tr><td>x" * 2_000)]
+    elements(spark, pages[:1])
+    start = time.time()
+    assert elements(spark, pages)[6][0][0] == "table"
+    assert time.time() - start < 30
 
 
 def test_cells_keep_row_and_column(spark):
@@ -35,10 +71,26 @@ def test_cells_keep_row_and_column(spark):
     assert cells[("Crown", "Basic")] == "300 days" and cells[("Crown", "Plus")] == ""
 
 
+def test_cells_that_span_rows_and_columns(spark):
+    page = """<table><tr><th>Group<th colspan=2>Days</th></tr></table>
+      <table><tr><th>a</th><th colspan="2">b</th><th>c</th></tr>
+      <tr><td rowspan='3'>x</td><td>1</td><td rowspan=2>2</td><td>3</td></tr><tr><td>4</td><td>5</td></tr>
+      <tr><td colspan=3>6</td></tr></table>"""
+    tables = html.element_rows(spark.createDataFrame([(1, page)], "page_id long, html string")).where(
+        "type = 'table' AND position = 1")
+    got = {(r.row, r.col): (r.row_label, r.column_label, r.value)
+           for r in html.table_cells(tables, ["page_id"]).collect()}
+    assert got == {
+        (0, 0): ("x", "a", "x"), (0, 1): ("x", "b", "1"), (0, 2): ("x", "b", "2"), (0, 3): ("x", "c", "3"),
+        (1, 0): ("x", "a", "x"), (1, 1): ("x", "b", "4"), (1, 2): ("x", "b", "2"), (1, 3): ("x", "c", "5"),
+        (2, 0): ("x", "a", "x"), (2, 1): ("x", "b", "6"), (2, 2): ("x", "b", "6"), (2, 3): ("x", "c", "6")}
+
+
 def test_elements_as_json_document(spark):
     pages = spark.createDataFrame([(1, PAGE)], "page_id long, html string")
-    doc = pages.select(F.parse_json(F.to_json(F.struct(F.struct(
-        html.elements(F.col("html")).alias("elements")).alias("document")))).alias("doc"))
+    listed = html.element_rows(pages).groupBy("page_id").agg(F.collect_list(F.struct(
+        "type", "content")).alias("elements"))
+    doc = listed.select(F.parse_json(F.to_json(F.struct(F.struct("elements").alias("document")))).alias("doc"))
     doc.createOrReplaceTempView("one_doc")
     rows = spark.sql("""SELECT el:type::string AS type, el:content::string AS content FROM one_doc
         LATERAL VIEW explode(CAST(doc:document:elements AS ARRAY<VARIANT>)) t AS el""")
