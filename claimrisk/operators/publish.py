@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimrisk.functions.columns import vector_columns
 from claimrisk.operators.joins import spread_left_join
 from claimrisk.schemas import PARITY_TOLERANCE
-from claimrisk.sources.tables import overwrite_table
+from claimrisk.session import work_dir, written
+
+BUCKETS = 32   # of a published table: what a change rewrites
 
 
 def collapse(rows: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
@@ -28,12 +30,72 @@ def key_check(table: DataFrame, key: str) -> DataFrame:
     )
 
 
-def publish_snapshot(table: DataFrame, key: str, name: str) -> None:
-    """Replace the published table, only if its key is unique and never null."""
-    check = key_check(table, key).first()
-    if check["null_keys"] or check["duplicate_keys"]:
-        raise ValueError(f"{name}: {check['null_keys']} null and {check['duplicate_keys']} repeated keys")
-    overwrite_table(table, name)
+def observed(table: DataFrame, key: str, buckets: int) -> tuple[DataFrame, Observation]:
+    """The table by buckets of its key, and the key contract counted while it is written.
+
+    Rows are dealt out by bucket and sorted by key for the write anyway; equal keys then follow one
+    another, so null and repeated keys are counted in the pass that writes.
+    """
+    seen = Observation()
+    earlier = F.lag(key).over(Window.partitionBy("bucket").orderBy(key))
+    rows = table.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).repartition(
+        "bucket").withColumn("_earlier", earlier)
+    return rows.observe(
+        seen, F.count("*").alias("rows"), F.count_if(F.col(key).isNull()).alias("null_keys"),
+        F.count_if(F.col(key) == F.col("_earlier")).alias("repeated"),
+    ).drop("_earlier"), seen
+
+
+def keep_contract(name: str, seen: Observation) -> None:
+    """Raises if the rows that were written break the key contract."""
+    found = seen.get
+    if found["null_keys"] or found["repeated"]:
+        raise ValueError(f"{name}: {found['null_keys']} null and {found['repeated']} repeated keys")
+
+
+def publish_snapshot(table: DataFrame, key: str, name: str, buckets: int = BUCKETS) -> None:
+    """Replace the published table, only if its key is unique and never null.
+
+    The rows are written once, to a folder of their own; the table points there only afterwards.
+    """
+    spark = table.sparkSession
+    path = work_dir(spark, f"published-{name.replace('.', '-')}")
+    rows, seen = observed(table, key, buckets)
+    rows.write.partitionBy("bucket").parquet(path)
+    keep_contract(name, seen)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (bucket) LOCATION '{path}'")
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+
+
+def apply_changes(spark: SparkSession, name: str, delta: DataFrame, key: str, buckets: int = BUCKETS) -> int:
+    """Inserts, updates and deletes of ``changes`` applied to a published table.
+
+    Only the buckets that hold a changed key are read and rewritten; they are replaced once their
+    new rows are written and their keys are unique.  Returns how many were rewritten.
+    """
+    delta = written(spark, delta.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")), "delta")
+    touched = [r.bucket for r in delta.select("bucket").distinct().collect()]  # at most ``buckets``
+    if not touched:
+        return 0
+    columns = [c for c in spark.table(name).columns if c != "bucket"]
+    old = spark.table(name).where(F.col("bucket").isin(touched)).select(columns)
+    kept = old.join(delta.select(key), key, "left_anti")
+    rows, seen = observed(kept.unionByName(delta.where("change <> 'delete'").select(columns)), key, buckets)
+    rows = written(spark, rows, "rewritten")
+    keep_contract(name, seen)
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")  # only the partitions that rows are written for
+    try:
+        rows.select(*columns, "bucket").write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+    left = {r.bucket for r in rows.select("bucket").distinct().collect()}
+    for bucket in sorted(set(touched) - left):  # all rows deleted
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (bucket = {bucket})")
+    return len(touched)
 
 
 def changes(old: DataFrame, new: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

@@ -11,7 +11,8 @@ from claimrisk.operators import evaluate, queue, scenarios
 from claimrisk.operators.joins import lookup_join
 from claimrisk.plans import sqlparts as q
 from claimrisk.plans.lake import gold, silver
-from claimrisk.sources.domain import MAPPED_CEILING
+from claimrisk.schemas import AFTER_DECISION
+from claimrisk.sources.domain import MAPPED_CEILING, decided
 from claimrisk.sources.tables import read_table
 
 THRESHOLD = 0.30
@@ -50,10 +51,17 @@ def rule_precision_recall(spark: SparkSession, root: str) -> DataFrame:
 
 
 def leakage_correlation(spark: SparkSession, root: str) -> DataFrame:
-    audit = evaluate.leakage_audit(silver(spark, root).claims, {
-        "decision": F.when(F.col("decision") == "F", 1).otherwise(0), "amount": F.col("amount")})
+    """Every column known only after the decision, against the label: none may become a feature."""
+    d = silver(spark, root)
+    rates = lookup_join(
+        d.members.select("member_id", "plan_id"), d.plans, ["plan_id"], "member_id").select("member_id", "plan_rate")
+    rows = decided(d.claims, rates)
+    audit = evaluate.leakage_audit(rows, dict(zip(AFTER_DECISION, (
+        F.when(F.col("status") == "denied", 1).otherwise(0), F.col("approved_amount"),
+        F.when(F.col("denial_reason") == "duplicate", 1).when(F.col("denial_reason").isNotNull(), 0),
+        F.datediff("review_date", "req_date")))))
     return audit.select(
-        "candidate", F.round("correlation", 8).alias("correlation"), "null_rate")
+        "candidate", F.round("correlation", 8).alias("correlation"), F.round("null_rate", 8).alias("null_rate"))
 
 
 def dq_summary(spark: SparkSession, root: str) -> DataFrame:
@@ -271,12 +279,16 @@ m AS (SELECT count(*) FILTER (amount > 60000 AND label = 1) AS tp,
   count(*) FILTER (amount > 60000 AND label = 0) AS fp,
   count(*) FILTER (amount <= 60000 AND label = 1) AS fn FROM claims)
 SELECT tp, fp, fn, tp / greatest(tp + fp, 1) AS precision, tp / greatest(tp + fn, 1) AS recall FROM m""",
-    "leakage_correlation": f"""WITH {q.CLAIMS}
-SELECT 'decision' AS candidate,
-  round(corr(CASE WHEN decision = 'F' THEN 1.0::DOUBLE ELSE 0 END, label::DOUBLE), 8) AS correlation,
-  0.0::DOUBLE AS null_rate FROM claims
-UNION ALL SELECT 'amount', round(corr(amount, label::DOUBLE), 8),
-  avg(CASE WHEN amount IS NULL THEN 1.0::DOUBLE ELSE 0 END) FROM claims""",
+    "leakage_correlation": f"""WITH {q.CLAIMS}, {q.MEMBERS}, {q.PLANS},
+x AS (SELECT label::DOUBLE AS label, decision = 'F' AS denied, decision <> 'F' AND claim_id % 3 = 0 AS pending,
+  amount, plan_rate, claim_id FROM claims LEFT JOIN members USING (member_id) LEFT JOIN plans USING (plan_id)),
+y AS (SELECT label, CASE WHEN denied THEN 1.0::DOUBLE ELSE 0 END AS status,
+  CASE WHEN pending THEN NULL WHEN denied THEN 0.0::DOUBLE ELSE {q.rnd("amount * plan_rate", 2)} END AS approved_amount,
+  CASE WHEN denied THEN CASE WHEN claim_id % 2 = 0 THEN 1.0::DOUBLE ELSE 0 END END AS denial_reason,
+  CASE WHEN NOT pending THEN (claim_id % 10 + 1)::DOUBLE END AS review_date FROM x)
+{" UNION ALL ".join(f"""SELECT '{c}' AS candidate, round(corr({c}, label), 8) AS correlation,
+  round(avg(CASE WHEN {c} IS NULL THEN 1.0::DOUBLE ELSE 0 END), 8) AS null_rate FROM y"""
+  for c in ("status", "approved_amount", "denial_reason", "review_date"))}""",
     "dq_summary": f"""WITH {q.CLAIMS}
 SELECT count(*) AS claims, CAST(sum(label) AS BIGINT) AS positives,
   {q.rnd("100.0 * sum(label) / count(*)", 2)} AS pct_positive, {q.money("amount")} AS total_amount,

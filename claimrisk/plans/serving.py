@@ -12,7 +12,8 @@ from claimrisk.operators.ranking import top
 from claimrisk.plans import sqlparts as q
 from claimrisk.plans.lake import gold, silver, staged
 from claimrisk.schemas import FEATURES, MEMBER_FEATURES, PROVIDER_FEATURES
-from claimrisk.sources.tables import read_table
+from claimrisk.session import written
+from claimrisk.sources.tables import own_database, read_table
 
 
 CUT = "1999-06-01"
@@ -50,6 +51,20 @@ def publish_diff(spark: SparkSession, root: str) -> DataFrame:
     return publish.changes(old, staged(spark, root).members, "member_id", MEMBER_FEATURES)
 
 
+def publish_apply(spark: SparkSession, root: str) -> DataFrame:
+    """The member features of the cut day, published, and brought up to date by their changes alone."""
+    d = silver(spark, root)
+    before = d.claims.filter(F.col("req_date") < CUT)
+    old = written(spark, entity.member_features(entity.pair_totals(entity.daily_pairs(before, d.ceiling))), "old")
+    new = staged(spark, root).members
+    with own_database(spark, "published") as name:
+        table = f"{name}.members"
+        publish.publish_snapshot(old, "member_id", table)
+        publish.apply_changes(
+            spark, table, publish.changes(old, new, "member_id", MEMBER_FEATURES), "member_id")
+        return written(spark, spark.table(table).select("member_id", *MEMBER_FEATURES), "applied")
+
+
 def online_vector(spark: SparkSession, root: str) -> DataFrame:
     """The 20 model inputs per claim, history taken from the published tables."""
     s = staged(spark, root)
@@ -111,7 +126,7 @@ def response_texts(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f for f in (
-        publish_provider, publish_member, published_top10, publish_dq, publish_diff,
+        publish_provider, publish_member, published_top10, publish_dq, publish_diff, publish_apply,
         online_vector, score_parity, replica_parity, request_payload, scores_joined_back,
         response_texts)
 }
@@ -127,6 +142,7 @@ def _snapshot(condition: str) -> str:
 ORACLE = {
     "publish_provider": f"WITH {_FIRST} SELECT * FROM prov",
     "publish_member": f"WITH {_FIRST} SELECT * FROM mem",
+    "publish_apply": f"WITH {_FIRST} SELECT * FROM mem",
     "published_top10": f"WITH {_FIRST} SELECT * FROM prov ORDER BY prov_members DESC, provider_id LIMIT 10",
     "publish_dq": f"""WITH {_FIRST},
 x AS (SELECT DISTINCT member_id, provider_id, proc_date FROM claims)

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from claimrisk.functions.columns import approved_amount
 from claimrisk.schemas import AUDIT_CEILING, EXTRACTION_CODE
 from claimrisk.sources.tables import catalog_table, read_table
 
@@ -45,7 +46,8 @@ def treatments(spark: SparkSession, root: str) -> DataFrame:
     """One row per row of lineitem: claims and network procedures together.
 
     An order line may occur several times; its rows are numbered in a total order of their other
-    columns, so that ids are unique (below a million rows of one line) and repeatable.
+    columns, so that ids are unique and repeatable.  A line of more than ``ROWS_PER_LINE`` rows
+    would repeat ids; reading it raises.
     """
     own = ["l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate",
            "l_returnflag", "l_linestatus"]
@@ -59,8 +61,9 @@ def treatments(spark: SparkSession, root: str) -> DataFrame:
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     )
     return joined.select(
-        ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * ROWS_PER_LINE + F.col("nth"))
-        .alias("claim_id"),
+        F.when(F.col("nth") < ROWS_PER_LINE,
+               (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * ROWS_PER_LINE + F.col("nth"))
+        .otherwise(F.raise_error(F.lit(f"an order line has more than {ROWS_PER_LINE} rows"))).alias("claim_id"),
         F.col("o_custkey").alias("member_id"),
         F.col("l_suppkey").alias("provider_id"),
         F.col("p_type").alias("proc_code"),
@@ -82,6 +85,21 @@ def claims(rows: DataFrame) -> DataFrame:
     )
 
 
+def decided(claims: DataFrame, rates: DataFrame) -> DataFrame:
+    """Claims with the columns that are known only after the decision.
+
+    Every third claim that was not denied is still open: it has no amount and no review date.
+    ``rates``: member_id and plan_rate.
+    """
+    denied, pending = F.col("decision") == "F", (F.col("decision") != "F") & (F.col("claim_id") % 3 == 0)
+    return claims.join(rates, "member_id", "left").withColumns({
+        "status": F.when(denied, "denied").when(pending, "open").otherwise("paid"),
+        "approved_amount": F.when(~pending, approved_amount(F.col("amount"), F.col("plan_rate"), denied)),
+        "denial_reason": F.when(denied, F.when(F.col("claim_id") % 2 == 0, "duplicate").otherwise("coverage")),
+        "review_date": F.when(~pending, F.date_add("req_date", (F.col("claim_id") % 10 + 1).cast("int"))),
+    })
+
+
 def network(rows: DataFrame) -> DataFrame:
     return rows.filter("l_returnflag = 'N'").select(
         F.col("claim_id").alias("procedure_id"), "member_id", "provider_id", "proc_code", "site",

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from claimrisk.schemas import DOMAIN, SOURCE_NAMES, TABLES
+from claimrisk.session import work_dir
 
 
 # --- scans -------------------------------------------------------------------------------
@@ -103,6 +106,19 @@ def drop_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
 
 
+@contextmanager
+def own_database(spark: SparkSession, name: str):
+    """A new database, used inside the block and dropped with its tables behind it."""
+    before, name = spark.catalog.currentDatabase(), f"{name}_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{work_dir(spark, name)}'")
+    try:
+        spark.sql(f"USE {name}")
+        yield name
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
 def preview(df: DataFrame, n: int = 10) -> list[Row]:
     """The first ``n`` rows, in no particular order."""
     return df.limit(n).collect()

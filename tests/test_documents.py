@@ -183,3 +183,31 @@ def test_response_shapes(spark):
         assert r["got"] == r["want"]
     scored = spark.createDataFrame([('{"predictions": [0.25]}',), ("broken",)], "r string")
     assert [r[0] for r in scored.select(payload.first_prediction(F.col("r"))).collect()] == [0.25, None]
+
+
+@pytest.mark.parametrize("hot", [2_000_000, 3])
+def test_dated_rules_match_brute_force(spark, monkeypatch, hot):
+    from claimrisk.operators import joins
+    monkeypatch.setattr(joins, "HOT_ROWS", hot)
+    rng = random.Random(8)
+    day = dt.date(2020, 1, 1)
+    ceilings = [(rng.choice("abc"), day + dt.timedelta(rng.randrange(900)), rng.choice([None, 1.0, 2.0, 3.0, 4.0]))
+                for _ in range(60)] + [(None, day, 9.0), ("a", None, 9.0)]
+    rows = [(i, rng.choice(["a", "a", "a", "b", "c", "d", None]),
+             rng.choice([None, *[day + dt.timedelta(rng.randrange(-50, 1000))] * 9])) for i in range(300)]
+    got = {r.id: r.ceiling for r in rules.effective(
+        spark.createDataFrame(rows, "id long, code string, day date").repartition(3),
+        spark.createDataFrame(ceilings, "code string, valid_from date, ceiling double"),
+        "code", "day", "ceiling", "id").collect()}
+    assert len(got) == len(rows)
+    for i, code, at in rows:
+        held = [(f, v is not None, v or 0, v) for c, f, v in ceilings
+                if c == code and c is not None and f is not None and at is not None and f <= at]
+        assert got[i] == (max(held)[-1] if held else None), (i, code, at)
+
+
+def test_no_revisions_are_gathered(spark):
+    rows = spark.createDataFrame([(1, "a", dt.date(2020, 1, 1))], "id long, code string, day date")
+    revisions = spark.createDataFrame([("a", dt.date(2019, 1, 1), 1.0)], "code string, valid_from date, ceiling double")
+    plan = rules.effective(rows, revisions, "code", "day", "ceiling", "id")._jdf.queryExecution().toString()
+    assert "collect_list" not in plan

@@ -1,5 +1,7 @@
 """Published snapshots, their checks and differences, the queue and the scenarios."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -23,7 +25,32 @@ def test_publish_refuses_bad_keys_and_replaces_the_snapshot(spark):
         publish.publish_snapshot(kv(spark, [(1, 1.0), (1, 2.0)]), "k", "published_kv")
     publish.publish_snapshot(kv(spark, [(1, 1.0), (2, 2.0)]), "k", "published_kv")
     publish.publish_snapshot(kv(spark, [(3, 3.0)]), "k", "published_kv")
-    assert [tuple(r) for r in spark.table("published_kv").collect()] == [(3, 3.0)]
+    with pytest.raises(ValueError):
+        publish.publish_snapshot(kv(spark, [(None, 1.0)]), "k", "published_kv")
+    assert [tuple(r) for r in spark.table("published_kv").select("k", "v").collect()] == [(3, 3.0)]
+    spark.sql("DROP TABLE published_kv")
+
+
+def test_changes_are_applied_to_their_buckets_only(spark):
+    old = kv(spark, [(i, float(i)) for i in range(200)])
+    new = old.where("k <> 7 AND k < 190").withColumn("v", F.when(F.col("k") == 3, -1.0).otherwise(F.col("v"))).unionByName(
+        kv(spark, [(1000, 1.0)]))
+    publish.publish_snapshot(old, "k", "changed_kv", 64)
+    path = spark.sql("DESCRIBE EXTENDED changed_kv").where("col_name = 'Location'").first()["data_type"].removeprefix("file:")
+
+    def files():
+        return {f for d in os.listdir(path) if d.startswith("bucket=") for f in os.listdir(f"{path}/{d}") if "parquet" in f}
+    before = files()
+    delta = publish.changes(old, new, "k", ["v"])
+    touched = publish.apply_changes(spark, "changed_kv", delta, "k", 64)
+    assert 0 < touched < 20 and len(before & files()) >= len(before) - touched
+    got = sorted(tuple(r) for r in spark.table("changed_kv").select("k", "v").collect())
+    assert got == sorted(tuple(r) for r in new.collect())
+    assert publish.apply_changes(spark, "changed_kv", publish.changes(new, new, "k", ["v"]), "k", 64) == 0
+    everything = publish.changes(new, new.where("false"), "k", ["v"])
+    publish.apply_changes(spark, "changed_kv", everything, "k", 64)
+    assert spark.table("changed_kv").count() == 0
+    spark.sql("DROP TABLE changed_kv")
 
 
 def test_changes(spark):
