@@ -18,7 +18,7 @@ BESIDE_SPACE = [pair for c in map(chr, range(0x3001)) if re.match(f"[{SPACE}]",
                 for pair in (c + " ", " " + c)]
 
 # What a worker remembers is kept in two generations of so many entries (results do not depend on it).
-REMEMBERED = 300_000
+REMEMBERED = 450_000
 
 
 class Generations(dict):
