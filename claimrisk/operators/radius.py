@@ -2,8 +2,10 @@
 
 A plain grid join would emit every member-provider pair of a crowded cell.  Instead whole
 cells are compared first: starting from coarse cells, each step keeps, per member cell, only
-provider cells that can still hold one of the k nearest, then splits both sides four ways in
-each direction.  Single members meet single providers only at the end, within small cells.
+provider cells that can still hold one of the k nearest.  Provider cells form a tree: only those
+that hold more than ``LEAF_PROVIDERS`` are split, four ways in each direction, with the member cells
+they meet, so one dense town does not send the whole world to its level.  Pairs with leaves wait at
+their level; single members meet single providers only at the end, level by level in one join.
 """
 
 from __future__ import annotations
@@ -90,17 +92,20 @@ def _prune(pairs: DataFrame, cell: list[str], k: int, radius_km: float, tie: lis
     )
     counted = pairs.withColumn("_held", F.sum("n").over(nearest_first))
     bound = F.min(F.when(F.col("_held") >= k, F.col("high"))).over(Window.partitionBy(*cell))
-    limit = F.least(F.coalesce(bound, F.lit(radius_km)), F.lit(float(radius_km)))
+    # what held for the cell above holds below: there, leaves are not counted any more
     return (
-        counted.withColumn("_limit", limit).filter(F.col("low") <= F.col("_limit") + ROUNDING_KM)
-        .drop("_held", "_limit", "low", "high")
+        counted.withColumn("limit", F.least(F.coalesce(bound, F.lit(float(radius_km))), "limit"))
+        .filter(F.col("low") <= F.col("limit") + ROUNDING_KM).drop("_held", "low", "high")
     )
 
 
 def nearest(members: DataFrame, providers: DataFrame, group: list[str], radius_km: float,
-            k: int = NEAREST, levels: int | None = None) -> DataFrame:
+            k: int = NEAREST, levels: int | None = None, compared: list | None = None) -> DataFrame:
     """The k nearest providers of each member within the radius, among those of its group.
 
+    ``levels``: at most so many splits; ``compared``, if given, receives the number of pairs of
+    cells kept at each level.
+
     ``members``: member_id, lat, lon and the group columns; ``providers``: provider_id, lat, lon
     and the group columns, one row per group a provider belongs to.  Ranked by distance rounded
     to 2 digits, then provider id; members without a hit have no rows.
@@ -117,7 +122,7 @@ def nearest(members: DataFrame, providers: DataFrame, group: list[str], radius_k
         spark, p.groupBy(*group, "x", "y").agg(F.count("*").alias("n")), "provider_cells")
     if levels is None:
         levels = _levels_needed(p_cells, group)
-    cell = [*group, "mx", "my"]
+    cell, deepest = [*group, "mx", "my"], levels
 
     def member_cells(level):
         return m_cells.select(*group, *grid.at(level)).distinct().withColumnsRenamed(
@@ -145,35 +150,53 @@ def nearest(members: DataFrame, providers: DataFrame, group: list[str], radius_k
         .withColumn("py", F.explode(F.array(F.col("my") - 1, F.col("my"), F.col("my") + 1)))
         .join(provider_cells(0), [*group, "px", "py"])
     )
+    pairs = pairs.withColumn("limit", F.lit(float(radius_km)))
     pairs = _prune(measured(pairs, 0), cell, k, radius_km, ["px", "py"])
-    for level in range(1, levels + 1):
-        below_m = member_cells(level).withColumnsRenamed({"mx": "mx1", "my": "my1"}).withColumns(
-            {"mx": F.shiftright("mx1", 2), "my": F.shiftright("my1", 2)})
-        below_p = provider_cells(level).withColumnsRenamed({"px": "px1", "py": "py1"}).withColumns(
-            {"px": F.shiftright("px1", 2), "py": F.shiftright("py1", 2)})
-        pairs = (
-            pairs.drop("n").join(below_m, cell).join(below_p, [*group, "px", "py"])
-            .select(*group, *[F.col(f"{c}1").alias(c) for c in ("mx", "my", "px", "py")], "n")
-        )
-        pairs = _prune(measured(pairs, level), cell, k, radius_km, ["px", "py"])
+    leaves = None
+    for level in range(deepest + 1):
+        if level:
+            below_m = member_cells(level).withColumnsRenamed({"mx": "mx1", "my": "my1"}).withColumns(
+                {"mx": F.shiftright("mx1", 2), "my": F.shiftright("my1", 2)})
+            below_p = provider_cells(level).withColumnsRenamed({"px": "px1", "py": "py1"}).withColumns(
+                {"px": F.shiftright("px1", 2), "py": F.shiftright("py1", 2)})
+            pairs = (
+                pairs.drop("n").join(below_m, cell).join(below_p, [*group, "px", "py"])
+                .select(*group, *[F.col(f"{c}1").alias(c) for c in ("mx", "my", "px", "py")], "n", "limit")
+            )
+            pairs = _prune(measured(pairs, level), cell, k, radius_km, ["px", "py"])
+        if compared is not None:
+            compared.append(pairs.count())
+        leaf = F.lit(True) if level == deepest else F.col("n") <= LEAF_PROVIDERS
+        done = pairs.where(leaf).withColumn("level", F.lit(level))
+        leaves = done if leaves is None else leaves.unionByName(done)
+        pairs = pairs.where(~leaf)
+
+    # Every level at which some pair waits, with the cells of a place there: at most MAX_LEVELS + 1.
+    def placed(rows, names):
+        at = F.explode(F.array(*[F.struct(F.lit(l).alias("level"), *grid.at(l)) for l in range(deepest + 1)]))
+        return rows.withColumn("at", at).select(
+            *[c for c in rows.columns if c not in ("x", "y")], "at.level",
+            F.col("at.x").alias(names[0]), F.col("at.y").alias(names[1]))
+
+    leaves = written(spark, leaves, "leaves")
+    cell = [*group, "level", "mx", "my"]
     # Single providers against member cells.
-    place = p.select(
-        "provider_id", *group, *grid.at(levels), F.col("lat").alias("p_lat"),
-        F.col("lon").alias("p_lon")).withColumnsRenamed({"x": "px", "y": "py"})
-    found = pairs.drop("n").join(place, [*group, "px", "py"]).withColumn("n", F.lit(1))
-    size = grid.size(levels)
+    held = leaves.select(*group, "level", "px", "py").distinct()
+    place = placed(p.select(
+        "provider_id", *group, F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"), "x", "y"), ("px", "py")).join(
+        held, [*group, "level", "px", "py"], "left_semi")
+    found = leaves.drop("n").join(place, [*group, "level", "px", "py"]).withColumn("n", F.lit(1))
+    size = F.lit(grid.size(0)) / F.pow(F.lit(4.0), "level")
     raw_gap = F.abs(F.col("p_lon") - ((F.col("mx") + 0.5) * size - 180))
+    middle = (F.col("my") + 0.5) * size - 90
     low, high = span_bounds(
-        F.abs(F.col("p_lat") - grid.middle(F.col("my"), levels)),
-        F.least(raw_gap, F.abs(360 - raw_gap)),
-        grid.middle(F.col("my"), levels), F.col("p_lat"), size / 2, 0.0)
+        F.abs(F.col("p_lat") - middle), F.least(raw_gap, F.abs(360 - raw_gap)), middle, F.col("p_lat"), size / 2, 0.0)
     found = _prune(
         found.withColumns({"low": low, "high": high}), cell, k, radius_km, ["provider_id"])
-    # Single members against the few providers left for their cell; crowded cells are split.
-    crowd = m_cells.select(*group, *grid.at(levels), "n").groupBy(*group, "x", "y").agg(
-        F.sum("n").alias("n")).withColumnsRenamed({"x": "mx", "y": "my"})
-    here = m.select("member_id", "lat", "lon", *group, *grid.at(levels)).withColumnsRenamed(
-        {"x": "mx", "y": "my"})
+    # Single members against the few providers left for their cells; crowded cells are split.
+    waiting = found.select(*cell).distinct()
+    here = placed(m.select("member_id", "lat", "lon", *group, "x", "y"), ("mx", "my")).join(waiting, cell, "left_semi")
+    crowd = placed(m_cells.select(*group, "n", "x", "y"), ("mx", "my")).groupBy(*cell).agg(F.sum("n").alias("n"))
     left = found.select(*cell, "provider_id", "p_lat", "p_lon")
     met = spread_left_join(here, left, cell, "member_id", hot_keys(crowd, cell, "n")).filter(
         "provider_id IS NOT NULL")

@@ -153,3 +153,21 @@ def test_tables_follow_the_files_of_their_folder(spark, root, tmp_path):
     lines = pq.read_table(f"{root}/lineitem.parquet")
     pq.write_table(lines.slice(0, lines.num_rows // 2), tmp_path / "lineitem.parquet")
     assert 0 < lake.silver(spark, str(tmp_path)).claims.count() < before
+
+
+def test_a_dense_town_does_not_split_the_rest_of_the_world(spark, monkeypatch):
+    monkeypatch.setattr(radius, "LEAF_PROVIDERS", 8)
+    rng = random.Random(11)
+    spread = [(i, rng.uniform(-30, 30), rng.uniform(-60, 60), "a") for i in range(400)]
+    town = [(1000 + i, 10 + rng.uniform(0, 0.02), 10 + rng.uniform(0, 0.02), "a") for i in range(400)]
+    members = [(i, a + 0.05, b, g) for i, a, b, g in spread[:200]] + [(5000 + i, a, b, g) for i, a, b, g in town[:100]]
+    m = spark.createDataFrame(members, "member_id long, " + PLACE)
+    p = spark.createDataFrame(spread + town, "provider_id long, " + PLACE)
+    compared, whole = [], []
+    got = radius.nearest(m, p, ["g"], 60, 5, compared=compared)
+    assert {(x.member_id, x.provider_id, x["rank"]) for x in got.collect()} == brute(members, spread + town, 60, 5)
+    monkeypatch.setattr(radius, "LEAF_PROVIDERS", 0)  # every cell is split
+    again = radius.nearest(m, p, ["g"], 60, 5, levels=len(compared) - 1, compared=whole)
+    assert again.count() == got.count()
+    assert len(compared) > 3 and compared[0] == whole[0]
+    assert all(a < b for a, b in zip(compared[1:], whole[1:])) and sum(compared) < 0.7 * sum(whole)
