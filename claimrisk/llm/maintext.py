@@ -5,9 +5,11 @@ link density, by those of the blocks before and after it, and by the containers
 decision tree, trained on the small labelled table below, says which blocks are main text.
 
 Scripts, styles, titles and comments are no text, and a head holds nothing else; it may be left open,
-as text or a tag that cannot stand in it ends it.  noscript, template and svg are left out where they are
-closed.  The words in class, id and role of the body and of what holds the page's first main (without
-one, its first article) do not make it boilerplate.  Character references are decoded, white
+as text or a tag that cannot stand in it ends it.  noscript, template, svg, textarea, iframe and object are
+left out where they are closed.  The words in class, id and role of the body, and of the page's first main
+(without one, its first article) and what holds it, do not make it boilerplate; nor do, on a page without
+main and article, those of a container that holds most of the page's words.  Inside main text a header
+holds the text's own head.  Character references are decoded, white
 space inside a block becomes one blank, and the blocks that are kept are joined by line ends.  Null
 and empty pages and pages without main text give an empty text; pages of any length are read whole,
 also where tags are not closed; repeated rows are treated alike; empty tables give empty results.
@@ -26,12 +28,14 @@ from pyspark.sql import functions as F
 
 from claimrisk.llm.frames import map_batches
 
+# Every alternative goes forward only: a tag that is not closed ends at the next bracket.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|title)\b.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>?|</?[a-zA-Z][^<>]*\Z|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)",
+    r"<!--.*?(?:-->|\Z)|<(script|style|title)\b.*?(?:</\1\s*>|\Z)|<[!?][^>]*+>?"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^<>]*+)>|</?[a-zA-Z][^<>]*+\Z|([^<]++|<)",
     re.S | re.I)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-HIDDEN = frozenset("noscript template svg".split())
+HIDDEN = frozenset("noscript template svg textarea iframe object".split())
 INLINE = frozenset(
     "a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small "
     "span strong sub sup time tt u var wbr".split())
@@ -43,10 +47,12 @@ AROUND_NAMES = frozenset(
     "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent "
     "cookie cookies copyright disqus dialog foot footer form gdpr header login masthead menu modal "
     "nav navbar navigation newsletter notice notification pager pagination popup promo promotion "
-    "recommended related replies reply search share sharing sidebar signup skip social sponsor "
+    "recommended related replies reply responses search share sharing sidebar signup skip social sponsor "
     "sponsored subscribe tags teaser toolbar topbar widget".split())
 MAIN_TAGS = frozenset(("article", "main"))
+HEAD_NAMES = frozenset("header masthead".split())  # inside the main text they hold its own head
 MAIN_NAMES = frozenset("article body content entry main post story text".split())
+MOST = 4  # a container wraps its page if it holds more than 3 of 4 words
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after",
             "around", "main", "heading")
 
@@ -60,22 +66,34 @@ class Block:
         self.inside, self.main, self.heading = inside, main, heading
 
 
+def tokens_of(page: str) -> Iterator[tuple[int, int, bool, str, str, str, str | None]]:
+    """Start, end, whether it is dropped, slash, tag, attributes and text of each token of a page."""
+    for token in TOKEN.finditer(page):
+        dropped, slash, tag, attributes, slash2, tag2, attributes2, text = token.groups()
+        yield (token.start(), token.end(), bool(dropped), slash or slash2 or "", (tag or tag2 or "").lower(),
+               attributes or attributes2 or "", text)
+
+
+def _names(attributes: str) -> set[str]:
+    """Words in class, id and role."""
+    return {w for found in NAMES.findall(attributes) for w in re.split(r"[^a-z]+", "".join(found).lower())}
+
+
 def _hidden(page: str) -> dict[int, int]:
     """Where elements that are no text start and end; only those that are closed."""
     out: dict[int, int] = {}
     opened: dict[str, list[int]] = {tag: [] for tag in HIDDEN}
     if not any(f"<{tag}" in page.lower() for tag in HIDDEN):
         return out
-    for token in TOKEN.finditer(page):
-        _, closing, tag, attributes, _ = token.groups()
-        if tag and (tag := tag.lower()) in HIDDEN:
+    for start, end, _, closing, tag, attributes, _ in tokens_of(page):
+        if tag in HIDDEN:
             if closing:
                 if opened[tag]:
-                    out[opened[tag].pop()] = token.end()
+                    out[opened[tag].pop()] = end
             elif attributes.endswith("/"):
-                out[token.start()] = token.end()
+                out[start] = end
             else:
-                opened[tag].append(token.start())
+                opened[tag].append(start)
     return out
 
 
@@ -83,12 +101,12 @@ def blocks_of(page: str) -> Iterator[Block]:
     """The flat text blocks of a page, in order."""
     hidden, until = _hidden(page), 0
     stack: list[tuple[str, int, int]] = []  # tag, number of the container, main
+    depth: dict[str, int] = {}  # how often a tag is open
     containers = [(0, False, False)]  # number of the parent, around by its tag, by its names
     holding: dict[str, set[int]] = {}  # containers around the first main and the first article
     blocks, block, in_link, heading = [], Block(0, 0, False), 0, False
-    for token in TOKEN.finditer(page):
-        dropped, closing, tag, attributes, text = token.groups()
-        if token.start() < until:
+    for start, _, dropped, closing, tag, attributes, text in tokens_of(page):
+        if start < until:
             continue
         if text is not None:
             text = html.unescape(text) if "&" in text else text
@@ -97,13 +115,10 @@ def blocks_of(page: str) -> Iterator[Block]:
             block.words += n
             block.linked += n * bool(in_link)
             continue
-        if dropped:
-            continue
-        if tag is None:
+        if dropped or not tag:
             continue
-        tag = tag.lower()
         if tag in HIDDEN:
-            until = hidden.get(token.start(), 0)
+            until = hidden.get(start, 0)
             continue
         if tag in INLINE:
             if tag == "a":
@@ -116,34 +131,49 @@ def blocks_of(page: str) -> Iterator[Block]:
         in_link = 0
         if tag in CONTAINERS:
             if closing:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == tag:
-                        del stack[i:]
+                while depth.get(tag):
+                    last = stack.pop()[0]
+                    depth[last] -= 1
+                    if last == tag:
                         break
             elif not attributes.endswith("/"):
                 _, inside, main = stack[-1] if stack else ("", 0, 0)
-                names = {w for found in NAMES.findall(attributes)
-                         for w in re.split(r"[^a-z]+", "".join(found).lower())}
+                names = _names(attributes)
                 own_main = tag in MAIN_TAGS or bool(names & MAIN_NAMES)
-                if tag in MAIN_TAGS:
-                    holding.setdefault(tag, {number for _, number, _ in stack})
+                if tag in MAIN_TAGS and tag not in holding:  # its own names do not make it boilerplate either
+                    holding[tag] = {number for _, number, _ in stack} | {len(containers)}
                 stack.append((tag, len(containers), main + own_main))
-                containers.append((inside, tag in AROUND or tag == "header" and not main,
-                                   tag != "body" and bool(names & AROUND_NAMES)))
+                depth[tag] = depth.get(tag, 0) + 1
+                containers.append((inside, tag in AROUND or tag == "header" and not main, tag != "body" and bool(
+                    names & (AROUND_NAMES - HEAD_NAMES if main else AROUND_NAMES))))
         heading = not closing and len(tag) == 2 and tag[0] == "h" and tag[1].isdigit()
         _, inside, main = stack[-1] if stack else ("", 0, 0)
         block = Block(inside, main, heading)
+        if not closing and tag not in CONTAINERS and attributes and _names(attributes) & AROUND_NAMES:
+            block.around = 1  # a paragraph of its own class
     if block.words:
         blocks.append(block)
-    whole = holding.get("main", holding.get("article", set()))
+    whole = holding.get("main", holding.get("article"))
+    if whole is None:
+        whole = _wrapping(containers, blocks)
     around = [0] * len(containers)
     for i, (parent, by_tag, by_names) in enumerate(containers):
         around[i] = around[parent] + (by_tag or by_names and i not in whole)
     for block in blocks:
-        block.around = around[block.inside]
+        block.around += around[block.inside]
         yield block
 
 
+def _wrapping(containers: list[tuple[int, bool, bool]], blocks: list[Block]) -> set[int]:
+    """Containers that hold most of a page's words outside links: they wrap the page itself."""
+    held = [0] * len(containers)
+    for block in blocks:
+        held[block.inside] += block.words - block.linked
+    for i in range(len(containers) - 1, 0, -1):
+        held[containers[i][0]] += held[i]
+    return {i for i, n in enumerate(held) if MOST * n > (MOST - 1) * held[0]}
+
+
 def described(blocks: list[Block]) -> np.ndarray:
     """One row of FEATURES for each block."""
     words = [float(b.words) for b in blocks]
@@ -204,6 +234,14 @@ LABELLED = [
     "there are</p></div><div id=footer>-We do not answer for what others write here, nor for what "
     "comes of it, in any land or at any time, as the law says</div>",
     "<div>-Print it</div><main><p>+Only this</p></main><div>-Top of it</div>",
+    "<body><div class='page has-sidebar'><h1>+Where the road ends</h1><p>+The road ends at a lake, which is as long "
+    "as it is deep, and there one can sit.</p><p>+In spring the lake is full of birds, and in autumn of boats that "
+    "nobody has taken in.</p></div>",
+    "<body><div id=wrap><p><a href=/>-start of it all</a></p><h1>+A walk in the hills</h1><p>+One goes up in the "
+    "morning, when it is cool, and comes down when the sun has gone.</p><p>+Yes, that is what they do.</p><p>+There is "
+    "water on the way, and <a href=/w>a place to rest</a> for those who want one.</p><h2>+What to take</h2><p>+Take "
+    "bread, and a coat for the evening, and leave the rest at home.</p><p><a href=/m>-more walks like this one</a></p>"
+    "</div>",
     "<html><head><title>t</title><meta charset=utf-8><body class='has-sidebar'><div id=page class='nav-open'>"
     "<div class=menu><a href=/>-Home</a></div><article><h1>+A head without an end</h1><p>+The text of a page whose "
     "head is not closed is main text all the same.</p><p>+So it is.</p></article><div class=sidebar><p>-Read what "
