@@ -1,16 +1,18 @@
 """Quality rules: text statistics, a base rule and robust multivariate outliers.
 
-Documents that pass the base rule become vectors of transformed statistics.  For each language
-and source a minimum covariance determinant estimate is fitted over all its documents: starting
-from medians and absolute deviations, the share ``SUPPORT`` of documents that is nearest is kept
-and mean and covariance are taken anew, until the steps are used up; the estimate is scaled to its
-median distance and reweighted once.  Documents whose squared Mahalanobis distance is above a
-chi-square quantile are rejected.
+Documents that pass the base rule become vectors of transformed statistics.  A minimum covariance
+determinant estimate is fitted for each language and source, for each language and for all: from
+two starts (medians with absolute deviations, and mean with covariance) the share ``SUPPORT`` of
+documents that is nearest is kept and mean and covariance are taken anew, until no determinant
+falls any more; the start with the least determinant is taken, scaled to its median distance and
+reweighted once.  The estimate of a source is then drawn towards that of its language, and that
+towards all, with weight n / (n + ``PRIOR``), so that groups of any size are judged by one rule.
+Documents whose squared Mahalanobis distance is above a chi-square quantile are rejected.
 
 All steps are counts and sums per group over histograms, so no group is gathered in one task and
-what a task holds does not depend on a group's size.  Variances have a documented floor, because
-most documents share the same value of some statistics.  Groups below ``LEAST_ROWS`` are judged by
-the estimate of their language; where that is too small as well, only the base rule counts.
+what a task holds does not depend on a group's size.  Estimates are sent to the rows where they are
+few, after a count.  Standard deviations are at least ``FLOORS``, in every direction, because most documents share the
+same value of some statistics.
 
 Null texts have no words and fail the base rule.  Null languages and sources form groups of their
 own.  Equal texts of a group get equal verdicts; empty tables give empty results.
@@ -32,12 +34,13 @@ from claimrisk.session import written
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 LEAST_WORDS, MOST_REPEATED = 10, 20  # words; per cent of words in repeated windows
-SUPPORT, STEPS, LEAST_ROWS = 0.75, 4, 50
+SUPPORT, MOST_STEPS, PRIOR = 0.75, 30, 50
 REWEIGHT, REJECT = 0.975, 1 - 1e-9  # chi-square probabilities
 FLOORS = (0.6, 0.6, 0.08, 0.5, 0.1)  # least standard deviation of each feature
 P = len(FLOORS)
 STATISTICS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 GROUP = ["group_lang", "group_source"]
+SENT = 50_000  # estimates of some hundred bytes that are sent to every task
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -147,38 +150,53 @@ def _distance_bin(d: Column) -> Column:
     return F.floor(64 * F.log2(F.greatest(d, F.lit(1e-9)))).cast("int")
 
 
-def _roots(moments: DataFrame) -> DataFrame:
-    """Groups with mean and inverse Cholesky factor from their count, sums and products."""
+FITTED = [*GROUP, "start"]
+
+
+def floored(cov: np.ndarray) -> np.ndarray:
+    """A covariance matrix whose standard deviation is at least FLOORS, in every direction."""
+    unit = np.outer(FLOORS, FLOORS)
+    values, directions = np.linalg.eigh((cov + cov.T) / 2 / unit)
+    return unit * ((directions * np.maximum(values, 1.0)) @ directions.T)
+
+
+def _rooted(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Groups with the inverse Cholesky factor and log determinant of their floored covariance."""
+    types = dict(rows.dtypes)
+    columns = [*keys, "n", "mean", "cov"]
+    schema = ", ".join(f"{c} {types[c]}" for c in columns) + ", root array<double>, spread double"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.to_pylist()
-            means, roots = [], []
-            for r in rows:
-                mean = np.array(r["sums"]) / r["n"]
-                cov = np.array(r["products"]).reshape(P, P) / r["n"] - np.outer(mean, mean)
-                cov = (cov + cov.T) / 2 + np.diag(np.square(FLOORS))
-                means.append(mean.tolist())
-                roots.append(np.linalg.inv(np.linalg.cholesky(cov)).ravel().tolist())
-            yield pa.RecordBatch.from_pydict({
-                **{g: pa.array([r[g] for r in rows], pa.string()) for g in GROUP},
-                "mean": pa.array(means, pa.list_(pa.float64())),
-                "root": pa.array(roots, pa.list_(pa.float64()))})
-
-    return moments.mapInArrow(
-        run, "group_lang string, group_source string, mean array<double>, root array<double>")
-
-
-def _estimates(spark: SparkSession, nearest: DataFrame) -> DataFrame:
+            roots, spread = [], []
+            for cov in batch.column(len(columns) - 1).to_pylist():
+                factor = np.linalg.cholesky(floored(np.array(cov).reshape(P, P)))
+                roots.append(np.linalg.inv(factor).ravel().tolist())
+                spread.append(2 * float(np.log(np.diag(factor)).sum()))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(roots, pa.list_(pa.float64())), pa.array(spread, pa.float64())],
+                names=[*columns, "root", "spread"])
+
+    return rows.select(columns).mapInArrow(run, schema)
+
+
+def _estimates(spark: SparkSession, nearest: DataFrame, keys: list[str]) -> DataFrame:
+    """Count, mean and covariance of each group, with root and spread, written."""
     x = F.col("x")
-    return written(spark, _roots(nearest.groupBy(*GROUP).agg(
+    sums = nearest.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
-        F.array(*[F.sum(x[i]) for i in range(P)]).alias("sums"),
-        F.array(*[F.sum(x[i] * x[j]) for i in range(P) for j in range(P)]).alias("products"))),
-        "estimates")
+        F.array(*[F.avg(x[i]) for i in range(P)]).alias("mean"),
+        F.array(*[F.covar_pop(x[i], x[j]) for i in range(P) for j in range(P)]).alias("cov"))
+    return written(spark, _rooted(sums, keys), "estimates")
 
 
-def _start(spark: SparkSession, vectors: DataFrame) -> DataFrame:
-    """Medians, and absolute deviations from them as a diagonal factor."""
+def _met(rows: DataFrame, estimates: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the estimate of their group; few estimates are sent to the rows."""
+    return rows.join(F.broadcast(estimates) if estimates.count() <= SENT else estimates, keys)
+
+
+def _starts(spark: SparkSession, vectors: DataFrame) -> DataFrame:
+    """Two starts of every group: medians and absolute deviations from them; mean and covariance."""
     keys = [*GROUP, "feature"]
     each = vectors.select(*GROUP, F.posexplode("x").alias("feature", "value"))
     grid = 1024
@@ -188,45 +206,84 @@ def _start(spark: SparkSession, vectors: DataFrame) -> DataFrame:
                          .count(), keys, 0.5).select(*keys, (F.col("bin") / grid).alias("middle"))
 
     middle = written(spark, medians(each), "medians")
-    spread = written(spark, medians(
-        each.join(middle, keys).withColumn("value", F.abs(F.col("value") - F.col("middle")))),
-        "deviations")
-    floors = F.array(*[F.lit(f) for f in FLOORS])
-    both = middle.join(spread.withColumnRenamed("middle", "deviation"), keys).groupBy(*GROUP).agg(
+    deviations = medians(_met(each, middle, keys).withColumn("value", F.abs(F.col("value") - F.col("middle"))))
+    both = middle.join(deviations.withColumnRenamed("middle", "deviation"), keys).groupBy(*GROUP).agg(
         F.array_sort(F.collect_list(F.struct("feature", "middle", "deviation"))).alias("f"))
-    scale = [F.sqrt(F.pow(F.col("f")[i]["deviation"] * 1.4826, 2) + F.pow(floors[i], 2))
-             for i in range(P)]
-    return written(spark, both.select(
-        *GROUP, F.col("f.middle").alias("mean"),
-        F.array(*[1 / scale[i] if i == j else F.lit(0.0) for i in range(P) for j in range(P)])
-        .alias("root")), "start")
+    robust = _rooted(both.select(
+        *GROUP, F.lit(0).alias("start"), F.lit(0).cast("long").alias("n"), F.col("f.middle").alias("mean"),
+        F.array(*[F.pow(F.col("f")[i]["deviation"] * 1.4826, 2) if i == j else F.lit(0.0)
+                  for i in range(P) for j in range(P)]).alias("cov")), FITTED)
+    plain = _estimates(spark, vectors, GROUP).withColumn("start", F.lit(1))
+    return written(spark, robust.unionByName(plain), "starts")
+
+
+def _shares(rows: DataFrame, estimate: DataFrame, keys: list[str], share: float) -> DataFrame:
+    """The bin of distances at which a share of each group is reached."""
+    binned = _met(rows, estimate, keys).withColumn("near", _distance_bin(_distance()))
+    return _quantile(binned.groupBy(*keys, F.col("near").alias("bin")).count(), keys, share)
+
+
+def concentrated(spark: SparkSession, vectors: DataFrame) -> tuple[DataFrame, int]:
+    """The estimate of least determinant of every group, and the steps it took."""
+    rows = vectors.withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
+
+    def step(estimate: DataFrame) -> DataFrame:
+        limit = _shares(rows, estimate, FITTED, SUPPORT)
+        near = _met(rows, estimate.join(limit, FITTED), FITTED)
+        return _estimates(spark, near.where(_distance_bin(_distance()) <= F.col("bin")), FITTED)
+
+    best, steps = step(_starts(spark, vectors)), 1
+    while steps < MOST_STEPS:
+        new = step(best).select(*FITTED, *[F.col(c).alias(f"new_{c}") for c in ("n", "mean", "cov", "root", "spread")])
+        both = written(spark, best.join(new, FITTED).withColumn(
+            "falls", F.col("new_spread") < F.col("spread") - 1e-6), "step")
+        steps += 1
+        if both.where("falls").isEmpty():
+            break
+        best = both.select(*FITTED, *[F.when(F.col("falls"), F.col(f"new_{c}")).otherwise(F.col(c)).alias(c)
+                                      for c in ("n", "mean", "cov", "root", "spread")])
+    least = Window.partitionBy(*GROUP).orderBy("spread", "start")
+    return written(spark, best.withColumn("nth", F.row_number().over(least)).where("nth = 1").drop(
+        "nth", "start"), "concentrated"), steps
 
 
 def fit(spark: SparkSession, vectors: DataFrame) -> DataFrame:
-    """One row per group: mean, root and scale; vectors: group columns and x (array)."""
-    estimate = _start(spark, vectors)
+    """One row per group: n (of all its rows), mean, cov, root and scale; vectors: group columns and x."""
+    def scaled(estimate: DataFrame) -> DataFrame:
+        """Median distance over its expectation, not below 1."""
+        return estimate.join(_shares(vectors, estimate, GROUP, 0.5), GROUP).withColumn("scale", F.greatest(
+            F.pow(F.lit(2.0), (F.col("bin") + 1) / 64) / chi_square_quantile(0.5, P), F.lit(1.0))).drop("bin")
 
-    def binned() -> DataFrame:
-        return vectors.join(estimate, GROUP).withColumn("near", _distance_bin(_distance()))
+    raw = written(spark, scaled(concentrated(spark, vectors)[0]), "raw")
+    estimate = _estimates(spark, _met(vectors, raw, GROUP).where(
+        _distance() <= chi_square_quantile(REWEIGHT, P) * F.col("scale")), GROUP)
+    sizes = vectors.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n"))
+    return written(spark, scaled(estimate.drop("n").join(sizes, GROUP)), "robust")
 
-    def at(share: float) -> DataFrame:
-        return _quantile(binned().groupBy(*GROUP, F.col("near").alias("bin")).count(), GROUP, share)
 
-    for _ in range(STEPS):
-        estimate = _estimates(spark, binned().join(at(SUPPORT), GROUP)
-                              .where(F.col("near") <= F.col("bin")))
+def shrunk(spark: SparkSession, robust: DataFrame) -> DataFrame:
+    """mean, root and scale of every language and source, drawn towards language and all.
 
-    def scaled() -> DataFrame:
-        """Median distance over its expectation, not below 1."""
-        return estimate.join(at(0.5), GROUP).select(
-            *GROUP, "mean", "root", F.greatest(
-                F.pow(F.lit(2.0), (F.col("bin") + 1) / 64) / chi_square_quantile(0.5, P),
-                F.lit(1.0)).alias("scale"))
+    ``robust`` holds a row per language and source (source = name), language (source empty) and for
+    all (both empty).
+    """
+    level = {"source": F.col("group_source").startswith("="),
+             "lang": F.col("group_lang").startswith("=") & (F.col("group_source") == ""),
+             "all": (F.col("group_lang") == "") & (F.col("group_source") == "")}
+
+    def drawn(own: DataFrame, wider: DataFrame, keys: list[str]) -> DataFrame:
+        weight = F.col("n") / (F.col("n") + PRIOR)
+
+        def mixed(name):
+            return F.zip_with(name, f"wide_{name}", lambda a, b: weight * a + (1 - weight) * b).alias(name)
+        wide = wider.select(*keys, *[F.col(c).alias(f"wide_{c}") for c in ("mean", "cov", "scale")])
+        joined = own.join(wide, keys) if keys else own.crossJoin(F.broadcast(wide))  # one row
+        return joined.select(*GROUP, "n", mixed("mean"), mixed("cov"),
+                             (weight * F.col("scale") + (1 - weight) * F.col("wide_scale")).alias("scale"))
 
-    raw = written(spark, scaled(), "raw")
-    estimate = _estimates(spark, vectors.join(raw, GROUP).where(
-        _distance() <= chi_square_quantile(REWEIGHT, P) * F.col("scale")))
-    return written(spark, scaled(), "robust")
+    langs = drawn(robust.where(level["lang"]), robust.where(level["all"]), [])
+    sources = written(spark, drawn(robust.where(level["source"]), langs, ["group_lang"]), "drawn")
+    return written(spark, _rooted(sources, GROUP).join(sources.select(*GROUP, "scale"), GROUP), "shrunk")
 
 
 def judged(spark: SparkSession, docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -236,23 +293,14 @@ def judged(spark: SparkSession, docs: DataFrame, keep: list[str]) -> DataFrame:
     """
     table = written(spark, with_statistics(docs.select(
         F.struct(*[docs[c] for c in keep]).alias("row"),
-        F.coalesce("lang", F.lit("")).alias("group_lang"),
-        F.coalesce("source", F.lit("")).alias("group_source"), "text")).drop("text"), "statistics")
+        *[F.concat(F.lit("="), F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(f"group_{c}")
+          for c in ("lang", "source")], "text")).drop("text"), "statistics")
     vectors = table.where(~base_failed()).select(*GROUP, F.array(*features()).alias("x"))
-    by_lang = Window.partitionBy("group_lang")
-    groups = written(spark, vectors.groupBy(*GROUP).count().select(
-        *GROUP, F.when(F.col("count") >= LEAST_ROWS, F.concat(F.lit("="), "group_source"))
-        .when(F.sum("count").over(by_lang) >= LEAST_ROWS, F.lit("")).alias("estimate_source")),
-        "groups")
-    own = (vectors.join(groups, GROUP).where("estimate_source <> ''")
-           .select("group_lang", F.col("estimate_source").alias("group_source"), "x"))
-    pooled = (vectors.join(groups.where("estimate_source = ''").select("group_lang").distinct(),
-                           "group_lang", "left_semi")
-              .select("group_lang", F.lit("").alias("group_source"), "x"))
-    robust = fit(spark, written(spark, own.unionByName(pooled), "vectors"))
-    chosen = written(spark, groups.join(
-        robust.withColumnRenamed("group_source", "estimate_source"),
-        ["group_lang", "estimate_source"], "left").drop("estimate_source"), "chosen")
+    levels = F.array(*[F.struct(lang.alias("group_lang"), source.alias("group_source")) for lang, source in (
+        (F.col("group_lang"), F.col("group_source")), (F.col("group_lang"), F.lit("")), (F.lit(""), F.lit("")))])
+    rows = written(spark, vectors.select("x", F.explode(levels).alias("level")).select("level.*", "x"), "vectors")
+    chosen = shrunk(spark, fit(spark, rows)).select(*GROUP, "mean", "root", "scale")
+    chosen = F.broadcast(chosen) if chosen.count() <= SENT else chosen
     distance = F.when(~base_failed(), _distance() / F.col("scale"))
     near = F.coalesce(F.col("distance") <= chi_square_quantile(REJECT, P), F.lit(True))
     return (
