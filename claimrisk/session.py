@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import sys
 import tempfile
+import threading
 import uuid
 
 from pyspark import cloudpickle
@@ -68,8 +70,47 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_OPEN = threading.local()  # scopes of intermediate tables, the innermost last
+
+
 def written(spark: SparkSession, df, name: str):
     """Write ``df`` to the shared folder and read it back: the lineage ends at the files."""
     path = work_dir(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    scopes = getattr(_OPEN, "scopes", [])
+    if scopes:
+        scopes[-1].paths[id(table)] = path, table
+    return table
+
+
+class intermediate:
+    """A block whose written tables are deleted behind it, but for those it keeps.
+
+    What leaves the block has to be a kept table, or rest on kept tables only.  Kept tables belong
+    to the block around it.  Shuffle files of plans that nobody holds any more are released as well.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths, self.kept = spark, {}, set()
+
+    def keep(self, table):
+        self.kept.add(id(table))
+        return table
+
+    def __enter__(self) -> intermediate:
+        _OPEN.scopes = [*getattr(_OPEN, "scopes", []), self]
+        return self
+
+    def __exit__(self, *_) -> None:
+        _OPEN.scopes = _OPEN.scopes[:-1]
+        jvm = self.spark._jvm
+        for key, (name, table) in self.paths.items():
+            if key not in self.kept:
+                path = jvm.org.apache.hadoop.fs.Path(name)
+                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            elif _OPEN.scopes:
+                _OPEN.scopes[-1].paths[key] = name, table
+        self.paths = {}
+        gc.collect()
+        jvm.System.gc()

@@ -111,3 +111,30 @@ def test_work_dir_uses_the_folder_the_session_names():
     local = _Session("local[2]")
     first = session.work_dir(local, "t")
     assert first.rsplit("/", 1)[0] == local.conf["spark.checkpoint.dir"]
+
+
+def test_intermediate_tables_go_and_kept_ones_stay(spark):
+    import os
+
+    from claimrisk.session import intermediate, written
+
+    def folder(df):
+        return df.inputFiles()[0].removeprefix("file:").removeprefix("//").rsplit("/", 1)[0]
+
+    with intermediate(spark) as outer:
+        with intermediate(spark) as inner:
+            gone = written(spark, spark.range(5), "gone")
+            passed = inner.keep(written(spark, gone.where("id > 2"), "passed"))
+            lost = folder(gone)
+        assert not os.path.exists(lost) and passed.count() == 2
+        result = outer.keep(written(spark, passed.selectExpr("id * 2 AS id"), "result"))
+        between = folder(passed)
+    assert not os.path.exists(between) and sorted(r.id for r in result.collect()) == [6, 8]
+    alone = written(spark, spark.range(1), "alone")  # outside of a block tables stay
+    assert os.path.exists(folder(alone))
+    try:
+        with intermediate(spark):
+            broken = folder(written(spark, spark.range(1), "broken"))
+            raise KeyError
+    except KeyError:
+        assert not os.path.exists(broken)
