@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from claimrisk.llm.frames import map_batches, ragged, texts_of
 from claimrisk.llm.graph import components
 from claimrisk.llm.hashing import mixed, shingles, words_of
-from claimrisk.session import written
+from claimrisk.session import intermediate, written
 
 CHUNKS, CHUNK, ERRORS, BITS = 12, 4, 1, 16
 SYMBOLS = CHUNKS * CHUNK
@@ -381,8 +381,9 @@ def links(spark: SparkSession, docs: DataFrame, described_: DataFrame, words: in
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, words: int) -> DataFrame:
     """doc_id, n_shingles, component_id (its smallest document) and kept of every document."""
-    table = written(spark, described(docs, words), "described")
-    found = links(spark, docs, table, words)
+    with intermediate(spark) as tables:
+        table = tables.keep(written(spark, described(docs, words), "described"))
+        found = tables.keep(links(spark, docs, table, words))
     of_set = table.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("node"))
     component = of_set.join(found, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("of_digest"))
@@ -394,6 +395,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int) -> DataFra
 
 def first_of_each(spark: SparkSession, docs: DataFrame, words: int) -> DataFrame:
     """The documents that are kept, with their columns."""
-    kept = near_duplicates(spark, docs, words).where("kept").select(
-        F.col("doc_id").alias("_kept_id")).distinct()
+    with intermediate(spark) as tables:
+        kept = tables.keep(written(spark, near_duplicates(spark, docs, words).where("kept").select(
+            F.col("doc_id").alias("_kept_id")).distinct(), "kept"))
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")

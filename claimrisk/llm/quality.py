@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from claimrisk.session import written
+from claimrisk.session import intermediate, written
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -298,8 +298,10 @@ def judged(spark: SparkSession, docs: DataFrame, keep: list[str]) -> DataFrame:
     vectors = table.where(~base_failed()).select(*GROUP, F.array(*features()).alias("x"))
     levels = F.array(*[F.struct(lang.alias("group_lang"), source.alias("group_source")) for lang, source in (
         (F.col("group_lang"), F.col("group_source")), (F.col("group_lang"), F.lit("")), (F.lit(""), F.lit("")))])
-    rows = written(spark, vectors.select("x", F.explode(levels).alias("level")).select("level.*", "x"), "vectors")
-    chosen = shrunk(spark, fit(spark, rows)).select(*GROUP, "mean", "root", "scale")
+    with intermediate(spark) as tables:
+        rows = written(spark, vectors.select("x", F.explode(levels).alias("level")).select("level.*", "x"), "vectors")
+        chosen = tables.keep(written(spark, shrunk(spark, fit(spark, rows)).select(
+            *GROUP, "mean", "root", "scale"), "chosen"))
     chosen = F.broadcast(chosen) if chosen.count() <= SENT else chosen
     distance = F.when(~base_failed(), _distance() / F.col("scale"))
     near = F.coalesce(F.col("distance") <= chi_square_quantile(REJECT, P), F.lit(True))
