@@ -1,7 +1,10 @@
 """Top-k retrieval for a battery of questions, and checks of the answers.
 
-Every chunk is scored against the whole battery inside its task; only the k best per question
-leave it, so neither chunk-question pairs nor common words are ever shuffled.
+Chunks meet the battery inside their task; only the k best per question leave it, so neither
+chunk-question pairs nor common words are ever shuffled.  Terms are pruned by thresholds: once a task
+has k answers for a question, its common terms that together weigh less than the k-th best cannot
+make an answer by themselves, so only chunks with one of the other terms are scored.  The result is
+that of scoring every chunk.
 """
 
 from __future__ import annotations
@@ -75,41 +78,88 @@ def term_topk(chunked: DataFrame, questions: DataFrame, k: int, key: str = "item
     ).withColumnRenamed("question", key)
 
 
+class Battery:
+    """The weighted terms of some questions."""
+
+    def __init__(self, local: pd.DataFrame):
+        local = local[local["weight"] > 0]
+        self.terms, term = np.unique(local["term"].to_numpy(dtype=object).astype(str), return_inverse=True)
+        self.questions, question = np.unique(local["question"].to_numpy(), return_inverse=True)
+        weight = local["weight"].to_numpy(dtype=np.float64)
+        order = np.lexsort((weight, question))  # by question, the lightest term first
+        question, weight, term = question[order], weight[order], term[order]
+        starts = np.searchsorted(question, np.arange(len(self.questions)))
+        upto = np.cumsum(weight)
+        # what a question's terms weigh up to and with each of them
+        self.light = upto - np.repeat(np.concatenate([[0.0], upto])[starts], np.diff([*starts, len(question)]))
+        self.question, self.weight, self.term = question, weight, term
+        self.pairs = 0  # of chunks and questions that were scored
+
+    def _expanded(self, row: np.ndarray, term: np.ndarray, which: np.ndarray):
+        """(row, question, weight) of every term of a row and question that has it, among some entries."""
+        entries = np.flatnonzero(which)
+        entries = entries[np.argsort(self.term[entries], kind="stable")]
+        first = np.searchsorted(self.term[entries], np.arange(len(self.terms) + 1))
+        many = (first[1:] - first[:-1])[term]
+        at = entries[np.repeat(first[:-1][term] - np.cumsum(many) + many, many) + np.arange(many.sum())]
+        return np.repeat(row, many), self.question[at], self.weight[at]
+
+    def scored(self, row: np.ndarray, term: np.ndarray, rows: int, least: np.ndarray):
+        """row, question and score of all pairs that can reach ``least``, the k-th best of each question.
+
+        A chunk may hold a term several times; it counts once.
+        """
+        n = len(self.questions)
+        distinct = np.unique(row * np.int64(len(self.terms)) + term)
+        row, term = np.divmod(distinct, max(1, len(self.terms)))
+        heavy = self.light >= least[self.question]  # without these terms nothing reaches it
+        at, question, _ = self._expanded(row, term, heavy)
+        wanted = np.zeros(rows * n, bool)
+        wanted[at * n + question] = True
+        self.pairs += int(wanted.sum())
+        some = np.zeros(rows, bool)
+        some[at] = True
+        keep = some[row]
+        at, question, weight = self._expanded(row[keep], term[keep], np.ones(len(self.term), bool))
+        code = at * n + question
+        keep = wanted[code]
+        total = np.bincount(code[keep], weight[keep], rows * n)
+        hit = np.flatnonzero(wanted)
+        hit = hit[total[hit] >= np.maximum(least[hit % max(1, n)], 1)]
+        return hit // max(1, n), hit % max(1, n), total[hit].astype(np.int64)
+
+
 def _term_pass(chunked, questions, k, key, weighted):
     asked = questions.select(
         F.col(key).alias("question"), F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
     # The vocabulary of one slice: at most BATTERY question texts.
     weights = term_weights(chunked, asked.select("term").distinct(), weighted)
     local = asked.join(weights, "term").select("question", "term", "weight").toPandas()
-    terms = np.sort(local["term"].unique())
-    asked_ids = np.sort(local["question"].unique())
-    matrix = np.zeros((len(terms), len(asked_ids)), dtype=np.float64)
-    matrix[np.searchsorted(terms, local["term"]), np.searchsorted(asked_ids, local["question"])] = local["weight"]
-    at_once = max(1, CELLS_AT_ONCE // max(1, len(terms)))
+    battery = Battery(local)
+    terms = battery.terms
+    at_once = max(1, CELLS_AT_ONCE // max(1, len(battery.questions)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pa.array(terms, pa.string())
-        best = []
+        best, least = [], np.zeros(len(battery.questions))
         for batch in batches:
             for start in range(0, batch.num_rows, at_once):
                 part = batch.slice(start, at_once)
                 lists = part.column("words")
                 row_of = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
                 term = pc.index_in(lists.flatten(), known).fill_null(-1).to_numpy()
-                present = np.zeros((len(lists), len(terms)), dtype=np.float64)
-                present[row_of[term >= 0], term[term >= 0]] = 1.0
-                scores = present @ matrix
-                # a chunk that shares no weighted term is no answer
-                row, question = _candidates(np.where(scores > 0, scores, -np.inf), k)
-                hit = scores[row, question] > 0
-                row, question = row[hit], question[hit]
+                row, question, scores = battery.scored(row_of[term >= 0], term[term >= 0], len(lists), least)
                 found = pd.DataFrame({
-                    "question": asked_ids[question],
+                    "question": question,
                     "doc_id": part.column("doc_id").to_numpy()[row],
                     "chunk": part.column("chunk").to_numpy()[row],
-                    "score": scores[row, question].astype(np.int64)})
+                    "score": scores})
                 best = [_best(pd.concat([*best, found]), k, ["doc_id", "chunk"])]
+                kth = best[0].groupby("question", sort=False)["score"].agg(["size", "min"])
+                kth = kth[kth["size"] >= k]["min"]
+                least[kth.index.to_numpy(dtype=np.int64)] = kth.to_numpy()
         for found in best:
+            found = found.assign(question=battery.questions[found["question"].to_numpy(dtype=np.int64)])
             yield pa.RecordBatch.from_pandas(found, preserve_index=False)
 
     if not len(terms):

@@ -211,3 +211,30 @@ def test_no_revisions_are_gathered(spark):
     revisions = spark.createDataFrame([("a", dt.date(2019, 1, 1), 1.0)], "code string, valid_from date, ceiling double")
     plan = rules.effective(rows, revisions, "code", "day", "ceiling", "id")._jdf.queryExecution().toString()
     assert "collect_list" not in plan
+
+
+def test_common_terms_are_pruned_without_changing_the_scores():
+    import pandas as pd
+    rng = np.random.default_rng(3)
+    weights = {f"t{i}": int(4000 / (i + 1)) + 1 for i in range(60)}  # t59 is the most common
+    local = pd.DataFrame([(q, t, weights[t]) for q in range(40) for t in rng.choice(list(weights), 9, replace=False)],
+                         columns=["question", "term", "weight"])
+    battery = retrieval.Battery(local)
+    place = {t: i for i, t in enumerate(battery.terms)}
+    least, best, pairs = np.zeros(40), {q: [] for q in range(40)}, 0
+    everything = {q: [] for q in range(40)}
+    for batch in range(12):
+        chunks = [[t for i, t in enumerate(weights) if rng.random() < (i + 1) / 90] for _ in range(100)]
+        row = np.repeat(np.arange(100), [len(c) for c in chunks])
+        term = np.array([place.get(t, -1) for c in chunks for t in c])
+        at, question, score = battery.scored(row[term >= 0], term[term >= 0], 100, least)
+        for r, q, x in zip(at.tolist(), question.tolist(), score.tolist()):
+            best[q].append((-x, batch * 100 + r))
+        own = {q: set(local.term[local.question == q]) for q in range(40)}
+        for q in range(40):
+            everything[q] += [(-sum(weights[t] for t in own[q] & set(c)), batch * 100 + r) for r, c in enumerate(chunks)
+                              if own[q] & set(c)]
+            best[q] = sorted(best[q])[:3]
+            least[q] = -best[q][-1][0] if len(best[q]) == 3 else 0
+    assert best == {q: sorted(x)[:3] for q, x in everything.items()}
+    assert battery.pairs < 40 * 1200 / 3
