@@ -23,6 +23,7 @@ RUNTIME = {
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # rows handed to Python at once; texts make rows large
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
 
