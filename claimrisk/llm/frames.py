@@ -14,11 +14,13 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 # Rows handed to Python at once; long texts make even few rows large.
 BATCH_ROWS = 512
+PAIR_ROWS = 32  # where every row holds two texts
 
 
 def map_batches(df: DataFrame, schema: str | T.StructType,
-                work: Callable[[], Callable[[dict[str, list]], dict[str, list]]]) -> DataFrame:
-    """Apply a function of column lists to every batch.
+                work: Callable[[], Callable[[dict[str, list]], dict[str, list]]],
+                at_once: int = BATCH_ROWS) -> DataFrame:
+    """Apply a function of column lists to every batch of at most ``at_once`` rows.
 
     ``work`` is called once per task and returns the function, so that models are built on the
     executor.  Output columns may hold more or fewer rows than the input.
@@ -29,8 +31,8 @@ def map_batches(df: DataFrame, schema: str | T.StructType,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = work()
         for batch in batches:
-            for start in range(0, batch.num_rows, BATCH_ROWS):
-                part = batch.slice(start, BATCH_ROWS)
+            for start in range(0, batch.num_rows, at_once):
+                part = batch.slice(start, at_once)
                 out = function({n: part.column(i).to_pylist()
                                 for i, n in enumerate(part.schema.names)})
                 yield pa.RecordBatch.from_arrays(

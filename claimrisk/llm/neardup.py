@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from claimrisk.llm.frames import map_batches, ragged, texts_of
+from claimrisk.llm.frames import PAIR_ROWS, map_batches, ragged, texts_of
 from claimrisk.llm.graph import components
 from claimrisk.llm.hashing import mixed, shingles, words_of
 from claimrisk.session import intermediate, written
@@ -300,7 +300,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
             return {"u": rows["u"], "v": rows["v"], "linked": linked}
         return function
 
-    return map_batches(both.select("u", "v", "ut", "vt"), "u long, v long, linked boolean", work)
+    return map_batches(both.select("u", "v", "ut", "vt"), "u long, v long, linked boolean", work, PAIR_ROWS)
 
 
 def _meeting_centres(members: DataFrame) -> DataFrame:
