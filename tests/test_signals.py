@@ -148,3 +148,15 @@ def test_daily_rows_bound_the_burst_window(spark):
 def test_network_without_rows(spark):
     rows = table(spark, [claim(1)])
     assert rows[1]["in_network_too"] == 0 and rows[1]["price_ratio"] is None
+
+
+def test_lines_move_by_their_order_once(spark, root):
+    from claimrisk.sources.domain import treatments
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = treatments(spark, root)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("hashpartitioning(l_orderkey") == 1
+    assert plan.count("hashpartitioning(l_partkey") == 1
