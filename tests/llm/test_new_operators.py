@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from claimrisk.llm import multiindex, repair, variants
+from claimrisk.llm import multiindex, passages, repair, variants
 
 # -- conversations
 
@@ -278,3 +278,40 @@ def test_cells_are_walked_by_growing_distance():
                 limit = d
                 break
         assert multiindex.reach(x, y, counts.tolist(), budget) == pytest.approx(limit)
+
+
+def test_contexts_that_many_documents_hold_are_compared():
+    """All pairs that share enough tokens, also where more documents than a few hold every one of them."""
+    rng = np.random.default_rng(5)
+    line, passage = np.arange(30), np.arange(100, 140)
+    docs, around, enough = [], [], []
+    for i in range(150):
+        some = [line, rng.integers(1000, 10**6, 50)] + ([rng.permutation(passage)[:39]] if i % 2 else [])
+        docs.append(1000 - i)
+        around.append(np.unique(np.concatenate(some)).astype(np.uint32))
+        enough.append(37 if i % 3 else 36)
+    want = {(docs[a], docs[b]) for a in range(150) for b in range(150)
+            if docs[b] < docs[a] and len(np.intersect1d(around[a], around[b])) >= max(enough[a], enough[b])}
+    assert len(want) == 75 * 74 // 2
+    assert sorted(passages.sharing(docs, around, enough)) == sorted(want)
+    few = slice(0, passages.FEW)
+    assert set(passages.sharing(docs[few], around[few], enough[few])) == {
+        (a, b) for a, b in want if b > 1000 - passages.FEW}
+
+
+def test_a_context_needs_what_its_least_varied_stretch_allows():
+    least = 46
+    varied = np.arange(300, dtype=np.uint64)
+    assert passages.context(varied, 100, least)[1] == 37 and len(passages.context(varied, 100, least)[0]) == 138
+    repeated = np.concatenate([varied[:60], np.full(40, 7, np.uint64), varied[100:]])
+    around = repeated[54:192]
+    fewest = min(len(np.unique(around[i:i + least])) for i in range(len(around) - least + 1))
+    assert passages.context(repeated, 100, least)[1] == -(-80 * fewest // 100)
+
+
+def test_open_keys_pair_every_two_functions():
+    tokens = np.random.default_rng(3).integers(1, 2**62, 120).astype(np.uint64)
+    own = passages.Stretches(tokens, 46)
+    for f, g in ((0, 2), (1, 5), (6, 7)):
+        known = np.unique(np.r_[own.hashes[f], own.hashes[g]])
+        assert len(passages.open_keys(tokens, 46, known, [])[0]), (f, g)
