@@ -79,9 +79,9 @@ def binary_scan(spark: SparkSession, root: str) -> DataFrame:
     """Files of the relational tables: listed size against the length of the content read."""
     pattern = "{" + ",".join(f"{t}.parquet" for t in COUNTED) + "}"
     listed = tables.directory_listing(spark, root, pattern)
-    read = tables.binary_files(spark, root, pattern).select(
-        F.element_at(F.split("path", "/"), -1).alias("name"), F.octet_length("content").alias("read"))
-    return listed.join(read, "name").select("name", (F.col("size") == F.col("read")).alias("same_size"))
+    read = tables.bytes_read(spark, root, pattern)
+    return listed.join(read, "name", "left").select(
+        "name", (F.col("size") == F.coalesce("read", F.lit(0))).alias("same_size"))
 
 
 QUERIES = {f.__name__: f for f in (table_sinks, catalog_listing, csv_export, row_counts, binary_scan)}

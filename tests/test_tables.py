@@ -1,6 +1,7 @@
 """Sources, sinks and session helpers."""
 
 import datetime as dt
+import random
 
 import pytest
 
@@ -44,6 +45,27 @@ def test_files_and_listing(spark, tmp_path):
     assert len(only) == 1 and bytes(only[0]["content"]) == b"hello"
 
 
+def test_every_byte_of_a_file_is_read_in_splits(spark, tmp_path):
+    rng = random.Random(4)
+    contents = {"empty": b"", "line": b"a\nb\n", "zero": b"a\n\0\0", "plain": "PAR1\ufeff\r\n\0é".encode() + b"\xff",
+                "only": b"\n", "large": rng.randbytes(70_000)}
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    asked = {"spark.sql.files.maxPartitionBytes": "20000", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in asked}
+    try:
+        for k, v in asked.items():
+            spark.conf.set(k, v)
+        pieces = tables.binary_files(spark, str(tmp_path), "large", "\n")
+        assert pieces.rdd.getNumPartitions() >= 4
+        assert b"\n".join(bytes(r["content"]) for r in pieces.collect()) == contents["large"].removesuffix(b"\n")
+        read = {r["name"]: r["read"] for r in tables.bytes_read(spark, str(tmp_path)).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert read == {name: len(content) for name, content in contents.items() if content}
+
+
 def test_database_and_constant_row(spark):
     tables.create_database(spark, "scratch_db")
     tables.overwrite_table(spark.range(1), "scratch_db.t")
