@@ -1,8 +1,8 @@
 """Claims per member within the last hour, as a sliding event-time window.
 
-Windows are emitted once the watermark has passed their end.  When an input is over, one closing
-event behind its last window moves the watermark there, so the windows that are still open are
-emitted too, once, by the same query and state.  The closing event has no key; the windows it opens
+Windows are emitted, a block of them at once, when the watermark has passed their end.  When an
+input is over, one closing event behind its last window moves the watermark there, so the windows
+that are still open are emitted too, once, by the same query and state.  The closing event has no key; the windows it opens
 lie behind the watermark it sets and never leave.
 """
 
@@ -12,21 +12,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LATENESS = "10 minutes"
-AFTER_THE_END = "2 hours"  # more than a window, its slide and the lateness
+AFTER_THE_END = "3 hours"  # more than a block of windows and the lateness
+
+
+def _micros(spark: SparkSession, interval: str) -> int:
+    return spark.sql(f"SELECT unix_micros(timestamp_micros(0) + INTERVAL {interval})").first()[0]
 
 
 def hourly_counts(events: DataFrame, key: str, ts: str = "ts", length: str = "1 hour",
                   slide: str = "5 minutes", lateness: str = LATENESS) -> DataFrame:
     """Events per key and sliding window; rows later than the watermark are dropped.
 
-    The state is one counter per key and open window; Spark counts within each task before the
-    shuffle, so a hot key sends one row per task and window.
+    Windows that start within one ``length`` share a row of the state, a block with a counter for
+    each of them: an event lies in at most two blocks, but in length / slide windows.  The windows of
+    a block leave together, once the watermark has passed the last of them.  Spark counts within each
+    task before the shuffle, so a hot key sends one row per task and block.
     """
+    long, step = (_micros(events.sparkSession, x) for x in (length, slide))
+    windows = max(1, long // step)
+    block = F.window(ts, f"{long + (windows - 1) * step} microseconds", f"{windows * step} microseconds")
+    offset = F.unix_micros(ts) - F.unix_micros("block.start")
     return (
         events.withWatermark(ts, lateness)
-        .groupBy(F.col(key), F.window(ts, length, slide)).agg(F.count("*").alias("n"))
-        .select(key, F.col("window.start").alias("window_start"),
-                F.col("window.end").alias("window_end"), "n")
+        .select(F.col(key), F.col(ts), block.alias("block"))
+        .groupBy(key, "block").agg(*[
+            F.count_if((offset >= i * step) & (offset < i * step + long)).alias(f"n{i}") for i in range(windows)])
+        .select(key, F.unix_micros("block.start").alias("first"),
+                F.posexplode(F.array(*[f"n{i}" for i in range(windows)])).alias("i", "n"))
+        .where("n > 0").withColumn("start", F.col("first") + F.col("i").cast("long") * step)
+        .select(key, F.timestamp_micros("start").alias("window_start"),
+                F.timestamp_micros(F.col("start") + long).alias("window_end"), "n")
     )
 
 

@@ -187,3 +187,34 @@ def test_closing_an_input_emits_open_windows_once(spark):
     counts = {(r["user_id"], r["window_start"]): r["n"] for r in got}
     assert len(counts) == len(got) and sum(counts.values()) == 12 * len(rows)
     assert counts[(1, t0)] == 2 and counts[(2, t0 + dt.timedelta(minutes=300))] == 1
+
+
+def test_windows_that_start_in_one_hour_share_a_row_of_the_state(spark):
+    t0 = dt.datetime(2024, 1, 1, 12, 0)
+    source, out, checkpoint, closing = (work_dir(spark, n) for n in ("sin", "sout", "scp", "send"))
+    rows = [(u, t0 + dt.timedelta(minutes=m, seconds=s)) for u, m, s in [
+        (1, 0, 0), (1, 0, 0), (1, 4, 59), (1, 59, 59), (1, 60, 0), (1, 61, 7), (2, 55, 0), (2, 119, 59), (None, 3, 0)]]
+    rows.append((1, None))
+    schema = "user_id long, ts timestamp"
+    events = spark.createDataFrame(rows, schema).coalesce(1)
+    events.write.parquet(source)
+    open_input(spark, events, closing)
+
+    def go():
+        stream = with_closing(spark, spark.readStream.schema(schema).parquet(source), closing)
+        query = append_files(hourly_counts(stream, "user_id"), out, checkpoint)
+        query.awaitTermination()
+        return [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    held = max(go())
+    close_input(spark, events, closing)
+    go()
+    want = defaultdict(int)
+    for u, t in rows:
+        if t is not None:
+            first = t - dt.timedelta(minutes=t.minute % 5, seconds=t.second)
+            for k in range(12):
+                want[u, first - dt.timedelta(minutes=5 * k)] += 1
+    got = spark.read.parquet(out).collect()
+    assert {(r.user_id, r.window_start): r.n for r in got} == want and len(got) == len(want)
+    assert {r.window_end - r.window_start for r in got} == {dt.timedelta(hours=1)}
+    assert 0 < held <= 2 * len({(u, t.hour) for u, t in rows if t})   # one row a window held 56 before
