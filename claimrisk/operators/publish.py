@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimrisk.functions.columns import vector_columns
-from claimrisk.operators.joins import spread_left_join
+from claimrisk.operators.joins import lookup_join
 from claimrisk.schemas import PARITY_TOLERANCE
 from claimrisk.session import work_dir, written
 
@@ -116,8 +116,8 @@ def changes(old: DataFrame, new: DataFrame, key: str, columns: Sequence[str]) ->
 def online_vectors(claims: DataFrame, providers: DataFrame, members: DataFrame,
                    hot_providers: DataFrame, hot_members: DataFrame) -> DataFrame:
     """The model input of each claim from published history; missing history becomes -1."""
-    rows = spread_left_join(claims, providers, ["provider_id"], "claim_id", hot_providers)
-    rows = spread_left_join(rows, members, ["member_id"], "claim_id", hot_members)
+    rows = lookup_join(claims, providers, ["provider_id"], "claim_id", hot_providers)
+    rows = lookup_join(rows, members, ["member_id"], "claim_id", hot_members)
     return rows.select("claim_id", *vector_columns())
 
 

@@ -160,3 +160,51 @@ def test_lines_move_by_their_order_once(spark, root):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert plan.count("hashpartitioning(l_orderkey") == 1
     assert plan.count("hashpartitioning(l_partkey") == 1
+
+
+def test_claims_do_not_move_by_document(spark, root):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = features.feature_table(spark, lake.silver(spark, root), lake.staged(spark, root))
+        plan = rows._jdf.queryExecution().executedPlan()
+        exchanges, todo = [], [plan.initialPlan()]
+        while todo:
+            node = todo.pop()
+            if node.nodeName() == "Exchange" and "hashpartitioning(document" in node.simpleString(1000):
+                exchanges.append(node.output().mkString(" "))
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert exchanges and not any("amount" in columns for columns in exchanges)
+
+
+@pytest.mark.parametrize("hot_rows", [2, 1000])
+def test_repeated_documents_with_and_without_members(spark, monkeypatch, hot_rows):
+    from collections import Counter
+    monkeypatch.setattr(joins, "HOT_ROWS", hot_rows)
+    rows = [claim(i, member=(None, 1, 2, 3)[i % 4], document=(None, "a", "b", f"own {i}", "b")[i % 5])
+            for i in range(23)]
+    rows += [claim(100, member=None, document="twice"), claim(101, member=9, document="twice")]
+    rows += [claim(102)[:8] + (None, 0), claim(103, member=None)[:8] + (None, 0)]
+    df = spark.createDataFrame(rows, CLAIM)
+    counts = Counter(r.document for r in df.collect() if r.document)
+    got = table(spark, rows)
+    assert len(got) == len(rows)
+    for r in df.collect():
+        assert got[r.claim_id].repeated_document == int(counts[r.document] > 1), r
+
+
+def test_entities_from_days_are_those_from_pairs(spark):
+    daily = entity.daily_pairs(spark.createDataFrame(
+        [*random_claims(5), claim(900, member=None), claim(901, member=None, day=3)], CLAIM))
+    pairs, days = entity.pair_totals(daily), entity.pair_burst(daily)
+    for of, other in ((entity.provider_features, "member_id"), (entity.member_features, "provider_id")):
+        expected, got = of(pairs), of(entity.once_a_pair(days, other))
+        assert expected.count() and expected.exceptAll(got).isEmpty() and got.exceptAll(expected).isEmpty()
+
+
+def test_short_rows_of_numbers_are_broadcast_up_to_more_rows(spark):
+    numbers = spark.range(3).selectExpr("id", "id AS a", "DATE '2020-01-01' AS b", "true AS c", "1.5D AS d")
+    assert joins.broadcast_rows(numbers) == 8 * joins.BROADCAST_ROWS
+    assert joins.broadcast_rows(numbers.withColumn("name", F.lit("x"))) == joins.BROADCAST_ROWS
