@@ -315,3 +315,28 @@ def test_open_keys_pair_every_two_functions():
     for f, g in ((0, 2), (1, 5), (6, 7)):
         known = np.unique(np.r_[own.hashes[f], own.hashes[g]])
         assert len(passages.open_keys(tokens, 46, known, [])[0]), (f, g)
+
+
+def test_equal_contexts_of_a_document_and_key_are_one_row(spark):
+    """A text that repeats a phrase has its context once a key; the pairs are those of all its stretches."""
+    least, phrase = 46, " ".join(f"word{i}" for i in range(7)) + " "
+    texts = {i: phrase * (25 + i) + " ".join(f"own{i}x{j}" for j in range(30)) for i in (3, 5, 8)}
+    tokens = {i: passages.tokens_of(text)[0] for i, text in texts.items()}
+    shared = {i: passages.Stretches(t, least).distinct() for i, t in tokens.items()}
+    every = {}
+    for i, t in tokens.items():
+        for key, start in zip(*passages.open_keys(t, least, shared[i], [])):
+            every.setdefault(int(key.view(np.int64)), []).append((i, *passages.context(t, int(start), least)))
+    every = {key: rows for key, rows in every.items() if len({i for i, *_ in rows}) > 1}
+    own = spark.createDataFrame([(i, text, shared[i].view(np.int64).tolist(), None) for i, text in texts.items()],
+                                "doc_id long, text string, shared array<long>, "
+                                "spans array<struct<start_word:long,end_word:long>>")
+    got = {}
+    for r in passages._contexts(spark, own.select("doc_id", "text"), own, least).collect():
+        assert r.n == len(every[r.key])
+        got.setdefault(r.key, []).append((r.doc_id, np.frombuffer(r.around, np.uint32), r.enough))
+    assert set(got) == set(every)
+    assert all(len({(i, around.tobytes()) for i, around, _ in rows}) == len(rows) for rows in got.values())
+    assert sum(map(len, got.values())) < sum(map(len, every.values()))
+    for key in got:
+        assert set(passages.sharing(*map(list, zip(*got[key])))) == set(passages.sharing(*map(list, zip(*every[key]))))
